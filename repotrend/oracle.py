@@ -102,6 +102,22 @@ def _ctes(clean: bool = False) -> str:
         "then 'interest_driven' else 'balanced' end as repo_intent_type "
         "from activity where activity_label = 'active')"
     )
+    top = "order by {m} desc, repo_id asc nulls first, repo_name asc nulls first limit 10"
+    parts.append(
+        "top_w as (select repo_id, repo_name, weekly_watch_count from wk "
+        + top.format(m="weekly_watch_count") + ")"
+    )
+    parts.append(
+        "top_f as (select repo_id, repo_name, weekly_fork_count from wk "
+        + top.format(m="weekly_fork_count") + ")"
+    )
+    parts.append("rising as (select * from rising_all where current_week_watch_count >= 20)")
+    shares = " union all ".join(
+        f"select '{t}' as intent_type, count(*) filter (where repo_intent_type = '{t}')::double "
+        f"/ nullif(count(*), 0) as rate from intent"
+        for t in ("usage_driven", "interest_driven", "balanced")
+    )
+    parts.append(f"rates as ({shares})")
     return "with " + ",\n".join(parts) + "\n"
 
 
@@ -150,15 +166,68 @@ ORACLE: dict[str, str] = {
     "mart_rising_all": _q("select * from rising_all"),
     "repo_activity": _q("select * from activity"),
     "repo_intent": _q("select * from intent"),
-    "mart_intent_rates": _q(
-        "select 'usage_driven' as intent_type, "
-        "count(*) filter (where repo_intent_type = 'usage_driven')::double / nullif(count(*), 0) as rate "
-        "from intent union all "
-        "select 'interest_driven', "
-        "count(*) filter (where repo_intent_type = 'interest_driven')::double / nullif(count(*), 0) "
-        "from intent union all "
-        "select 'balanced', "
-        "count(*) filter (where repo_intent_type = 'balanced')::double / nullif(count(*), 0) "
-        "from intent"
+    "mart_intent_rates": _q("select * from rates"),
+    "dq_not_null": _q("select * from fct where repo_name is null"),
+    "dq_unique": _q(
+        "select event_id as unique_field, count(*) as n_records from stg_fork "
+        "where event_id is not null group by event_id having count(*) > 1"
     ),
+    "dq_accepted_values": _q(
+        "select event_type as value_field, count(*) as n_records from feed group by event_type "
+        "having event_type not in ('WatchEvent', 'ForkEvent')"
+    ),
+    "dq_date_coverage": _q(
+        "select count(distinct cast(event_ts as date)) as distinct_date_count from src_watch "
+        f"where cast(event_ts as date) >= {A} - interval 14 day and cast(event_ts as date) < {A} "
+        "having count(distinct cast(event_ts as date)) < 14"
+    ),
+    "dq_date_coverage_month": _q(
+        "select count(distinct cast(event_ts as date)) as distinct_date_count from src_fork "
+        f"where cast(event_ts as date) >= {A} - interval 30 day and cast(event_ts as date) < {A} "
+        "having count(distinct cast(event_ts as date)) < 30"
+    ),
+}
+
+# Model name -> CTE above, for the data-quality report oracle.
+_MODEL_CTE = {
+    "source_watch_events": "src_watch",
+    "source_fork_events": "src_fork",
+    "stg_watch_events": "stg_watch",
+    "stg_fork_events": "stg_fork",
+    "fct_repo_daily_watch_fork_metrics": "fct",
+    "marts_watch_top_repos_7d": "top_w",
+    "marts_fork_top_repos_7d": "top_f",
+    "marts_watch_rasing_repos_7d": "rising",
+    "marts_repo_intent_classification": "rates",
 }
+
+
+def _check_sql(c) -> str:
+    t, col = _MODEL_CTE[c.model], c.column
+    if c.test == "not_null":
+        n = f"(select count(*) from {t} where {col} is null)"
+    elif c.test == "unique":
+        n = (f"(select count(*) from (select {col} from {t} where {col} is not null "
+             f"group by {col} having count(*) > 1))")
+    elif c.test == "accepted_values":
+        vals = ", ".join(f"'{v}'" for v in c.values)
+        n = f"(select count(*) from (select distinct {col} as v from {t}) where v not in ({vals}))"
+    else:
+        d = f"cast({col} as date)"
+        n = (f"(select case when count(distinct {d}) < {c.days} then 1 else 0 end from {t} "
+             f"where {d} >= {A} - interval {c.days} day and {d} < {A})")
+    return (f"select '{c.layer}' as layer, '{c.model}' as model, '{c.test}' as test, "
+            f"'{col}' as column_name, '{c.severity}' as severity, cast({n} as bigint) as failures")
+
+
+def _report_sql() -> str:
+    from repotrend.plans.quality import pipeline_checks
+
+    body = " union all ".join(_check_sql(c) for c in pipeline_checks())
+    return _q(
+        "select *, case when failures = 0 then 'pass' when severity = 'warn' then 'warn' "
+        f"else 'fail' end as status from ({body})"
+    )
+
+
+ORACLE["dq_report"] = _report_sql()

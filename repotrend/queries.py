@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repotrend.operators import facts, marts, staging
+from repotrend.plans import pipeline, quality
 from repotrend.session import configure
 from repotrend.sources import feed as feeds
 
@@ -162,8 +163,39 @@ def q_mart_intent_rates(spark, sf_dir):
     return marts.intent_rates(q_repo_intent(spark, sf_dir))
 
 
-def q_mart_top_watch_clean(spark, sf_dir):
-    return marts.top_watched(_fact(spark, sf_dir, clean=True), ANCHOR)
+# ---------------------------------------------------------------- quality
+
+def q_dq_not_null(spark, sf_dir):
+    """Fact rows failing repo_name not_null."""
+    return quality.not_null_failures(_fact(spark, sf_dir), "repo_name")
+
+
+def q_dq_unique(spark, sf_dir):
+    """Staged fork event ids held by more than one distinct row."""
+    return quality.unique_failures(_staged(spark, sf_dir, "fork"), "event_id")
+
+
+def q_dq_accepted_values(spark, sf_dir):
+    """Feed event types outside the two kinds the pipeline keeps."""
+    configure(spark)
+    return quality.accepted_values_failures(feeds.feed(spark, sf_dir), "event_type",
+                                            ("WatchEvent", "ForkEvent"))
+
+
+def q_dq_date_coverage(spark, sf_dir):
+    """Fourteen days before the anchor are all covered: no failing row."""
+    return quality.date_coverage_failures(_source(spark, sf_dir, "watch"), "event_ts", ANCHOR, 14)
+
+
+def q_dq_date_coverage_month(spark, sf_dir):
+    """Thirty days reach before the first fixture day: one failing row."""
+    return quality.date_coverage_failures(_source(spark, sf_dir, "fork"), "event_ts", ANCHOR, 30)
+
+
+def q_dq_report(spark, sf_dir):
+    """All 36 checks over every layer of the plain feed (which fails some
+    error-severity checks on purpose)."""
+    return pipeline.quality_report(pipeline.in_memory_layers(spark, sf_dir), ANCHOR)
 
 
 QUERIES: dict[str, Query] = {
@@ -194,4 +226,10 @@ QUERIES: dict[str, Query] = {
     "repo_activity": q_repo_activity,
     "repo_intent": q_repo_intent,
     "mart_intent_rates": q_mart_intent_rates,
+    "dq_not_null": q_dq_not_null,
+    "dq_unique": q_dq_unique,
+    "dq_accepted_values": q_dq_accepted_values,
+    "dq_date_coverage": q_dq_date_coverage,
+    "dq_date_coverage_month": q_dq_date_coverage_month,
+    "dq_report": q_dq_report,
 }

@@ -13,6 +13,12 @@ KIND_TO_SOURCE_TABLE = {"watch": "source_watch_events", "fork": "source_fork_eve
 RAW_PARTITION_COLUMNS = ["year", "month", "day", "hour"]
 INTENT_TYPES = ["usage_driven", "interest_driven", "balanced"]
 ACTIVITY_LABELS = ["low_signal", "active"]
+FACT_TABLE = "fct_repo_daily_watch_fork_metrics"
+TOP_WATCH_TABLE = "marts_watch_top_repos_7d"
+TOP_FORK_TABLE = "marts_fork_top_repos_7d"
+RISING_TABLE = "marts_watch_rasing_repos_7d"  # spelling kept: readers query this name
+INTENT_TABLE = "marts_repo_intent_classification"
+STAGED_TABLES = {"watch": "stg_watch_events", "fork": "stg_fork_events"}
 
 # Raw event as landed: one JSON object per line.  Declared, never inferred,
 # so a day without ``org`` or ``payload.forkee`` still reads, and the scan
