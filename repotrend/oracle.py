@@ -118,6 +118,16 @@ def _ctes(clean: bool = False) -> str:
         for t in ("usage_driven", "interest_driven", "balanced")
     )
     parts.append(f"rates as ({shares})")
+    # Raw round trip: whole seconds, file date = event date, forkee on forks.
+    parts.append(
+        "ext as (select case when event_type = 'ForkEvent' then 'fork' else 'watch' end as kind, "
+        "cast(event_ts as date) as file_date, event_id, event_type, "
+        "date_trunc('second', event_ts) as event_ts, cast(event_ts as date) as event_date, event_hour, "
+        "repo_id, repo_name, actor_id, actor_login, org_id, org_login, action, "
+        "case when event_type = 'ForkEvent' then 1000000 + repo_id end as forkee_repo_id, "
+        "case when event_type = 'ForkEvent' then concat(actor_login, '/fork') end as forkee_repo_name, "
+        "is_public from feed where event_type in ('WatchEvent', 'ForkEvent'))"
+    )
     return "with " + ",\n".join(parts) + "\n"
 
 
@@ -188,6 +198,88 @@ ORACLE: dict[str, str] = {
     ),
 }
 
+_W0, _W1 = f"{A} - interval 14 day", f"{A} - interval 1 day"
+_WATCH_SRC = (
+    "event_id, event_type, event_ts, event_hour, repo_id, repo_name, actor_id, actor_login, "
+    "org_id, org_login, action, is_public"
+)
+_FORK_SRC = (
+    "event_id, event_type, event_ts, event_hour, repo_id, repo_name, actor_id, actor_login, "
+    "org_id, org_login, action, forkee_repo_id, forkee_repo_name, is_public"
+)
+_MANIFEST = (
+    "select hour_ts, strftime(hour_ts, '%Y-%m-%d') || '-' || cast(hour(hour_ts) as varchar) "
+    "|| '.json.gz' as file_name, "
+    "'https://archive.example.org/' || strftime(hour_ts, '%Y-%m-%d') || '-' "
+    "|| cast(hour(hour_ts) as varchar) || '.json.gz' as url, "
+    "'raw/year=' || strftime(hour_ts, '%Y') || '/month=' || strftime(hour_ts, '%m') || '/day=' "
+    "|| strftime(hour_ts, '%d') || '/hour=' || strftime(hour_ts, '%H') || '/' "
+    "|| strftime(hour_ts, '%Y-%m-%d') || '-' || cast(hour(hour_ts) as varchar) || '.json.gz' "
+    "as object_path from "
+)
+_SPINE = (
+    "(select cast(d as date) as file_date from (select unnest(generate_series("
+    "cast(min(event_ts) as date), cast(max(event_ts) as date), interval 1 day)) as d from feed))"
+)
+
+ORACLE.update({
+    "hour_manifest": _q(
+        _MANIFEST + "(select unnest(generate_series(date_trunc('hour', min(event_ts)), "
+        "date_trunc('hour', max(event_ts)), interval 1 hour)) as hour_ts from feed)"
+    ),
+    "missing_hours": _q(
+        _MANIFEST + "(select unnest(generate_series(timestamp '2024-01-18 00:00:00', "
+        "timestamp '2024-02-01 00:00:00', interval 1 hour)) as hour_ts) h "
+        "where hour_ts not in (select distinct date_trunc('hour', event_ts) from feed)"
+    ),
+    "date_spine": _q(f"select file_date from {_SPINE}"),
+    "pending_dates": _q(
+        f"select file_date from {_SPINE} where file_date not in ("
+        f"select file_date from ext where file_date between {_W0} and {_W1} "
+        "group by file_date having count(distinct kind) = 2)"
+    ),
+    "raw_scan_pruned": _q(
+        "select event_id as id, event_type as type, "
+        "strftime(event_ts, '%Y-%m-%dT%H:%M:%SZ') as created_at, is_public as public, "
+        "actor_id, actor_login, repo_id, repo_name, org_id, org_login, action, "
+        "case when event_type = 'ForkEvent' then 1000000 + repo_id end as forkee_id, "
+        "case when event_type = 'ForkEvent' then concat(actor_login, '/fork') end as forkee_full_name, "
+        "cast(year(event_ts) as integer) as year, cast(month(event_ts) as integer) as month, "
+        "cast(day(event_ts) as integer) as day, cast(hour(event_ts) as integer) as hour "
+        "from feed where cast(event_ts as date) = date '2024-01-15'"
+    ),
+    "raw_roundtrip": _q("select * from ext"),
+    "stream_extract": _q("select * from ext"),
+    "extract_watch": _q(
+        "select event_id, event_type, event_ts, event_date, event_hour, repo_id, repo_name, actor_id, "
+        "actor_login, org_id, org_login, action, is_public from ext where kind = 'watch'"
+    ),
+    "extract_fork": _q(
+        "select event_id, event_type, event_ts, event_date, event_hour, repo_id, repo_name, actor_id, "
+        "actor_login, org_id, org_login, action, forkee_repo_id, forkee_repo_name, is_public "
+        "from ext where kind = 'fork'"
+    ),
+    "extract_range": _q(f"select * from ext where file_date between {_W0} and {_W1}"),
+    "curated_range_scan": _q(
+        f"select {_FORK_SRC} from ext where kind = 'fork' "
+        f"and file_date between {A} - interval 7 day and {_W1}"
+    ),
+    "load_truncate": _q(
+        f"select {_WATCH_SRC} from ext where kind = 'watch' and file_date between {_W0} and {_W1}"
+    ),
+    "load_append": _q(
+        f"select {_WATCH_SRC} from ext where kind = 'watch' and file_date between {_W0} and {_W1}"
+    ),
+    "load_empty": _q(
+        f"select {_FORK_SRC} from ext where kind = 'fork' and file_date between {_W0} and {_W1}"
+    ),
+    "fct_pruned_read": _q(
+        f"select * from fct where event_date between {A} - interval 7 day and {_W1}"
+    ),
+    "run_pipeline": _q("select * from top_w", clean=True),
+    "run_pipeline_rising": _q("select * from rising", clean=True),
+})
+
 # Model name -> CTE above, for the data-quality report oracle.
 _MODEL_CTE = {
     "source_watch_events": "src_watch",

@@ -7,17 +7,33 @@ Each runs the library over the whole ``events`` table of a test-data folder
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repotrend.operators import facts, marts, staging
+from repotrend import schema as S
+from repotrend.operators import extract, facts, marts, staging
+from repotrend.params import default_ingest_window
 from repotrend.plans import pipeline, quality
-from repotrend.session import configure
+from repotrend.plans.run import run
+from repotrend.session import checkpoint_dir, configure, work_dir
 from repotrend.sources import feed as feeds
+from repotrend.sources import manifest, raw, tables
+from repotrend.streaming.incremental import run_incremental_extract
 
 ANCHOR = feeds.FIXTURE_ANCHOR
+_A = date.fromisoformat(ANCHOR)
+# The fourteen loaded dates of a run for the anchor, and a one-day probe.
+WINDOW = (_A - timedelta(days=14), _A - timedelta(days=1))
+PROBE_DATE = date(2024, 1, 15)
+# An ingest job started three hours into 2024-02-01 (two days of the
+# default window lie past the fixture data, so they are still missing).
+INGEST_NOW = datetime(2024, 2, 1, 3, 0, tzinfo=timezone.utc)
+ARCHIVE_URL = "https://archive.example.org"
+RAW_PREFIX = "raw"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +61,35 @@ def _fact_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.repo_daily_fact_join(_staged(spark, sf_dir, "watch"), _staged(spark, sf_dir, "fork"))
 
 
+_LANDED: dict[tuple, str] = {}
+_CURATED: dict[tuple, str] = {}
+
+
+def _landed(spark: SparkSession, sf_dir: str, clean: bool = False) -> str:
+    """Land the feed as raw hourly JSON once per (checkpoint dir, data, variant)."""
+    configure(spark)
+    key = (checkpoint_dir(spark), os.path.abspath(sf_dir), clean)
+    root = _LANDED.get(key)
+    if root is None or not tables.path_exists(spark, root):
+        root = work_dir(spark) + "/raw"
+        events = feeds.with_forkee(feeds.feed(spark, sf_dir, clean=clean))
+        raw.land_raw(raw.to_raw_lines(events), root)
+        _LANDED[key] = root
+    return root
+
+
+def _curated(spark: SparkSession, sf_dir: str) -> str:
+    """Extract the run window of the landed plain feed once."""
+    raw_root = _landed(spark, sf_dir)
+    root = _CURATED.get(raw_root)
+    if root is None or not tables.path_exists(spark, root):
+        root = work_dir(spark) + "/curated"
+        extracted = extract.extract_events(raw.read_raw(spark, raw_root, *WINDOW))
+        tables.write_curated(extracted, root, *WINDOW)
+        _CURATED[raw_root] = root
+    return root
+
+
 # ---------------------------------------------------------------- staging
 
 def q_relevant_events(spark, sf_dir):
@@ -198,7 +243,137 @@ def q_dq_report(spark, sf_dir):
     return pipeline.quality_report(pipeline.in_memory_layers(spark, sf_dir), ANCHOR)
 
 
+# ------------------------------------------------------- manifest / dates
+
+def q_hour_manifest(spark, sf_dir):
+    """Landing manifest for every hour the feed spans."""
+    configure(spark)
+    hours = manifest.hours_spanning(feeds.feed(spark, sf_dir))
+    return manifest.with_manifest(hours, ARCHIVE_URL, RAW_PREFIX)
+
+
+def q_missing_hours(spark, sf_dir):
+    """Hours of the default ingest window with no landed file."""
+    start, end = default_ingest_window(INGEST_NOW)
+    wanted = manifest.with_manifest(manifest.hours_between(spark, start, end), ARCHIVE_URL, RAW_PREFIX)
+    return manifest.missing_hours(wanted, manifest.landed_hours(spark, _landed(spark, sf_dir)))
+
+
+def q_date_spine(spark, sf_dir):
+    configure(spark)
+    return manifest.dates_spanning(feeds.feed(spark, sf_dir))
+
+
+def q_pending_dates(spark, sf_dir):
+    """Dates of the feed not yet extracted with both kinds."""
+    root = _curated(spark, sf_dir)
+    return tables.pending_dates(spark, root, manifest.dates_spanning(feeds.feed(spark, sf_dir)))
+
+
+# ----------------------------------------------------------- raw / extract
+
+def q_raw_scan_pruned(spark, sf_dir):
+    """One day's raw events (only that day's hour files are read)."""
+    return raw.flatten_raw(raw.read_raw(spark, _landed(spark, sf_dir), PROBE_DATE, PROBE_DATE))
+
+
+def q_raw_roundtrip(spark, sf_dir):
+    """Feed -> raw JSON -> both kinds extracted."""
+    return extract.extract_events(raw.read_raw(spark, _landed(spark, sf_dir)))
+
+
+def q_extract_watch(spark, sf_dir):
+    return extract.build_watch(raw.read_raw(spark, _landed(spark, sf_dir)))
+
+
+def q_extract_fork(spark, sf_dir):
+    return extract.build_fork(raw.read_raw(spark, _landed(spark, sf_dir)))
+
+
+def q_extract_range(spark, sf_dir):
+    """The curated table after extracting the run window."""
+    return tables.read_curated(spark, _curated(spark, sf_dir))
+
+
+def q_stream_extract(spark, sf_dir):
+    """Incremental (availableNow file stream) extraction of all landed hours."""
+    raw_root = _landed(spark, sf_dir)
+    out = work_dir(spark)
+    run_incremental_extract(spark, raw_root, out + "/curated", out + "/_checkpoint")
+    return spark.read.parquet(out + "/curated")
+
+
+# ------------------------------------------------------------------ tables
+
+def q_curated_range_scan(spark, sf_dir):
+    """Fork rows of the last seven loaded dates (partition-pruned)."""
+    root = _curated(spark, sf_dir)
+    return tables.read_curated(spark, root, "fork", _A - timedelta(days=7), WINDOW[1]).select(
+        *S.source_columns("fork")
+    )
+
+
+def q_load_truncate(spark, sf_dir):
+    root, target = _curated(spark, sf_dir), work_dir(spark) + "/source_watch_events"
+    for _ in range(2):  # a rerun replaces, not doubles
+        tables.load_source(spark, root, "watch", *WINDOW, target, tables.WRITE_TRUNCATE)
+    return spark.read.parquet(target)
+
+
+def q_load_append(spark, sf_dir):
+    root, target = _curated(spark, sf_dir), work_dir(spark) + "/source_watch_events"
+    mid = _A - timedelta(days=8)
+    tables.load_source(spark, root, "watch", WINDOW[0], mid, target, tables.WRITE_TRUNCATE)
+    tables.load_source(spark, root, "watch", mid + timedelta(days=1), WINDOW[1], target,
+                       tables.WRITE_APPEND)
+    return spark.read.parquet(target)
+
+
+def q_load_empty(spark, sf_dir):
+    root, target = _curated(spark, sf_dir), work_dir(spark) + "/source_fork_events"
+    tables.create_empty(spark, "fork", target)
+    tables.load_source(spark, root, "fork", *WINDOW, target, tables.WRITE_EMPTY)
+    return spark.read.parquet(target)
+
+
+def q_fct_pruned_read(spark, sf_dir):
+    """Fact written partitioned by event_date, read back for one week."""
+    target = work_dir(spark) + "/" + S.FACT_TABLE
+    tables.write_fact(_fact(spark, sf_dir), target)
+    return tables.read_fact(spark, target, _A - timedelta(days=7), _A - timedelta(days=1))
+
+
+# ------------------------------------------------------------- end to end
+
+def q_run_pipeline(spark, sf_dir):
+    """Raw JSON of the clean feed -> every gated layer -> top-10 watched."""
+    result = run(spark, _landed(spark, sf_dir, clean=True), work_dir(spark), ANCHOR)
+    return result.table(spark, S.TOP_WATCH_TABLE)
+
+
+def q_run_pipeline_rising(spark, sf_dir):
+    result = run(spark, _landed(spark, sf_dir, clean=True), work_dir(spark), ANCHOR)
+    return result.table(spark, S.RISING_TABLE)
+
+
 QUERIES: dict[str, Query] = {
+    "hour_manifest": q_hour_manifest,
+    "missing_hours": q_missing_hours,
+    "date_spine": q_date_spine,
+    "pending_dates": q_pending_dates,
+    "raw_scan_pruned": q_raw_scan_pruned,
+    "raw_roundtrip": q_raw_roundtrip,
+    "extract_watch": q_extract_watch,
+    "extract_fork": q_extract_fork,
+    "extract_range": q_extract_range,
+    "stream_extract": q_stream_extract,
+    "curated_range_scan": q_curated_range_scan,
+    "load_truncate": q_load_truncate,
+    "load_append": q_load_append,
+    "load_empty": q_load_empty,
+    "fct_pruned_read": q_fct_pruned_read,
+    "run_pipeline": q_run_pipeline,
+    "run_pipeline_rising": q_run_pipeline_rising,
     "relevant_events": q_relevant_events,
     "stg_required_keys": q_stg_required_keys,
     "event_id_counts": q_event_id_counts,

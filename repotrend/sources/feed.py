@@ -92,6 +92,17 @@ def source_events(feed_df: DataFrame, kind: str) -> DataFrame:
     return df.select(*S.source_columns(kind))
 
 
+def with_forkee(feed_df: DataFrame) -> DataFrame:
+    """Feed rows with the fork-only columns (NULL on other kinds)."""
+    is_fork = F.col("event_type") == S.FORK_EVENT
+    return feed_df.withColumns(
+        {
+            "forkee_repo_id": F.when(is_fork, F.expr(FORKEE_ID_SQL).cast("bigint")),
+            "forkee_repo_name": F.when(is_fork, F.expr(FORKEE_NAME_SQL)),
+        }
+    )
+
+
 def sources(spark: SparkSession, sf_dir: str, clean: bool = False) -> dict[str, DataFrame]:
     f = feed(spark, sf_dir, clean=clean)
     return {kind: source_events(f, kind) for kind in S.KIND_TO_EVENT_TYPE}
