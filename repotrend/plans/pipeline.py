@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from repotrend import schema as S
 from repotrend.operators import facts, marts, staging
 from repotrend.plans import quality
-from repotrend.session import configure
+from repotrend.session import checkpoint_dir, configure
 from repotrend.sources import feed as feeds
 
 
@@ -51,12 +51,38 @@ def layers(src_watch: DataFrame, src_fork: DataFrame, anchor: date | str) -> dic
     return out
 
 
+def layers_checkpointed(
+    src_watch: DataFrame, src_fork: DataFrame, anchor: date | str
+) -> dict[str, DataFrame]:
+    """Like :func:`layers`, but each layer is checkpointed (written to the
+    session's checkpoint dir) before the next reads it, so every consumer —
+    e.g. the 13 branches of a quality report — scans the written layer
+    instead of recomputing the lineage back to the input."""
+    ck = lambda df: df.checkpoint(eager=True)
+    out = {
+        S.KIND_TO_SOURCE_TABLE["watch"]: ck(src_watch),
+        S.KIND_TO_SOURCE_TABLE["fork"]: ck(src_fork),
+    }
+    stg = staging_layer(out[S.KIND_TO_SOURCE_TABLE["watch"]], out[S.KIND_TO_SOURCE_TABLE["fork"]])
+    out.update({k: ck(v) for k, v in stg.items()})
+    out[S.FACT_TABLE] = ck(fact_layer(out[S.STAGED_TABLES["watch"]], out[S.STAGED_TABLES["fork"]]))
+    out.update({k: ck(v) for k, v in mart_layer(out[S.FACT_TABLE], anchor).items()})
+    return out
+
+
 def in_memory_layers(
-    spark: SparkSession, sf_dir: str, clean: bool = False, anchor: date | str = feeds.FIXTURE_ANCHOR
+    spark: SparkSession,
+    sf_dir: str,
+    clean: bool = False,
+    anchor: date | str = feeds.FIXTURE_ANCHOR,
+    checkpointed: bool = False,
 ) -> dict[str, DataFrame]:
     configure(spark)
+    if checkpointed:
+        checkpoint_dir(spark)
     src = feeds.sources(spark, sf_dir, clean=clean)
-    out = layers(src["watch"], src["fork"], anchor)
+    build = layers_checkpointed if checkpointed else layers
+    out = build(src["watch"], src["fork"], anchor)
     out["fct_repo_daily"] = out[S.FACT_TABLE]
     return out
 

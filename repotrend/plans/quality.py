@@ -103,52 +103,69 @@ def failing_rows(df: DataFrame, check: Check, anchor: date | str) -> DataFrame:
 
 # ---------------------------------------------------------------- report
 
-def _row(check: Check, failures: Column) -> Column:
-    failures = failures.cast("bigint")
+def _sql_str(v: str) -> str:
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _row_sql(check: Check, failures: str) -> str:
+    """One report row as a SQL struct over a failure-count expression.
+
+    The report is built from SQL text (a handful of calls per model) rather
+    than thousands of small Column objects: its cost is then one analysis,
+    not a driver round trip per literal.
+    """
+    n = f"cast({failures} as bigint)"
     status = (
-        F.when(failures == 0, F.lit("pass"))
-        .when(F.lit(check.severity) == WARN, F.lit("warn"))
-        .otherwise(F.lit("fail"))
+        f"case when {n} = 0 then 'pass' "
+        + ("else 'warn' end" if check.severity == WARN else "else 'fail' end")
     )
-    return F.struct(
-        F.lit(check.layer).alias("layer"),
-        F.lit(check.model).alias("model"),
-        F.lit(check.test).alias("test"),
-        F.lit(check.column).alias("column_name"),
-        F.lit(check.severity).alias("severity"),
-        failures.alias("failures"),
-        status.alias("status"),
+    return (
+        f"named_struct('layer', {_sql_str(check.layer)}, 'model', {_sql_str(check.model)}, "
+        f"'test', {_sql_str(check.test)}, 'column_name', {_sql_str(check.column)}, "
+        f"'severity', {_sql_str(check.severity)}, 'failures', {n}, 'status', {status})"
     )
 
 
+def _date_window_sql(ts_col: str, anchor, days: int) -> str:
+    d = f"to_date({ts_col})"
+    a = f"date {_sql_str(str(anchor))}"
+    return f"case when {d} >= date_sub({a}, {days}) and {d} < {a} then {d} end"
+
+
 def model_report(df: DataFrame, checks: list[Check], anchor: date | str) -> DataFrame:
-    """Report rows for the checks of one model."""
+    """Report rows for the checks of one model.
+
+    not_null / accepted_values / date_coverage: one global aggregate over
+    the model.  unique: one partial aggregate per column.  NULL values pass
+    accepted_values (``NULL NOT IN (...)`` is not true).
+    """
     parts: list[DataFrame] = []
     single_pass = [c for c in checks if c.test != "unique"]
     if single_pass:
-        aggs = []
+        aggs, rows = [], []
         for i, c in enumerate(single_pass):
-            col = F.col(c.column)
+            col = f"`{c.column}`"
             if c.test == "not_null":
-                aggs.append(F.count_if(col.isNull()).alias(f"_c{i}"))
+                aggs.append(f"count_if({col} is null) as _c{i}")
+                n = f"_c{i}"
             elif c.test == "accepted_values":
-                aggs.append(F.count_distinct(F.when(~col.isin(*c.values), col)).alias(f"_c{i}"))
+                vals = ", ".join(_sql_str(v) for v in c.values)
+                aggs.append(f"count(distinct case when not ({col} in ({vals})) then {col} end) as _c{i}")
+                n = f"_c{i}"
             elif c.test == "date_coverage":
-                aggs.append(F.count_distinct(_covered_date(c.column, anchor, c.days)).alias(f"_c{i}"))
+                aggs.append(f"count(distinct {_date_window_sql(col, anchor, c.days)}) as _c{i}")
+                n = f"case when _c{i} < {int(c.days)} then 1 else 0 end"
             else:
                 raise ValueError(f"unknown test {c.test}")
-        counts = df.agg(*aggs)
-        rows = []
-        for i, c in enumerate(single_pass):
-            n = F.col(f"_c{i}")
-            if c.test == "date_coverage":
-                n = F.when(n < c.days, F.lit(1)).otherwise(F.lit(0))
-            rows.append(_row(c, n))
-        parts.append(counts.select(F.inline(F.array(*rows))))
+            rows.append(_row_sql(c, n))
+        parts.append(df.selectExpr(*aggs).selectExpr(f"inline(array({', '.join(rows)}))"))
     for c in checks:
         if c.test == "unique":
-            n = unique_failures(df, c.column).agg(F.count(F.lit(1)).alias("_n"))
-            parts.append(n.select(F.inline(F.array(_row(c, F.col("_n"))))))
+            col = f"`{c.column}`"
+            dup = df.where(f"{col} is not null").groupBy(c.column).count().where("count > 1")
+            parts.append(
+                dup.selectExpr("count(1) as _n").selectExpr(f"inline(array({_row_sql(c, '_n')}))")
+            )
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

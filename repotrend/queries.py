@@ -240,7 +240,8 @@ def q_dq_date_coverage_month(spark, sf_dir):
 def q_dq_report(spark, sf_dir):
     """All 36 checks over every layer of the plain feed (which fails some
     error-severity checks on purpose)."""
-    return pipeline.quality_report(pipeline.in_memory_layers(spark, sf_dir), ANCHOR)
+    layers = pipeline.in_memory_layers(spark, sf_dir, checkpointed=True)
+    return pipeline.quality_report(layers, ANCHOR)
 
 
 # ------------------------------------------------------- manifest / dates

@@ -67,29 +67,37 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_FEED_COLUMNS = [
+    "event_id", "event_type", "event_ts", "event_hour", "repo_id", "repo_name", "actor_id",
+    "actor_login", "org_id", "org_login", "action", "is_public",
+]
+
+
 def feed(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
-    """All feed rows (every kind).  ``event_ts`` is an instant (UTC)."""
+    """All feed rows (every kind).  ``event_ts`` is an instant (UTC).
+
+    The fixture's ts is a naive timestamp; the pipeline works on instants,
+    and with the session pinned to UTC the cast keeps every value.  Built as
+    one SQL statement around the fixed feed text (one analysis pass).
+    """
     read_table(spark, sf_dir, "events").createOrReplaceTempView("events")
-    df = spark.sql(FEED_SQL)
-    if clean:
-        df = df.where(CLEAN_FILTER_SQL)
-    # The fixture's ts is a naive timestamp; the pipeline works on instants.
-    # With the session pinned to UTC the cast keeps every value.
-    return df.withColumn("event_ts", F.col("event_ts").cast("timestamp"))
+    cols = ", ".join(
+        "cast(event_ts as timestamp) as event_ts" if c == "event_ts" else c for c in _FEED_COLUMNS
+    )
+    where = f" where {CLEAN_FILTER_SQL}" if clean else ""
+    return spark.sql(f"select {cols} from (\n{FEED_SQL}\n) feed{where}")
 
 
 def source_events(feed_df: DataFrame, kind: str) -> DataFrame:
     """Rows of one kind with the source-table columns of that kind."""
     S.check_kind(kind)
-    df = feed_df.where(F.col("event_type") == S.KIND_TO_EVENT_TYPE[kind])
-    if kind == "fork":
-        df = df.withColumns(
-            {
-                "forkee_repo_id": F.expr(FORKEE_ID_SQL).cast("bigint"),
-                "forkee_repo_name": F.expr(FORKEE_NAME_SQL),
-            }
-        )
-    return df.select(*S.source_columns(kind))
+    extra = {
+        "forkee_repo_id": F.expr(FORKEE_ID_SQL).cast("bigint").alias("forkee_repo_id"),
+        "forkee_repo_name": F.expr(FORKEE_NAME_SQL).alias("forkee_repo_name"),
+    }
+    return feed_df.where(F.col("event_type") == S.KIND_TO_EVENT_TYPE[kind]).select(
+        *[extra.get(c, F.col(c)) for c in S.source_columns(kind)]
+    )
 
 
 def with_forkee(feed_df: DataFrame) -> DataFrame:
