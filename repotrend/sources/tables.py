@@ -157,11 +157,15 @@ def load_source(
             f"No {kind} rows under {curated_root} for file_date [{start}..{end}]. Run extraction first."
         )
     mode = "overwrite" if disposition == WRITE_TRUNCATE else "append"
-    if disposition == WRITE_EMPTY and path_exists(spark, target):
-        if not spark.read.parquet(target).isEmpty():
+    before = 0
+    if disposition != WRITE_TRUNCATE and path_exists(spark, target):
+        before = spark.read.parquet(target).count()
+        if disposition == WRITE_EMPTY and before:
             raise ValueError(f"Table {target} is not empty (WRITE_EMPTY).")
-    rows.write.mode(mode).parquet(target)
-    return spark.read.parquet(target).count()
+    # The loaded row count is observed during the write (no second scan).
+    obs = Observation("loaded_rows")
+    rows.observe(obs, F.count(F.lit(1)).alias("n")).write.mode(mode).parquet(target)
+    return before + int(obs.get["n"])
 
 
 def create_empty(spark: SparkSession, kind: str, target: str) -> None:
