@@ -54,10 +54,11 @@ def layers(src_watch: DataFrame, src_fork: DataFrame, anchor: date | str) -> dic
 def layers_checkpointed(
     src_watch: DataFrame, src_fork: DataFrame, anchor: date | str
 ) -> dict[str, DataFrame]:
-    """Like :func:`layers`, but each layer is checkpointed (written to the
-    session's checkpoint dir) before the next reads it, so every consumer —
-    e.g. the 13 branches of a quality report — scans the written layer
-    instead of recomputing the lineage back to the input."""
+    """Like :func:`layers`, but the source, staged and fact layers are
+    checkpointed (written to the session's checkpoint dir) before the next
+    reads them, so every consumer — e.g. the 13 branches of a quality
+    report — scans a written layer instead of recomputing the lineage back
+    to the input.  Marts are small aggregates of the checkpointed fact."""
     ck = lambda df: df.checkpoint(eager=True)
     out = {
         S.KIND_TO_SOURCE_TABLE["watch"]: ck(src_watch),
@@ -66,7 +67,7 @@ def layers_checkpointed(
     stg = staging_layer(out[S.KIND_TO_SOURCE_TABLE["watch"]], out[S.KIND_TO_SOURCE_TABLE["fork"]])
     out.update({k: ck(v) for k, v in stg.items()})
     out[S.FACT_TABLE] = ck(fact_layer(out[S.STAGED_TABLES["watch"]], out[S.STAGED_TABLES["fork"]]))
-    out.update({k: ck(v) for k, v in mart_layer(out[S.FACT_TABLE], anchor).items()})
+    out.update(mart_layer(out[S.FACT_TABLE], anchor))
     return out
 
 

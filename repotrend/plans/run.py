@@ -22,7 +22,7 @@ from repotrend.operators.extract import extract_events
 from repotrend.params import resolve_anchor
 from repotrend.plans import pipeline, quality
 from repotrend.session import configure
-from repotrend.sources import tables
+from repotrend.sources import manifest, tables
 from repotrend.sources.raw import read_raw
 
 
@@ -31,6 +31,7 @@ class RunResult:
     anchor: date
     paths: dict[str, str]
     checks: list[dict] = field(default_factory=list)
+    extracted_dates: list[date] = field(default_factory=list)
 
     def table(self, spark: SparkSession, name: str) -> DataFrame:
         return spark.read.parquet(self.paths[name])
@@ -54,10 +55,13 @@ def run(
     days: int = 14,
     lag_days: int = 1,
     enforce: bool = True,
+    skip_extracted: bool = False,
 ) -> RunResult:
     """Run every layer for ``anchor`` (default: today, UTC).
 
-    Loads the ``days`` dates ``anchor-days .. anchor-lag_days``.
+    Loads the ``days`` dates ``anchor-days .. anchor-lag_days``.  With
+    ``skip_extracted`` only dates whose curated partitions lack a kind are
+    re-extracted (at most ``days`` dates reach the driver).
     """
     configure(spark)
     a = resolve_anchor(anchor)
@@ -66,7 +70,17 @@ def run(
     paths = {"curated": f"{out}/curated"}
     result = RunResult(anchor=a, paths=paths)
 
-    tables.write_curated(extract_events(read_raw(spark, raw_root, start, end)), paths["curated"], start, end)
+    if skip_extracted:
+        spine = manifest.dates_between(spark, start, end)
+        todo = sorted(r.file_date for r in tables.pending_dates(spark, paths["curated"], spine).collect())
+        if todo:
+            extracted = extract_events(read_raw(spark, raw_root, dates=todo))
+            tables.write_curated(extracted, paths["curated"], dates=todo)
+        result.extracted_dates = todo
+    else:
+        extracted = extract_events(read_raw(spark, raw_root, start, end))
+        tables.write_curated(extracted, paths["curated"], start, end)
+        result.extracted_dates = tables.date_list(start, end)
 
     for kind, name in S.KIND_TO_SOURCE_TABLE.items():
         paths[name] = f"{out}/{name}"

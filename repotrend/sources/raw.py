@@ -1,7 +1,8 @@
 """Raw hourly JSON: landing layout, writer and pruned scan.
 
 Layout: ``<root>/year=YYYY/month=MM/day=DD/hour=HH/<file>.json.gz`` (all
-zero-padded), one gzip JSON-lines file per UTC hour.
+zero-padded), gzip JSON-lines files per UTC hour (one per hour as
+downloaded; the landing writer may split a large hour).
 
 Reading uses a declared schema: no inference pass over the files, a
 malformed line becomes an all-NULL row (dropped later by the type filter),
@@ -62,13 +63,16 @@ def to_raw_lines(events: DataFrame) -> DataFrame:
 
 
 def land_raw(lines: DataFrame, root: str) -> None:
-    """Write raw lines as one gzip file per hour under the Hive layout.
+    """Write raw lines as gzip files under the hourly Hive layout.
 
-    Overwrites only the hours present (dynamic partition overwrite), so a
-    re-landed hour replaces its old file and other hours stay.
+    The rebalance hint clusters rows by hour and lets AQE size the write
+    tasks: a small hour stays one file, a large hour is split over several
+    tasks instead of landing in one.  Overwrites only the hours present
+    (dynamic partition overwrite): a re-landed hour replaces its old files
+    and other hours stay.
     """
     (
-        lines.repartition(*S.RAW_PARTITION_COLUMNS)
+        lines.hint("rebalance", *S.RAW_PARTITION_COLUMNS)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "gzip")
@@ -87,12 +91,15 @@ def read_raw(
     root: str,
     start: date | str | None = None,
     end: date | str | None = None,
+    dates: list[date] | None = None,
 ) -> DataFrame:
     """Raw events (declared schema) with ``file_date``; optional inclusive
-    date range, applied as a partition filter."""
+    date range and/or explicit date set, applied as partition filters."""
     df = spark.read.schema(S.RAW_SCHEMA_WITH_PARTITIONS).json(root)
     if start is not None or end is not None:
         df = df.where(in_dates(file_date(), start, end))
+    if dates is not None:
+        df = df.where(file_date().isin([F.lit(str(d)).cast("date") for d in dates]))
     return df.withColumn("file_date", file_date())
 
 

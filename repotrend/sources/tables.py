@@ -57,18 +57,23 @@ def date_list(start: date | str, end: date | str) -> list[date]:
 # ---------------------------------------------------------------- curated
 
 def write_curated(
-    extracted: DataFrame, root: str, start: date | str, end: date | str
+    extracted: DataFrame,
+    root: str,
+    start: date | str | None = None,
+    end: date | str | None = None,
+    dates: list[date] | None = None,
 ) -> set[tuple[str, date]]:
-    """Replace the curated partitions of ``[start, end]`` with ``extracted``.
+    """Replace the curated partitions of ``[start, end]`` (or of ``dates``)
+    with ``extracted``.
 
-    ``extracted`` must already be limited to that file_date range (as
+    ``extracted`` must already be limited to those file_dates (as
     :func:`repotrend.sources.raw.read_raw` does).  Returns the
     ``(kind, file_date)`` partitions written.  No shuffle: every raw hour
     file belongs to one file_date, so each scan task writes at most one file
     per kind.
     """
     spark = extracted.sparkSession
-    wanted = date_list(start, end)
+    wanted = list(dates) if dates is not None else date_list(start, end)
     obs = Observation("curated_partitions")
     observed = extracted.observe(
         obs,

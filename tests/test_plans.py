@@ -118,3 +118,18 @@ def test_run_fails_coverage_when_a_day_is_missing(spark, tmp_root):
     with pytest.raises(quality.DataQualityError) as err:
         run(spark, tmp_root, tmp_root + "_out", Q.ANCHOR)
     assert {r["test"] for r in err.value.failed} == {"date_coverage"}
+
+
+def test_run_skips_dates_already_extracted(spark):
+    out = work_dir(spark)
+    clean_raw = Q._landed(spark, SF_SMALL, clean=True)
+    first = run(spark, clean_raw, out, Q.ANCHOR, skip_extracted=True)
+    assert len(first.extracted_dates) == 14
+    top1 = sorted(tuple(r) for r in first.table(spark, S.TOP_WATCH_TABLE).collect())
+    # remove one date's fork partition: only that date is extracted again
+    tables.delete_path(spark, out + "/curated/kind=fork/file_date=2024-01-20")
+    second = run(spark, clean_raw, out, Q.ANCHOR, skip_extracted=True)
+    from datetime import date
+
+    assert second.extracted_dates == [date(2024, 1, 20)]
+    assert sorted(tuple(r) for r in second.table(spark, S.TOP_WATCH_TABLE).collect()) == top1
