@@ -7,7 +7,6 @@ operators use ``try_*`` functions where malformed input must become NULL.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -84,16 +83,3 @@ def work_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh folder for written tables, below the shared checkpoint dir."""
     leaf = name or uuid.uuid4().hex[:12]
     return f"{checkpoint_dir(spark)}/repotrend/{leaf}"
-
-
-def local_path(uri: str) -> str:
-    """Strip a ``file:`` scheme; other schemes are returned unchanged."""
-    if uri.startswith("file://"):
-        return uri[len("file://"):]
-    if uri.startswith("file:"):
-        return uri[len("file:"):]
-    return uri
-
-
-def is_local(uri: str) -> bool:
-    return uri.startswith("file:") or uri.startswith("/") or "://" not in uri and os.sep in uri

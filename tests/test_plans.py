@@ -17,11 +17,6 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def _final_plan(df) -> str:
-    df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
 def test_top_k_is_take_ordered_not_full_sort(spark):
     p = _plan(Q.q_mart_top_watch(spark, SF_SMALL))
     assert "TakeOrderedAndProject" in p
