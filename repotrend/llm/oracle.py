@@ -6,11 +6,11 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 OP1 = f"""
 WITH RECURSIVE words AS (
-    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
     FROM documents
 ), sets AS (
     SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(range(1, greatest(len(w) - 3, 1) + 1),
-        i -> array_to_string(w[i : i + 3], ' '))) END AS s
+        lambda i: array_to_string(w[i : i + 3], ' '))) END AS s
     FROM words
 ), flat AS (SELECT doc_id, unnest(s) AS h, len(s) AS n FROM sets),
 links AS (
@@ -26,6 +26,61 @@ SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, r.component_id, s.doc_i
 FROM sets s JOIN (SELECT id, min(root) AS component_id FROM reach GROUP BY id) r ON r.id = s.doc_id
 """
 
+OP8 = """
+WITH p AS (
+    SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+    FROM pages
+), f AS (
+    SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+# The licences' statements, again: the digests are those of their canonical forms.
+OP3 = r"""
+WITH known(license, form) AS (VALUES
+    ('MIT', 'released under the mit license'),
+    ('MIT', 'licensed under the mit license'),
+    ('Apache-2.0', 'licensed under the apache license version 2 0'),
+    ('GPL-3.0', 'this work is licensed under the gnu general public license version 3'),
+    ('GPL-2.0', 'this work is licensed under the gnu general public license version 2'),
+    ('CC-BY-NC-4.0', 'licensed under cc by nc 4 0'),
+    ('CC-BY-4.0', 'licensed under cc by 4 0'),
+    ('CC-BY-SA-4.0', 'licensed under cc by sa 4 0')
+), parts AS (
+    SELECT doc_id, unnest(range(0, len(string_split(text, chr(10))) + 1)) AS line, unnest(list_concat([text], string_split(text, chr(10)))) AS part
+    FROM documents
+), forms AS (
+    SELECT doc_id, line, trim(regexp_replace(replace(lower(part), 'licence', 'license'), '[^\p{L}\p{N}]+', ' ', 'g')) AS form FROM parts
+)
+SELECT doc_id, license, bool_or(line = 0) AS whole, count(*) FILTER (WHERE line > 0) AS n_lines, min(line) FILTER (WHERE line > 0) AS first_line
+FROM forms JOIN known USING (form)
+GROUP BY doc_id, license
+"""
+
+OP4 = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0 AND list_max(list_transform(embedding, lambda y: abs(y))) > 0
+), u AS (SELECT vec_id, x, sqrt(list_dot_product(x, x)) AS n FROM v),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+    WHERE list_dot_product(a.x, b.x) / (a.n * b.n) >= 0.95
+), reach AS (
+    SELECT vec_id AS id, vec_id AS root FROM embeddings
+    UNION SELECT links.b, reach.root FROM reach JOIN links ON links.a = reach.id
+), c AS (SELECT id, min(root) AS component_id FROM reach GROUP BY id),
+n AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN c ON c.id = vec_id LEFT JOIN n ON n.a = vec_id
+"""
+
 ORACLE = {
     "op1_minhash": OP1,
+    "op3_licences": OP3,
+    "op4_covertree": OP4,
+    "op8_arc_warc": OP8,
 }
