@@ -1,26 +1,62 @@
-"""The corpus pipeline: documents in, a clean, deduplicated and tokenizable corpus out."""
+"""The corpus pipeline: documents in, a clean, deduplicated and encoded corpus out."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repotrend.llm import minhash
+from repotrend.llm import minhash, pii, prefix_bpe, pu_quality, spaced_seed
 from repotrend.llm.scratch import Scratch
 
-ORACLE_SQL = None  # a fitted classifier is the first stage
+ORACLE_SQL = None  # the first stage is a fitted classifier
+BPE = "byte_bpe_multi_50k.tiktoken"
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    model = pu_quality.trained(docs, labels)
+    scored = pu_quality.with_scores(docs, model, score_col="__score")
+    return scored.where(F.col("__score") >= pu_quality.THRESHOLD).drop("__score")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the least id."""
-    keep = minhash.near_duplicates(docs, n=5, threshold=0.8).where("kept").select("doc_id").distinct()
-    return docs.join(keep, docs.doc_id.eqNullSafe(keep.doc_id), "left_semi")
+    """One document of each group of near duplicates stays: a row of its least id.  Rows without an id stay."""
+    keep = minhash.near_duplicates(docs, n=5, threshold=0.8).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__kept")).distinct()
+    first = docs.where("doc_id IS NOT NULL").join(keep, F.col("doc_id") == F.col("__kept"), "left_semi").dropDuplicates(["doc_id"])
+    return first.unionByName(docs.where("doc_id IS NULL"))
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a passage of the benchmark go."""
+    benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    found = spaced_seed.contaminated(docs, benchmark).select(F.col("doc_id").alias("__found")).distinct()
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("__found")), "left_anti")
+
+
+def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data are replaced by their kind; n_chars follows."""
+    clean = pii.redact(docs)
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else clean
+
+
+def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids, n_bytes, round_trip) of each document."""
+    path = public_tokenizers.path(BPE)
+    done = prefix_bpe.decode(prefix_bpe.encode(docs, path, public_tokenizers.PATTERN, keep_text=True), path)
+    return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.octet_length("text").cast("long").alias("n_bytes"),
+                       (F.col("decoded") == F.col("text").cast("binary")).alias("round_trip"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", quality_stage),
     ("near_duplicates", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("pii", pii_stage),
+    ("encode", encode_stage),
 ]
 
 
