@@ -105,22 +105,30 @@ class Sorter:
         self.is_s = rises[next_change]
         self.samples = np.flatnonzero(self.is_s & ~np.concatenate(([True], self.is_s[:-1])))
 
-    def common(self, a: np.ndarray, b: np.ndarray, most: int | None = None) -> np.ndarray:
-        """How many symbols the suffixes at a and b have in common."""
-        out = np.zeros(len(a), np.int32)
-        live, n = np.arange(len(a)), len(self.text)
-        step = 16
-        while len(live):
-            x, y = a[live] + out[live], b[live] + out[live]
-            span = np.arange(step)
-            i, j = x[:, None] + span, y[:, None] + span
-            same = (i < n) & (j < n) & (self.text[np.minimum(i, n - 1)] == self.text[np.minimum(j, n - 1)])
-            run = np.where(same.all(axis=1), step, same.argmin(axis=1))
-            out[live] += run
-            live = live[run == step]
-            if most is not None:
-                live = live[out[live] < most]
-        return out
+        # Four symbols from each place on in one number, and a hash of 32.
+        wide = np.concatenate((text, np.full(32, symbols, text.dtype))).astype(np.uint64)
+        self.four = wide[:-3] | wide[1:-2] << np.uint64(16) | wide[2:-1] << np.uint64(32) | wide[3:] << np.uint64(48)
+        block, size = self.four, 4
+        while size < 32:
+            block = (block[:-size] * np.uint64(0x9E3779B97F4A7C15) ^ block[:-size] >> np.uint64(29)) + block[size:]
+            size *= 2
+        self.block = block
+
+    def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """How many symbols the (different) suffixes at a and b have in common.
+
+        Blocks of 32 symbols are compared by 64-bit hashes, the rest symbol by symbol.
+        """
+        out, n = np.zeros(len(a), np.int64), len(self.text)
+        for values, size in ((self.block, 32), (self.four, 4)):
+            live = np.arange(len(a))
+            while len(live):
+                x, y = a[live] + out[live], b[live] + out[live]
+                live = live[(np.maximum(x, y) + size <= n) & (values[np.minimum(x, n)] == values[np.minimum(y, n)])]
+                out[live] += size
+        differ = self.four[a + out] ^ self.four[b + out]  # beyond the end stand symbols of no text
+        left = n - np.maximum(a, b) - out
+        return (out + np.minimum(left, (differ & 0xFFFF == 0).astype(np.int64) * (1 + (differ & 0xFFFFFFFF == 0) * (1 + (differ & 0xFFFFFFFFFFFF == 0))))).astype(np.int32)
 
     def _kept(self, parts: list[np.ndarray]) -> np.ndarray:
         """The parts as one array, mapped from a file if the shard is large."""
@@ -232,7 +240,7 @@ class Sorter:
         size = np.diff(np.append(samples, len(self.text)))[place] + 1  # a substring ends with the next sample's first symbol
         same = size[1:] == size[:-1]
         pairs = np.flatnonzero(same)
-        same[pairs] = self.common(order[pairs], order[pairs + 1], int(size.max())) >= size[pairs]
+        same[pairs] = self.common(order[pairs], order[pairs + 1]) >= size[pairs]
         names = np.empty(len(samples), np.int64)
         names[place] = np.concatenate(([0], np.cumsum(~same)))
         return samples[_by_doubling(names)]
@@ -263,7 +271,7 @@ def _by_doubling(names: np.ndarray) -> np.ndarray:
         if k < n:
             after[:-k] = rank[k:] + 1
         key = rank * (n + 2) + after
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         fresh = np.concatenate(([0], np.cumsum(np.diff(key[order]) != 0)))
         rank = np.empty(n, np.int64)
         rank[order] = fresh

@@ -3,19 +3,23 @@
 Every byte covered by a string of ``length`` bytes that also starts elsewhere,
 in any text or the same one, goes; strings are judged on the input.
 
-1. In each window of ``length`` bytes the 16-byte gram of least hash is its
-   anchor.  Equal windows have equal anchors at equal places, so windows need
-   only be compared with those of the same anchor.  Neighbouring windows with one
-   anchor are a segment.
+1. In each window of ``length`` bytes the gram of least hash (of about a third of
+   the window) is its anchor.  Equal windows have equal anchors at equal places,
+   so windows need only be compared with those of the same anchor.  Neighbouring
+   windows with one anchor are a segment.
 2. Only anchors that occur twice matter.  Segments of one anchor that are equal
    as a whole repeat in all their windows; one of them stands for them.
-3. The texts of the distinct segments of repeated anchors are dealt by anchor to
-   shards of about ``SHARD`` bytes.  Each shard's suffixes are sorted by external
-   induced sorting (see ``induced_sort``), which gives what each has in common
-   with its neighbours: a window repeats if that is ``length`` bytes or more.
-4. An anchor with more than ``WIDE`` distinct segments (the edges of a passage
-   that very many texts share) isn't brought together: its windows are dealt
-   out by their own digests, and counted.
+3. Distinct segments of repeated anchors are cut into strips of ``STRIP``
+   neighbouring windows, counted from the anchor.  All windows of a strip hold
+   the same core of ``length - STRIP + 1`` bytes, so only strips with a core that
+   occurs twice are looked at further; again equal strips repeat as a whole.
+4. The texts of distinct strips of one core are dealt by core to shards of about
+   ``SHARD`` bytes.  Each shard's suffixes are sorted by external induced sorting (see
+   ``induced_sort``), which gives what each has in common with its neighbours: a
+   window repeats if that is ``length`` bytes or more.
+5. A core with more than ``WIDE`` strips (the edge of a passage that very many
+   texts share) isn't brought together: its windows are dealt out by their own
+   digests, and counted.
 
 Spans are then collected per distinct text, and texts are cut once.  Anchors and
 segments are 64-bit hashes; two segments are taken for equal only if anchor,
@@ -42,17 +46,17 @@ from repotrend.llm.scratch import Scratch
 from repotrend.llm.tokens import chunks, mix, text_buffer
 
 LENGTH = 400
-GRAM = 16
+STRIP = 32
 SHARD = 4 << 20
 WIDE = 256
 _BASE = 0x9E3779B97F4A7C15
 _VALUE = np.random.default_rng(5).integers(1, 2**63, 256, dtype=np.uint64)
 
 
-def _grams(data: np.ndarray) -> np.ndarray:
-    """The hash of the GRAM bytes from each place on."""
+def _grams(data: np.ndarray, gram: int) -> np.ndarray:
+    """The hash of the ``gram`` (a power of two) bytes from each place on."""
     out, size = _VALUE[data], 1
-    while size < GRAM:
+    while size < gram:
         out = out[:-size] * np.uint64(pow(_BASE, size, 2**64)) + out[size:]
         size *= 2
     return mix(out)
@@ -73,22 +77,28 @@ def _least(keys: np.ndarray, width: int) -> np.ndarray:
 _PLACE = 26  # bits of a key that hold a place; longer runs of text are cut with an overlap
 
 
-def _runs(data: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(first windows, numbers of windows, anchor hashes) of the runs of windows with one anchor."""
+def _runs(data: np.ndarray, length: int, gram: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(first windows, numbers of windows, anchors' places, anchor hashes) of the runs of windows with one anchor."""
     most = 1 << _PLACE
     for at in range(0, len(data) - length + 1, most - length + 1):
         part = data[at : at + most]
-        grams = _grams(part)
+        grams = _grams(part, gram)
         low = np.uint64(most - 1)
         keys = (grams & ~low) | np.arange(len(grams), dtype=np.uint64)
-        anchor = (_least(keys, length - GRAM + 1) & low).astype(np.int64)
+        anchor = (_least(keys, length - gram + 1) & low).astype(np.int64)
         starts = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1])))
-        yield starts + at, np.diff(np.append(starts, len(anchor))), grams[anchor[starts]]
+        yield starts + at, np.diff(np.append(starts, len(anchor))), anchor[starts] + at, grams[anchor[starts]]
 
 
-def segments(rows: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(id, doc, start, windows, anchor, seg) of (id, doc, text)."""
-    kinds = {"start": pa.int64(), "windows": pa.int32(), "anchor": pa.int64(), "seg": pa.int64()}
+def gram_size(length: int) -> int:
+    """The power of two nearest below a third of the window."""
+    return 1 << max(0, (length // 3).bit_length() - 1)
+
+
+def segments(rows: DataFrame, length: int) -> DataFrame:
+    """(id, doc, start, windows, place, anchor, seg) of (id, doc, text); place: of the anchor, from the start."""
+    kinds = {"start": pa.int64(), "windows": pa.int32(), "place": pa.int32(), "anchor": pa.int64(), "seg": pa.int64()}
+    gram = gram_size(length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,9 +107,9 @@ def segments(rows: DataFrame, length: int = LENGTH) -> DataFrame:
                 lo, hi = int(offsets[row]), int(offsets[end])
                 if hi - lo < length:
                     continue
-                bounds, rows_of, columns = offsets[row : end + 1] - lo, [], [[], [], [], []]
+                bounds, rows_of, columns = offsets[row : end + 1] - lo, [], [[] for _ in kinds]
                 part = data[lo:hi]
-                for starts, sizes, anchors in _runs(part, length):
+                for starts, sizes, places, anchors in _runs(part, length, gram):
                     # Windows that reach into the next text are none; a run may be of several texts.
                     cut = np.unique(np.concatenate((starts, bounds[(bounds > starts[0]) & (bounds < starts[-1] + sizes[-1])])))
                     own = np.searchsorted(starts, cut, "right") - 1
@@ -110,24 +120,25 @@ def segments(rows: DataFrame, length: int = LENGTH) -> DataFrame:
                     raw = part.tobytes() if len(ok) else b""
                     digest = [xxhash.xxh3_64_intdigest(raw[i : j + length - 1]) for i, j in zip(cut[ok].tolist(), stop[ok].tolist(), strict=True)]
                     rows_of.append(row + text[ok])
-                    columns[0].append(cut[ok] - bounds[text[ok]])
-                    columns[1].append((stop - cut)[ok])
-                    columns[2].append(anchors[own[ok]].view(np.int64))
-                    columns[3].append(np.array(digest, np.uint64).view(np.int64))
+                    found = (cut[ok] - bounds[text[ok]], (stop - cut)[ok], places[own[ok]] - cut[ok],
+                             anchors[own[ok]].view(np.int64), np.array(digest, np.uint64).view(np.int64))
+                    for column, values in zip(columns, found, strict=True):
+                        column.append(values)
                 if rows_of:
                     which = pa.array(np.concatenate(rows_of))
                     yield pa.RecordBatch.from_arrays(
                         [batch.column("id").take(which), batch.column("doc").take(which),
                          *(pa.array(np.concatenate(c), k) for c, k in zip(columns, kinds.values(), strict=True))], ["id", "doc", *kinds])
 
-    return rows.mapInArrow(run, "id long, doc binary, start long, windows int, anchor long, seg long")
+    return rows.mapInArrow(run, "id long, doc binary, start long, windows int, place int, anchor long, seg long")
 
 
 def _contents(wanted: DataFrame, rows: DataFrame, length: int) -> DataFrame:
-    """(id, doc, start, windows, anchor, unique, content) of the wanted segments."""
-    parts = F.collect_list(F.struct("start", "windows", "anchor", "unique")).alias("parts")  # at most a segment a byte of one text
+    """(id, doc, start, windows, place, anchor, unique, content) of the wanted segments."""
+    parts = F.collect_list(F.struct("start", "windows", "place", "anchor", "unique")).alias("parts")  # at most a segment a byte of one text
     asked = wanted.groupBy("id", "doc").agg(parts)
     met = asked.join(rows, asked.id.eqNullSafe(rows.id) & (asked.doc == rows.doc)).select(asked.id, asked.doc, "parts", "text")
+    kinds = {"start": pa.int64(), "windows": pa.int32(), "place": pa.int32(), "anchor": pa.int64(), "unique": pa.bool_()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,11 +147,48 @@ def _contents(wanted: DataFrame, rows: DataFrame, length: int) -> DataFrame:
                 n = len(cuts)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([id_.as_py()] * n, pa.int64()), pa.array([doc.as_py()] * n, pa.binary()),
-                     *(pa.array([c[k] for c in cuts], t) for k, t in (("start", pa.int64()), ("windows", pa.int32()), ("anchor", pa.int64()), ("unique", pa.bool_()))),
+                     *(pa.array([c[k] for c in cuts], t) for k, t in kinds.items()),
                      pa.array([raw[c["start"] : c["start"] + c["windows"] + length - 1] for c in cuts], pa.binary())],
-                    ["id", "doc", "start", "windows", "anchor", "unique", "content"])
+                    ["id", "doc", *kinds, "content"])
+
+    return met.mapInArrow(run, "id long, doc binary, start long, windows int, place int, anchor long, unique boolean, content binary")
 
-    return met.mapInArrow(run, "id long, doc binary, start long, windows int, anchor long, unique boolean, content binary")
+
+def _strips(contents: DataFrame, length: int, strip: int) -> DataFrame:
+    """(id, doc, start, anchor, unique, off, n, core, seg): runs of windows of a segment with one core."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owner, off, size, core, seg = [], [], [], [], []
+            for k, (windows, place, content) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("windows", "place", "content")), strict=True)):
+                at = 0
+                while at < windows:
+                    block = (place - at) // strip  # windows that start that many strips before the anchor
+                    first = place - block * strip  # where the last window of a whole strip starts
+                    last = min(windows, first + 1)
+                    owner.append(k)
+                    off.append(at)
+                    size.append(last - at)
+                    core.append(xxhash.xxh3_64_intdigest(content[first : first + length - strip + 1], seed=block) - 2**63)
+                    seg.append(xxhash.xxh3_64_intdigest(content[at : last + length - 1]) - 2**63)
+                    at = last
+            which = pa.array(owner, pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c).take(which) for c in ("id", "doc", "start", "anchor", "unique")),
+                 pa.array(off, pa.int32()), pa.array(size, pa.int32()), pa.array(core, pa.int64()), pa.array(seg, pa.int64())],
+                ["id", "doc", "start", "anchor", "unique", "off", "n", "core", "seg"])
+
+    return contents.mapInArrow(run, "id long, doc binary, start long, anchor long, unique boolean, off int, n int, core long, seg long")
+
+
+def _strip_contents(wanted: DataFrame, contents: DataFrame, length: int) -> DataFrame:
+    """(doc, start, windows, anchor, core, unique, wide, content) of the wanted strips."""
+    asked = wanted.groupBy("id", "doc", "start").agg(F.collect_list(F.struct("off", "n", "core", "wide", "single")).alias("parts"))  # of one segment
+    met = contents.join(asked, contents.id.eqNullSafe(asked.id) & (contents.doc == asked.doc) & (contents.start == asked.start))
+    part = met.select(contents.doc, contents.start, "anchor", F.col("content"), F.explode("parts").alias("p"))
+    return part.select(
+        "doc", (F.col("start") + F.col("p.off")).alias("start"), F.col("p.n").alias("windows"), "anchor", F.col("p.core").alias("core"), F.col("p.single").alias("unique"),
+        F.col("p.wide").alias("wide"), F.substring("content", F.col("p.off") + 1, F.col("p.n") + (length - 1)).alias("content"))
 
 
 def repeated_windows(contents: list[bytes], windows: np.ndarray, length: int, memory: int | None = None) -> list[np.ndarray]:
@@ -191,7 +239,7 @@ def _sorted_shards(contents: DataFrame, shards: int, length: int) -> DataFrame:
         columns = list(zip(*out, strict=True)) or [()] * 3
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.int64(), pa.int64()), strict=True)], ["doc", "lo", "hi"])
 
-    dealt = contents.select("doc", "start", "windows", "anchor", "unique", "content").repartition(shards, "anchor")
+    dealt = contents.repartition(shards, "anchor", "core").select("doc", "start", "windows", "unique", "content")
     return dealt.mapInArrow(run, _SPANS)
 
 
@@ -214,22 +262,36 @@ def repeated_spans(rows: DataFrame, length: int, scratch: Scratch, shard: int =
     """(doc, lo, hi): spans to remove from each distinct text of (id, doc, text), which may overlap."""
     own = scratch.save(segments(rows.where(F.octet_length("text") >= length), length), "segments")
     anchors = own.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    whole = own.join(anchors, "anchor").groupBy("anchor", "seg", "windows").agg(F.count("*").alias("n"), F.min(F.struct("id", "doc", "start")).alias("first"))
+    whole = own.join(anchors, "anchor").groupBy("anchor", "seg", "windows", "place").agg(F.count("*").alias("n"), F.min(F.struct("id", "doc", "start")).alias("first"))
     whole = scratch.save(whole, "whole")
     again = whole.where("n > 1").select("anchor", "seg", "windows")
     equal = own.join(again, ["anchor", "seg", "windows"]).select("doc", F.col("start").alias("lo"), (F.col("start") + F.col("windows") + (length - 1)).alias("hi")).distinct()
-
-    kinds = whole.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 AND least = 1").drop("least")
-    wanted = whole.join(kinds, "anchor").select("first.*", "windows", "anchor", (F.col("n") == 1).alias("unique"), (F.col("kinds") > wide).alias("wide"))
-    wanted = scratch.save(wanted, "wanted")
-    size = wanted.where("NOT wide").agg(F.sum(F.col("windows") + length)).first()[0] or 0
-    contents = scratch.save(_contents(wanted, rows, length).join(kinds, "anchor"), "contents")
-    narrow = _sorted_shards(contents.where(F.col("kinds") <= wide), max(1, math.ceil(size / shard)), length)
-
-    windows = _windows(contents.where(F.col("kinds") > wide), length)
+    equal = scratch.save(equal, "equal")
+    scratch.drop("segments")
+
+    kinds = whole.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).where("kinds > 1 AND least = 1").select("anchor")
+    wanted = whole.join(kinds, "anchor").select("first.*", "windows", "place", "anchor", (F.col("n") == 1).alias("unique"))
+    contents = scratch.save(_contents(wanted, rows, length), "contents")
+
+    strips = scratch.save(_strips(contents, length, min(STRIP, length // 2)), "strips")
+    alike = strips.groupBy("anchor", "core", "seg", "n").agg(
+        F.count("*").alias("copies"), F.min(F.struct("id", "doc", "start", "off", "unique")).alias("first"), F.max("unique").alias("unique"))
+    alike = scratch.save(alike, "alike")
+    twice = alike.where("copies > 1 AND unique").select("anchor", "core", "seg", "n")
+    lo = F.col("start") + F.col("off")
+    equal2 = strips.where("unique").join(twice, ["anchor", "core", "seg", "n"]).select("doc", lo.alias("lo"), (lo + F.col("n") + (length - 1)).alias("hi"))
+    equal2 = scratch.save(equal2, "equal-strips")
+    cores = alike.groupBy("anchor", "core").agg(F.count("*").alias("kinds"), F.max(F.expr("copies = 1 AND unique")).alias("open")).where("kinds > 1 AND open")
+    met = alike.join(cores.select("anchor", "core", (F.col("kinds") > wide).alias("wide")), ["anchor", "core"])
+    met = scratch.save(met.select("first.id", "first.doc", "first.start", "first.off", "n", "core", "wide", F.expr("copies = 1 AND first.unique").alias("single")), "met")
+    size = met.where("NOT wide").agg(F.sum(F.col("n") + length)).first()[0] or 0
+    parts = _strip_contents(met, contents, length)
+    narrow = _sorted_shards(parts.where("NOT wide"), max(1, math.ceil(size / shard)), length)
+
+    windows = _windows(parts.where("wide"), length)
     twice = windows.groupBy("anchor", "digest").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     broad = windows.where("unique").join(twice, ["anchor", "digest"]).select("doc", F.col("at").alias("lo"), (F.col("at") + length).alias("hi"))
-    return scratch.save(equal.union(narrow).union(broad), "spans")
+    return equal.union(equal2).union(scratch.save(narrow, "narrow")).union(scratch.save(broad, "broad"))
 
 
 def _doc_key(text: Column) -> Column:

@@ -92,11 +92,11 @@ def test_equals_brute_force_on_documents(spark, small_docs):
 def test_long_texts_in_parts(monkeypatch):
     rng = np.random.default_rng(0)
     data = rng.integers(97, 101, 5000).astype(np.uint8)
-    whole = [np.concatenate(x) for x in zip(*suffix_dedup._runs(data, 100), strict=True)]
+    whole = [np.concatenate(x) for x in zip(*suffix_dedup._runs(data, 100, 32), strict=True)]
     monkeypatch.setattr(suffix_dedup, "_PLACE", 10)
-    parts = list(suffix_dedup._runs(data, 100))
-    anchor = lambda runs: np.repeat(np.concatenate([r[2] for r in runs]), np.concatenate([r[1] for r in runs]))
-    assert len(parts) > 3 and (anchor(parts) == np.repeat(whole[2], whole[1])).all()
+    parts = list(suffix_dedup._runs(data, 100, 32))
+    anchor = lambda runs: np.repeat(np.concatenate([r[3] for r in runs]), np.concatenate([r[1] for r in runs]))
+    assert len(parts) > 3 and (anchor(parts) == np.repeat(whole[3], whole[1])).all()
 
 
 def test_edge_rows(edge_docs, no_docs):
