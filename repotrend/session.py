@@ -18,8 +18,6 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Write only the partitions a job produces; see sources.tables.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -60,26 +58,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
     Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir).  Only when neither is set — local runs and tests — a
-    private folder is created and registered, so later calls agree.
+    checkpoint dir).  Where neither is set, a session that runs in one
+    process gets a private folder; on a cluster that is an error, as its
+    machines would each write to a disk of their own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        try:
-            conf_dir = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # unset runtime conf raises in Spark Connect
-            conf_dir = None
+    conf_dir = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", "")
     if not conf_dir:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="repotrend-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return (sc.getCheckpointDir() or conf_dir).rstrip("/")
 
 
 def work_dir(spark: SparkSession, name: str | None = None) -> str:
-    """A fresh folder for written tables, below the shared checkpoint dir."""
+    """A fresh folder for written tables, below the shared checkpoint dir.
+
+    Nothing here removes it: what is in it may be read lazily for as long as
+    the caller likes.  The folder's owner clears it with the checkpoint dir.
+    """
     leaf = name or uuid.uuid4().hex[:12]
     return f"{checkpoint_dir(spark)}/repotrend/{leaf}"
