@@ -19,45 +19,26 @@ def relevant_events(raw: DataFrame) -> DataFrame:
     return raw.where(F.col("type").isin(S.WATCH_EVENT, S.FORK_EVENT))
 
 
-def _fields(with_forkee: bool) -> dict[str, Column]:
+def _fields(columns: list[str]) -> dict[str, Column]:
     ts = F.try_to_timestamp(F.col("created_at"))
-    out = {
-        "event_id": F.col("id"),
-        "event_type": F.col("type"),
-        "event_ts": ts,
-        "event_date": F.to_date(ts),
-        "event_hour": F.hour(ts),
-        "repo_id": F.col("repo.id"),
-        "repo_name": F.col("repo.name"),
-        "actor_id": F.col("actor.id"),
-        "actor_login": F.col("actor.login"),
-        "org_id": F.col("org.id"),
-        "org_login": F.col("org.login"),
-        "action": F.col("payload.action"),
-    }
-    if with_forkee:
-        out["forkee_repo_id"] = F.col("payload.forkee.id")
-        out["forkee_repo_name"] = F.col("payload.forkee.full_name")
-    out["is_public"] = F.col("public")
-    return out
+    timed = {"event_ts": ts, "event_date": F.to_date(ts), "event_hour": F.hour(ts)}
+    return {c: timed[c] if c in timed else F.col(S.RAW_PATHS[c]) for c in columns}
 
 
 def build_watch(raw: DataFrame) -> DataFrame:
     """WatchEvent rows as the 13 watch columns."""
-    f = _fields(with_forkee=False)
-    return raw.where(F.col("type") == S.WATCH_EVENT).select(*[f[c].alias(c) for c in S.WATCH_COLUMNS])
+    return raw.where(F.col("type") == S.WATCH_EVENT).select(*[f.alias(c) for c, f in _fields(S.WATCH_COLUMNS).items()])
 
 
 def build_fork(raw: DataFrame) -> DataFrame:
     """ForkEvent rows as the 15 fork columns."""
-    f = _fields(with_forkee=True)
-    return raw.where(F.col("type") == S.FORK_EVENT).select(*[f[c].alias(c) for c in S.FORK_COLUMNS])
+    return raw.where(F.col("type") == S.FORK_EVENT).select(*[f.alias(c) for c, f in _fields(S.FORK_COLUMNS).items()])
 
 
 def extract_events(raw: DataFrame) -> DataFrame:
     """Both kinds in one projection over one scan: ``kind``, ``file_date`` and
     the 15 curated columns (forkee NULL for watch rows)."""
-    f = _fields(with_forkee=True)
+    f = _fields(S.CURATED_COLUMNS)
     is_fork = F.col("type") == S.FORK_EVENT
     for c in S.FORKEE_COLUMNS:
         f[c] = F.when(is_fork, f[c])

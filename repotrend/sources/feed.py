@@ -80,12 +80,13 @@ def feed(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
     and with the session pinned to UTC the cast keeps every value.  Built as
     one SQL statement around the fixed feed text (one analysis pass).
     """
-    read_table(spark, sf_dir, "events").createOrReplaceTempView("events")
     cols = ", ".join(
         "cast(event_ts as timestamp) as event_ts" if c == "event_ts" else c for c in _FEED_COLUMNS
     )
     where = f" where {CLEAN_FILTER_SQL}" if clean else ""
-    return spark.sql(f"select {cols} from (\n{FEED_SQL}\n) feed{where}")
+    # The table is passed in, so no view of the caller's is replaced.
+    text = FEED_SQL.replace("from events)", "from {events})")
+    return spark.sql(f"select {cols} from (\n{text}\n) feed{where}", events=read_table(spark, sf_dir, "events"))
 
 
 def source_events(feed_df: DataFrame, kind: str) -> DataFrame:

@@ -3,9 +3,9 @@
 The manifest names, for every UTC hour of a window (both ends inclusive),
 the archive file ``YYYY-MM-DD-H.json.gz`` (hour not padded), its URL and its
 landing path ``<prefix>/year=YYYY/month=MM/day=DD/hour=HH/<file>`` (padded).
-Missing hours are the manifest rows with no landed file: an anti-join on a
-distributed listing (``binaryFile`` without its content column reads no
-bytes, only paths).
+Missing hours are the manifest rows whose path isn't among the landed, non-empty
+files: an anti-join with a listing of the window's days, which works as well
+before anything has landed.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repotrend import schema as S
+from repotrend.params import PUBLISH_LAG_HOURS, RUN_DAYS, Window
+from repotrend.sources import layout
 
 
 def _ts(value: datetime | str | Column) -> Column:
@@ -80,16 +81,24 @@ def with_manifest(hours: DataFrame, base_url: str, prefix: str) -> DataFrame:
     )
 
 
-def landed_hours(spark: SparkSession, raw_root: str) -> DataFrame:
-    """Hours with at least one landed file under ``raw_root``."""
-    listing = spark.read.format("binaryFile").load(raw_root).select("path", *S.RAW_PARTITION_COLUMNS)
-    return listing.select(
-        F.make_timestamp(
-            F.col("year"), F.col("month"), F.col("day"), F.col("hour"), F.lit(0), F.lit(0)
-        ).alias("hour_ts")
-    ).distinct()
+def transform_dates(events: DataFrame, ts_column: str = "event_ts", lag_hours: int = PUBLISH_LAG_HOURS, days: int = RUN_DAYS) -> DataFrame:
+    """The dates a transform loads by default, as of the last event: ``days`` up to that of the last published hour."""
+    last = F.to_date(F.max(ts_column) - F.make_interval(hours=F.lit(lag_hours)))
+    bounds = events.agg(last.alias("_e")).select(F.date_sub("_e", days - 1).alias("_s"), "_e").where("_e IS NOT NULL")
+    return date_series(bounds, F.col("_s"), F.col("_e"))
+
+
+def landed_objects(spark: SparkSession, raw_root: str, window: Window, prefix: str) -> DataFrame:
+    """(object_path, bytes) of the non-empty files landed for the window's days."""
+    root = raw_root.rstrip("/")
+    folders = layout.raw_days(spark, root, window.dates())
+    if not folders:
+        return spark.createDataFrame([], "object_path string, bytes long")
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").option("recursiveFileLookup", "true").load(folders)
+    path = F.concat(F.lit(prefix.rstrip("/") + "/"), F.regexp_extract("path", "(year=[^/]*/month=[^/]*/day=[^/]*/hour=[^/]*/[^/]*)$", 1))
+    return listing.where("length > 0").select(path.alias("object_path"), F.col("length").alias("bytes"))
 
 
 def missing_hours(manifest: DataFrame, landed: DataFrame) -> DataFrame:
-    """Manifest rows whose hour has not been landed."""
-    return manifest.join(landed, "hour_ts", "left_anti")
+    """Manifest rows whose object isn't among the landed ones."""
+    return manifest.join(landed.select("object_path"), "object_path", "left_anti").select(*manifest.columns)

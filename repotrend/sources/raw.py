@@ -1,24 +1,29 @@
 """Raw hourly JSON: landing layout, writer and pruned scan.
 
-Layout: ``<root>/year=YYYY/month=MM/day=DD/hour=HH/<file>.json.gz`` (all
-zero-padded), gzip JSON-lines files per UTC hour (one per hour as
-downloaded; the landing writer may split a large hour).
-
-Reading uses a declared schema: no inference pass over the files, a
-malformed line becomes an all-NULL row (dropped later by the type filter),
-and a date range becomes a partition filter on the path columns, so only
-that range's hour files are opened.  Gzip is not splittable: one task per
+Layout: ``<root>/year=YYYY/month=MM/day=DD/hour=HH/<file>.json.gz`` (folders
+zero-padded), gzip JSON lines, files named ``YYYY-MM-DD-H.json.gz`` as in the
+manifest (a large hour also has ``YYYY-MM-DD-H.1.json.gz`` and so on).
+
+Reading uses a declared schema: no inference pass over the files, and a line
+that is no JSON object becomes a row of NULLs but for its text, which
+:func:`malformed` counts.  A range of dates is read from the folders of those
+days alone, with the others never listed.  Gzip is not splittable: one task per
 hour file, all hours of all requested days in one job.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
+from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from repotrend import schema as S
+from repotrend.params import Window
+from repotrend.sources import layout
 
 # Fixed value: the raw ``created_at`` text format (UTC, whole seconds).
 CREATED_AT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
@@ -37,21 +42,22 @@ def to_raw_lines(events: DataFrame) -> DataFrame:
     (no org, no forkee) are omitted from the object, as in the feed.
     """
     ts = F.col("event_ts")
-    has_org = F.col("org_id").isNotNull() | F.col("org_login").isNotNull()
-    forkee_id, forkee_name = _opt(events, "forkee_repo_id"), _opt(events, "forkee_repo_name")
-    forkee = F.when(
-        forkee_id.isNotNull() | forkee_name.isNotNull(),
-        F.struct(forkee_id.cast("bigint").alias("id"), forkee_name.cast("string").alias("full_name")),
-    )
+    at = {path: _opt(events, column).cast(S.COLUMN_TYPES[column]) for column, path in S.RAW_PATHS.items()}
+
+    def part(prefix: str, optional: bool = False) -> Column:
+        fields = {path[len(prefix) :]: c for path, c in at.items() if path.startswith(prefix) and "." not in path[len(prefix) :]}
+        made = F.struct(*[c.alias(name) for name, c in fields.items()])
+        return F.when(F.coalesce(*[c.cast("string") for c in fields.values()]).isNotNull(), made) if optional else made
+
     obj = F.struct(
-        F.col("event_id").alias("id"),
-        F.col("event_type").alias("type"),
+        at["id"].alias("id"),
+        at["type"].alias("type"),
         F.date_format(ts, CREATED_AT_FORMAT).alias("created_at"),
-        F.col("is_public").alias("public"),
-        F.struct(F.col("actor_id").alias("id"), F.col("actor_login").alias("login")).alias("actor"),
-        F.struct(F.col("repo_id").alias("id"), F.col("repo_name").alias("name")).alias("repo"),
-        F.when(has_org, F.struct(F.col("org_id").alias("id"), F.col("org_login").alias("login"))).alias("org"),
-        F.struct(F.col("action").alias("action"), forkee.alias("forkee")).alias("payload"),
+        at["public"].alias("public"),
+        part("actor.").alias("actor"),
+        part("repo.").alias("repo"),
+        part("org.", optional=True).alias("org"),
+        F.struct(at["payload.action"].alias("action"), part("payload.forkee.", optional=True).alias("forkee")).alias("payload"),
     )
     return events.select(
         F.to_json(obj).alias("value"),
@@ -62,23 +68,64 @@ def to_raw_lines(events: DataFrame) -> DataFrame:
     )
 
 
-def land_raw(lines: DataFrame, root: str) -> None:
-    """Write raw lines as gzip files under the hourly Hive layout.
+def land_raw(lines: DataFrame, root: str) -> list[str]:
+    """Write raw lines as gzip files under the hourly layout; returns the files.
 
-    The rebalance hint clusters rows by hour and lets AQE size the write
-    tasks: a small hour stays one file, a large hour is split over several
-    tasks instead of landing in one.  Overwrites only the hours present
-    (dynamic partition overwrite): a re-landed hour replaces its old files
-    and other hours stay.
+    Rows are clustered by hour and AQE sizes the write tasks: a small hour stays
+    one file, a large one is split over several tasks.  All hours are written
+    beside the layout first; each is then put in place of what its folder had
+    under the manifest's name, so a failed write replaces nothing, and hours
+    without rows stay as they are.
     """
+    spark = lines.sparkSession
+    root = root.rstrip("/")
+    beside = f"{root}/_landing-{layout.fresh('/x', 'n').rpartition('-')[2]}"
     (
         lines.hint("rebalance", *S.RAW_PARTITION_COLUMNS)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", "gzip")
+        .write.option("compression", "gzip")
         .partitionBy(*S.RAW_PARTITION_COLUMNS)
-        .text(root)
+        .text(beside)
     )
+    landed = []
+    for folder in _hour_folders(spark, beside):
+        parts = folder[len(beside) :] if folder.startswith(beside) else folder[folder.index("/year=") :]
+        year, month, day, hour = (x.partition("=")[2] for x in parts.strip("/").split("/"))
+        files = [p for p, size, _ in layout.children(spark, folder) if size and "/part-" in p]
+        layout.delete_path(spark, root + parts)
+        for k, file in enumerate(files):
+            name = f"{year}-{month}-{day}-{int(hour)}{f'.{k}' if k else ''}.json.gz"
+            landed.append(f"{root}{parts}/{name}")
+            layout.move(spark, file, landed[-1])
+    layout.delete_path(spark, beside)
+    return landed
+
+
+def _hour_folders(spark: SparkSession, root: str) -> list[str]:
+    folders = [root]
+    for column in S.RAW_PARTITION_COLUMNS:
+        folders = [p for f in folders for p, _, _ in layout.children(spark, f) if f"/{column}=" in p]
+    return folders
+
+
+def land_missing(lines: DataFrame, root: str, window: Window) -> list[str]:
+    """Land only those hours of the window (of days) that have no landed file; returns the files written."""
+    have = landed_hours(lines.sparkSession, root, window.dates())
+    hours = [f"{d:%Y%m%d}{h:02d}" for d, own in have.items() for h in own]  # 24 a day at most
+    key = F.concat(*S.RAW_PARTITION_COLUMNS)
+    inside = F.make_date(*[F.col(c).cast("int") for c in ("year", "month", "day")]).between(F.lit(window.start), F.lit(window.end))
+    return land_raw(lines.where(inside & ~key.isin(hours) if hours else inside), root)
+
+
+def landed_hours(spark: SparkSession, root: str, days: Iterable[date]) -> dict[date, dict[int, tuple[int, int, int]]]:
+    """day -> hour -> (files, bytes, last modification) of non-empty landed files, listing those days only."""
+    found: dict[date, dict[int, tuple[int, int, int]]] = defaultdict(dict)
+    for day in days:
+        for folder, _, _ in layout.children(spark, layout.raw_day(root, day)):
+            hour = folder.rpartition("/hour=")[2]
+            own = [x for x in layout.children(spark, folder) if x[1] and x[0].endswith(".gz")] if hour.isdigit() else []
+            if own:
+                found[day][int(hour)] = (len(own), sum(x[1] for x in own), max(x[2] for x in own))
+    return dict(found)
 
 
 def file_date() -> Column:
@@ -92,17 +139,36 @@ def read_raw(
     start: date | str | None = None,
     end: date | str | None = None,
     dates: list[date] | None = None,
+    with_corrupt: bool = False,
 ) -> DataFrame:
-    """Raw events (declared schema) with ``file_date``; optional inclusive
-    date range and/or explicit date set, applied as partition filters."""
-    df = spark.read.schema(S.RAW_SCHEMA_WITH_PARTITIONS).json(root)
-    if start is not None or end is not None:
-        df = df.where(in_dates(file_date(), start, end))
-    if dates is not None:
-        df = df.where(file_date().isin([F.lit(str(d)).cast("date") for d in dates]))
+    """Raw events (declared schema) with ``file_date``, of a window of days, of given days, or of all.
+
+    ``with_corrupt`` adds the text of lines that are no JSON object.
+    """
+    schema = S.RAW_SCHEMA_WITH_PARTITIONS
+    if with_corrupt:
+        schema = T.StructType([*schema.fields, T.StructField(S.CORRUPT_COLUMN, T.StringType())])
+    days = dates if dates is not None else Window.of(start, end).dates() if start is not None and end is not None else None
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", S.CORRUPT_COLUMN)
+    if days is None:
+        df = reader.json(root).where(in_dates(file_date(), start, end))
+    elif folders := layout.raw_days(spark, root, days):
+        df = reader.option("basePath", root).json(folders)
+    else:
+        df = spark.createDataFrame([], schema)
     return df.withColumn("file_date", file_date())
 
 
+def malformed(raw: DataFrame) -> DataFrame:
+    """(file_date, n_lines, n_malformed) of a scan with corrupt lines."""
+    return raw.groupBy("file_date").agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(no_json()).alias("n_malformed"))
+
+
+def no_json() -> Column:
+    """Whether a line, read with its corrupt text, is no JSON object."""
+    return F.col(S.CORRUPT_COLUMN).isNotNull() & F.col("type").isNull()
+
+
 def in_dates(c: Column, start: date | str | None, end: date | str | None) -> Column:
     cond = F.lit(True)
     if start is not None:
@@ -114,19 +180,5 @@ def in_dates(c: Column, start: date | str | None, end: date | str | None) -> Col
 
 def flatten_raw(raw: DataFrame) -> DataFrame:
     """Raw rows with nested fields as flat columns (for inspection)."""
-    return raw.select(
-        "id",
-        "type",
-        "created_at",
-        "public",
-        F.col("actor.id").alias("actor_id"),
-        F.col("actor.login").alias("actor_login"),
-        F.col("repo.id").alias("repo_id"),
-        F.col("repo.name").alias("repo_name"),
-        F.col("org.id").alias("org_id"),
-        F.col("org.login").alias("org_login"),
-        F.col("payload.action").alias("action"),
-        F.col("payload.forkee.id").alias("forkee_id"),
-        F.col("payload.forkee.full_name").alias("forkee_full_name"),
-        *S.RAW_PARTITION_COLUMNS,
-    )
+    flat = [F.col(path).alias(path.removeprefix("payload.").replace(".", "_")) for path in S.RAW_PATHS.values()]
+    return raw.select("created_at", *flat, *S.RAW_PARTITION_COLUMNS)

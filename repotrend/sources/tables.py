@@ -1,96 +1,115 @@
-"""Curated, source, fact and mart tables (Parquet folders).
+"""Curated, source, fact and mart tables (Parquet folders, by name if wanted).
 
 Curated events: one table for both kinds, partitioned by ``(kind,
-file_date)`` where ``file_date`` is the raw file's date and ``event_date``
-an ordinary column.  Re-extracting a date range replaces exactly the
-``(kind, file_date)`` partitions of that range:
-
-* partitions the new output has are swapped in by dynamic partition
-  overwrite (a straggler row of D-1 in D's file lands in ``file_date=D`` and
-  cannot clobber D-1);
-* requested partitions the new output lacks are removed, as an overwrite of
-  that range would.  Which partitions were written is observed during the
-  write itself (a set of at most ``2 * days`` keys), so no second pass.
+file_date)`` where ``file_date`` is the raw file's date and ``event_date`` an
+ordinary column.  Writing a set of dates replaces exactly their partitions; a
+straggler row of D-1 in D's file lands in ``file_date=D`` and leaves D-1 alone.
+Which landed hours each date was extracted from is kept in a ledger beside the
+partitions (``_hours``), so what is complete is known without reading rows.
+
+Whole tables are rebuilt beside the old one and put in its place when they are
+complete: a failed write leaves the old table.
 """
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from repotrend import schema as S
-from repotrend.params import check_range, parse_iso_date
+from repotrend.params import Window, as_date
+from repotrend.sources import layout
+from repotrend.sources.layout import delete_path, path_exists
 from repotrend.sources.raw import in_dates
 
+__all__ = ["delete_path", "path_exists"]
+
 WRITE_TRUNCATE = "WRITE_TRUNCATE"
 WRITE_APPEND = "WRITE_APPEND"
 WRITE_EMPTY = "WRITE_EMPTY"
 DISPOSITIONS = (WRITE_TRUNCATE, WRITE_APPEND, WRITE_EMPTY)
 
-
-# ------------------------------------------------------------ filesystem
-
-def _fs_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _fs_path(spark, path)
-    return bool(fs.exists(p))
+# day -> hour -> (files, bytes, last modification), as listed by raw.landed_hours
+Landed = dict[date, dict[int, tuple[int, int, int]]]
+_LEDGER = "file_date date, hour int, files int, bytes long, modified long, kinds string"
 
 
-def delete_path(spark: SparkSession, path: str) -> bool:
-    p, fs = _fs_path(spark, path)
-    return bool(fs.exists(p) and fs.delete(p, True))
-
+# ---------------------------------------------------------------- curated
 
-def date_list(start: date | str, end: date | str) -> list[date]:
-    s, e = parse_iso_date(start), parse_iso_date(end)
-    check_range(s, e)
-    return [s + timedelta(days=i) for i in range((e - s).days + 1)]
+def _partition(root: str, kind: str, day: date) -> str:
+    return f"{root.rstrip('/')}/kind={kind}/file_date={day.isoformat()}"
 
 
-# ---------------------------------------------------------------- curated
+def write_curated(extracted: DataFrame, root: str, landed: Landed) -> set[tuple[str, date]]:
+    """Replace the curated partitions of the landed days with ``extracted``.
 
-def write_curated(
-    extracted: DataFrame,
-    root: str,
-    start: date | str | None = None,
-    end: date | str | None = None,
-    dates: list[date] | None = None,
-) -> set[tuple[str, date]]:
-    """Replace the curated partitions of ``[start, end]`` (or of ``dates``)
-    with ``extracted``.
-
-    ``extracted`` must already be limited to those file_dates (as
-    :func:`repotrend.sources.raw.read_raw` does).  Returns the
-    ``(kind, file_date)`` partitions written.  No shuffle: every raw hour
-    file belongs to one file_date, so each scan task writes at most one file
-    per kind.
+    ``extracted`` must be what was read from those days.  A day of ``landed``
+    that has no rows of a kind loses that kind's partition; days without landed
+    hours can't be given, so history whose raw files are gone stays.  Returns the
+    ``(kind, file_date)`` partitions written.  No shuffle: every raw hour file
+    belongs to one file_date, so each scan task writes at most one file per kind.
     """
+    if empty := [d for d, hours in landed.items() if not hours]:
+        raise ValueError(f"no landed hours for {empty[0]}: its curated rows can't be replaced")
     spark = extracted.sparkSession
-    wanted = list(dates) if dates is not None else date_list(start, end)
     obs = Observation("curated_partitions")
-    observed = extracted.observe(
-        obs,
-        F.collect_set(F.concat_ws("|", F.col("kind"), F.col("file_date").cast("string"))).alias("parts"),
-    )
+    key = F.concat_ws("|", F.col("kind"), F.col("file_date").cast("string"))
     (
-        observed.write.mode("overwrite")
+        extracted.observe(obs, F.collect_set(key).alias("parts"))  # two a day at most
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*S.CURATED_PARTITION_COLUMNS)
         .parquet(root)
     )
-    written = {tuple(p.split("|")) for p in (obs.get.get("parts") or [])}
+    written = {(k, as_date(d)) for k, d in (p.split("|") for p in obs.get.get("parts") or [])}
     for kind in S.KIND_TO_EVENT_TYPE:
-        for d in wanted:
-            if (kind, d.isoformat()) not in written:
-                delete_path(spark, f"{root}/kind={kind}/file_date={d.isoformat()}")
-    return {(k, parse_iso_date(d)) for k, d in written}
+        for day in landed:
+            if (kind, day) not in written:
+                delete_path(spark, _partition(root, kind, day))
+    _write_ledger(spark, root, landed, written)
+    return written
+
+
+def _write_ledger(spark: SparkSession, root: str, landed: Landed, written: set[tuple[str, date]]) -> None:
+    rows = [
+        (day, hour, *signature, ",".join(sorted(k for k, d in written if d == day)))
+        for day, hours in landed.items() for hour, signature in hours.items()
+    ]
+    if rows:
+        spark.createDataFrame(rows, _LEDGER).coalesce(1).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("file_date").parquet(f"{root.rstrip('/')}/_hours")
+
+
+def extracted_hours(spark: SparkSession, root: str, days: list[date]) -> dict[date, tuple[dict[int, tuple[int, int, int]], list[str]]]:
+    """day -> (the landed hours it was last extracted from, the kinds it then had)."""
+    folders = [f for d in days if path_exists(spark, f := f"{root.rstrip('/')}/_hours/file_date={d.isoformat()}")]
+    if not folders:
+        return {}
+    rows = spark.read.schema(_LEDGER).option("basePath", f"{root.rstrip('/')}/_hours").parquet(*folders).collect()  # 24 a day
+    out: dict = {}
+    for r in rows:
+        hours, _ = out.setdefault(r.file_date, ({}, r.kinds.split(",") if r.kinds else []))
+        hours[r.hour] = (r.files, r.bytes, r.modified)
+    return out
+
+
+def pending_dates(spark: SparkSession, root: str, days: list[date], landed: Landed) -> list[date]:
+    """The days of which a landed hour is not in the curated table as it is now, or that never were extracted.
+
+    A day is done if it was extracted from just the hours that are landed now
+    (the same files by size and time), or if its raw files are gone, and the
+    partitions it then had are there.
+    """
+    known = extracted_hours(spark, root, days)
+    pending = []
+    for day in days:
+        hours, kinds = known.get(day, (None, []))
+        same = hours is not None and (day not in landed or landed[day] == hours)
+        if not same or not all(path_exists(spark, _partition(root, k, day)) for k in kinds):
+            pending.append(day)
+    return pending
 
 
 def read_curated(
@@ -100,37 +119,55 @@ def read_curated(
     start: date | str | None = None,
     end: date | str | None = None,
 ) -> DataFrame:
-    """Curated rows, pruned to a kind and an inclusive file_date range."""
-    df = spark.read.parquet(root)
-    if kind is not None:
-        S.check_kind(kind)
-        df = df.where(F.col("kind") == kind)
-    if start is not None or end is not None:
-        df = df.where(in_dates(F.col("file_date"), start, end))
-    return df
-
-
-def committed_dates(spark: SparkSession, root: str, start: date | str, end: date | str) -> DataFrame:
-    """file_dates in range holding both kinds (reads partition values only)."""
-    return (
-        read_curated(spark, root, start=start, end=end)
-        .groupBy("file_date")
-        .agg(F.count_distinct("kind").alias("kinds"))
-        .where(F.col("kinds") == len(S.KIND_TO_EVENT_TYPE))
-        .select("file_date")
-    )
+    """Curated rows, of one kind or both, of a window of file dates or all; only those folders are listed."""
+    kinds = [S.check_kind(kind)] if kind is not None else list(S.KIND_TO_EVENT_TYPE)
+    if start is None or end is None:
+        folders = [f for k in kinds if path_exists(spark, f := f"{root.rstrip('/')}/kind={k}")]
+    else:
+        folders = [f for k in kinds for d in Window.of(start, end).dates() if path_exists(spark, f := _partition(root, k, d))]
+    if not folders:
+        return spark.createDataFrame([], S.CURATED_SCHEMA)
+    return spark.read.schema(S.CURATED_SCHEMA).option("basePath", root).parquet(*folders).where(in_dates(F.col("file_date"), start, end))
+
 
+# --------------------------------------------------------- whole tables
 
-def pending_dates(spark: SparkSession, root: str, dates: DataFrame) -> DataFrame:
-    """Dates of ``dates`` (column ``file_date``) still lacking a kind in the
-    curated table: the dates an incremental run must (re)extract."""
-    if not path_exists(spark, root):
-        return dates
-    bounds = dates.agg(F.min("file_date").alias("s"), F.max("file_date").alias("e")).first()
-    if bounds["s"] is None:
-        return dates
-    done = committed_dates(spark, root, bounds["s"], bounds["e"])
-    return dates.join(done, "file_date", "left_anti")
+def replace_table(df: DataFrame, target: str, partition_by: tuple[str, ...] = (), least: int = 0) -> int:
+    """Write ``df`` beside ``target`` and put it in its place; returns its rows.
+
+    With fewer rows than ``least`` the old table stays and 0 is returned.
+    """
+    spark = df.sparkSession
+    beside, old = layout.fresh(target, "new"), layout.fresh(target, "old")
+    obs = Observation("rows")
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.partitionBy(*partition_by).parquet(beside)
+    n = int(obs.get["n"])
+    if n < least:
+        delete_path(spark, beside)
+        return 0
+    if path_exists(spark, target):
+        layout.move(spark, target, old)
+    layout.move(spark, beside, target)
+    delete_path(spark, old)
+    spark.catalog.refreshByPath(target)
+    return n
+
+
+def write_table(df: DataFrame, root: str) -> None:
+    """Full rebuild of an unpartitioned table."""
+    replace_table(df, root)
+
+
+def register(spark: SparkSession, database: str, name: str, path: str, partitioned: bool = False) -> str:
+    """Make the table in a folder known by name, in place of what had the name; returns the name."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    full = f"`{database}`.`{name}`"
+    spark.sql(f"DROP TABLE IF EXISTS {full}")
+    columns = spark.read.parquet(path).schema
+    spark.catalog.createTable(f"{database}.{name}", path=path, source="parquet", schema=None if partitioned else columns)
+    if partitioned:
+        spark.catalog.recoverPartitions(f"{database}.{name}")
+    return f"{database}.{name}"
 
 
 # ----------------------------------------------------------------- source
@@ -148,51 +185,39 @@ def load_source(
 
     Dispositions: WRITE_TRUNCATE replaces the table, WRITE_APPEND adds to
     it, WRITE_EMPTY writes only when the table is absent or has no rows.
-    Raises when the range holds no rows.  Returns the table's row count.
+    Raises when the range holds no rows, with the table as it was.  Rows are
+    counted while they are written.  Returns the table's row count.
     """
-    S.check_kind(kind)
     if disposition not in DISPOSITIONS:
-        raise ValueError(f"Unsupported write disposition: {disposition}")
-    check_range(parse_iso_date(start), parse_iso_date(end))
-    if not path_exists(spark, curated_root):
-        raise FileNotFoundError(f"No curated data under {curated_root}. Run extraction first.")
-    rows = read_curated(spark, curated_root, kind, start, end).select(*S.source_columns(kind))
-    if rows.isEmpty():
-        raise FileNotFoundError(
-            f"No {kind} rows under {curated_root} for file_date [{start}..{end}]. Run extraction first."
-        )
-    mode = "overwrite" if disposition == WRITE_TRUNCATE else "append"
+        raise ValueError(f"no such write disposition: {disposition!r}")
+    rows = read_curated(spark, curated_root, kind, *_bounds(start, end)).select(*S.source_columns(kind))
     before = 0
     if disposition != WRITE_TRUNCATE and path_exists(spark, target):
         before = spark.read.parquet(target).count()
         if disposition == WRITE_EMPTY and before:
-            raise ValueError(f"Table {target} is not empty (WRITE_EMPTY).")
-    # The loaded row count is observed during the write (no second scan).
-    obs = Observation("loaded_rows")
-    rows.observe(obs, F.count(F.lit(1)).alias("n")).write.mode(mode).parquet(target)
-    return before + int(obs.get["n"])
+            raise ValueError(f"{target} has {before} rows, so WRITE_EMPTY can't load it")
+    if disposition == WRITE_APPEND and before:
+        obs = Observation("loaded_rows")
+        rows.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(target)
+        loaded = int(obs.get["n"])
+    else:
+        loaded = replace_table(rows, target, least=1)
+    if not loaded:
+        raise FileNotFoundError(f"{curated_root} has no {kind} rows from {start} to {end}; extract them first")
+    return before + loaded
 
 
-def create_empty(spark: SparkSession, kind: str, target: str) -> None:
-    """An empty source table of ``kind`` (schema only)."""
-    schema = source_schema(kind)
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(target)
+def _bounds(start: date | str, end: date | str) -> tuple[date, date]:
+    window = Window.of(start, end)
+    return window.start, window.end
 
 
-def source_schema(kind: str):
-    from pyspark.sql import types as T
-
-    types = {
-        "event_id": T.StringType(), "event_type": T.StringType(), "event_ts": T.TimestampType(),
-        "event_hour": T.IntegerType(), "repo_id": T.LongType(), "repo_name": T.StringType(),
-        "actor_id": T.LongType(), "actor_login": T.StringType(), "org_id": T.LongType(),
-        "org_login": T.StringType(), "action": T.StringType(), "forkee_repo_id": T.LongType(),
-        "forkee_repo_name": T.StringType(), "is_public": T.BooleanType(),
-    }
-    return T.StructType([T.StructField(c, types[c]) for c in S.source_columns(kind)])
+def create_empty(spark: SparkSession, kind: str, target: str) -> None:
+    """An empty source table of ``kind`` (schema only)."""
+    spark.createDataFrame([], S.struct_of(S.source_columns(kind))).write.mode("overwrite").parquet(target)
 
 
-# ----------------------------------------------------------- fact, marts
+# ------------------------------------------------------------------- fact
 
 def write_fact(fact: DataFrame, root: str) -> None:
     """Full rebuild of the fact, partitioned by event_date and clustered by
@@ -201,14 +226,8 @@ def write_fact(fact: DataFrame, root: str) -> None:
     The rebalance hint lets AQE size the write tasks (splitting a large day,
     merging small ones) instead of sending each whole day to one task.
     """
-    (
-        fact.hint("rebalance", "event_date")
-        .sortWithinPartitions("event_date", "repo_id")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("event_date")
-        .parquet(root)
-    )
+    clustered = fact.hint("rebalance", "event_date").sortWithinPartitions("event_date", "repo_id")
+    replace_table(clustered, root, ("event_date",))
 
 
 def read_fact(
@@ -218,8 +237,3 @@ def read_fact(
     if start is not None or end is not None:
         df = df.where(in_dates(F.col("event_date"), start, end))
     return df.select(*S.FACT_COLUMNS)
-
-
-def write_table(df: DataFrame, root: str) -> None:
-    """Full rebuild of an unpartitioned table."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(root)
