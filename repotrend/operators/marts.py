@@ -82,16 +82,6 @@ def top_forked(fact: DataFrame, anchor: date | str, k: int = 10) -> DataFrame:
     return top_repos(weekly_fork(fact, anchor), "weekly_fork_count", k)
 
 
-RISING_COLUMNS = [
-    "repo_id",
-    "repo_name",
-    "current_week_watch_count",
-    "prev_week_watch_count",
-    "watch_count_delta",
-    "watch_growth_ratio",
-]
-
-
 def _rising_columns(cur: F.Column, prev: F.Column) -> list:
     return [
         F.col("repo_id"),
@@ -117,6 +107,40 @@ def rising_repos_join(fact: DataFrame, anchor: date | str, min_count: int = 20)
     return _rising_order(out.where(F.col("current_week_watch_count") >= min_count))
 
 
+def week_frame(fact: DataFrame, anchor: date | str) -> DataFrame:
+    """Per repo, the sums that all marts of an anchor are made of, in one pass over its two weeks.
+
+    cur_watch, cur_fork and prev_watch; cur_rows is the number of the repo's
+    fact rows in the current week.
+    """
+    cur, prev = in_trailing_window("event_date", anchor, WEEK), in_trailing_window("event_date", anchor, 2 * WEEK, WEEK)
+    return fact.where(in_trailing_window("event_date", anchor, 2 * WEEK)).groupBy(*S.REPO_KEYS).agg(
+        F.sum(F.when(cur, F.col("watch_events_cnt"))).cast("bigint").alias("cur_watch"),
+        F.sum(F.when(cur, F.col("fork_events_cnt"))).cast("bigint").alias("cur_fork"),
+        F.sum(F.when(prev, F.col("watch_events_cnt"))).cast("bigint").alias("prev_watch"),
+        countif(cur).alias("cur_rows"),
+    )
+
+
+def marts_of(weeks: DataFrame) -> dict[str, DataFrame]:
+    """The four marts of a :func:`week_frame`; the rising one without an order."""
+    now = weeks.where("cur_rows > 0").select(
+        *S.REPO_KEYS, F.col("cur_watch").alias("weekly_watch_count"), F.col("cur_fork").alias("weekly_fork_count"))
+    return {
+        S.TOP_WATCH_TABLE: top_repos(now.drop("weekly_fork_count"), "weekly_watch_count"),
+        S.TOP_FORK_TABLE: top_repos(now.drop("weekly_watch_count"), "weekly_fork_count"),
+        S.RISING_TABLE: _rising(weeks),
+        S.INTENT_TABLE: intent_rates(repo_intent(repo_activity(now))),
+    }
+
+
+def _rising(weeks: DataFrame, min_count: int = 20) -> DataFrame:
+    null_key = F.col("repo_id").isNull() | F.col("repo_name").isNull()
+    prev = F.when(null_key, F.lit(0)).otherwise(F.coalesce(F.col("prev_watch"), F.lit(0)))
+    cur = F.coalesce(F.col("cur_watch"), F.lit(0))
+    return weeks.where("cur_rows > 0").select(*_rising_columns(cur, prev)).where(F.col("current_week_watch_count") >= min_count)
+
+
 def rising_repos(fact: DataFrame, anchor: date | str, min_count: int = 20) -> DataFrame:
     """Week-over-week watch change for repos with ``min_count``+ watches this week.
 
@@ -125,23 +149,7 @@ def rising_repos(fact: DataFrame, anchor: date | str, min_count: int = 20) -> Da
     without a current-week row are dropped, and a NULL key gets previous 0
     (the join's '=' never matches NULL).  Decliners are kept.
     """
-    in_cur = in_trailing_window("event_date", anchor, WEEK)
-    in_prev = in_trailing_window("event_date", anchor, 2 * WEEK, WEEK)
-    agg = (
-        fact.where(in_trailing_window("event_date", anchor, 2 * WEEK))
-        .groupBy(*S.REPO_KEYS)
-        .agg(
-            F.sum(F.when(in_cur, F.col("watch_events_cnt"))).alias("_cur"),
-            F.sum(F.when(in_prev, F.col("watch_events_cnt"))).alias("_prev"),
-            countif(in_cur).alias("_cur_rows"),
-        )
-        .where(F.col("_cur_rows") > 0)
-    )
-    null_key = F.col("repo_id").isNull() | F.col("repo_name").isNull()
-    prev = F.when(null_key, F.lit(0)).otherwise(F.coalesce(F.col("_prev"), F.lit(0)))
-    cur = F.coalesce(F.col("_cur"), F.lit(0))
-    out = agg.select(*_rising_columns(cur, prev))
-    return _rising_order(out.where(F.col("current_week_watch_count") >= min_count))
+    return _rising_order(_rising(week_frame(fact, anchor), min_count))
 
 
 def repo_activity(weekly_wf: DataFrame, threshold: int = 20) -> DataFrame:

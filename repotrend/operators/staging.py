@@ -2,9 +2,9 @@
 
 Semantics: a staged table holds each *distinct full row* of the source once.
 Two rows with one event_id but different content both stay (that is what
-the ``unique`` check then reports).  The six-step "count ids, split by
-count, join back, distinct, union distinct" form reduces to ``distinct``;
-the steps are still available one by one for inspection.
+the ``unique`` check then reports).  Counting ids, splitting by count, joining back and a
+distinct union reduce to ``distinct``; the steps are there one by one for
+inspection, and :func:`stage_events_stepwise` only to test that they agree.
 
 Skew: ``distinct`` and per-id counts aggregate map-side before the shuffle,
 so a hot event_id or repo costs at most one row per map task per distinct
@@ -48,17 +48,11 @@ def duplicate_event_ids(staged_input: DataFrame) -> DataFrame:
 def non_duplicate_events(staged_input: DataFrame) -> DataFrame:
     """Rows whose event_id occurs once.
 
-    One aggregation instead of count-then-join: each id keeps its count and
-    an arbitrary row; where the count is one that row *is* the event.  The
-    aggregate is partial (map-side), so a hot id never lands in one task.
+    Ids alone are counted (a hash aggregate, partial, so a hot id is one row a
+    task); whole rows are shuffled once, for the left-semi join, and no row
+    passes through a sort-based aggregate.
     """
-    cols = staged_input.columns
-    return (
-        staged_input.groupBy("event_id")
-        .agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*cols)).alias("_row"))
-        .where(F.col("_n") == 1)
-        .select("_row.*")
-    )
+    return staged_input.join(unique_event_ids(staged_input), "event_id", "left_semi").select(*staged_input.columns)
 
 
 def duplicate_events(staged_input: DataFrame) -> DataFrame:

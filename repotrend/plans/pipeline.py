@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from repotrend import schema as S
 from repotrend.operators import facts, marts, staging
 from repotrend.plans import quality
-from repotrend.session import checkpoint_dir, configure
+from repotrend.session import configure, work_dir
 from repotrend.sources import feed as feeds
 
 
@@ -51,22 +51,20 @@ def layers(src_watch: DataFrame, src_fork: DataFrame, anchor: date | str) -> dic
     return out
 
 
-def layers_checkpointed(
-    src_watch: DataFrame, src_fork: DataFrame, anchor: date | str
-) -> dict[str, DataFrame]:
-    """Like :func:`layers`, but the source, staged and fact layers are
-    checkpointed (written to the session's checkpoint dir) before the next
-    reads them, so every consumer — e.g. the 13 branches of a quality
-    report — scans a written layer instead of recomputing the lineage back
-    to the input.  Marts are small aggregates of the checkpointed fact."""
-    ck = lambda df: df.checkpoint(eager=True)
-    out = {
-        S.KIND_TO_SOURCE_TABLE["watch"]: ck(src_watch),
-        S.KIND_TO_SOURCE_TABLE["fork"]: ck(src_fork),
-    }
-    stg = staging_layer(out[S.KIND_TO_SOURCE_TABLE["watch"]], out[S.KIND_TO_SOURCE_TABLE["fork"]])
-    out.update({k: ck(v) for k, v in stg.items()})
-    out[S.FACT_TABLE] = ck(fact_layer(out[S.STAGED_TABLES["watch"]], out[S.STAGED_TABLES["fork"]]))
+def layers_written(src_watch: DataFrame, src_fork: DataFrame, anchor: date | str, root: str) -> dict[str, DataFrame]:
+    """Like :func:`layers`, but the source, staged and fact layers are written as
+    Parquet tables below ``root`` before the next reads them, so each consumer
+    (the branches of a quality report, say) scans the columns it needs of a
+    written layer.  Marts are small aggregates of the written fact."""
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{root}/{name}")
+        return df.sparkSession.read.schema(df.schema).parquet(f"{root}/{name}")
+
+    sources = zip(S.KIND_TO_SOURCE_TABLE.values(), (src_watch, src_fork), strict=True)
+    out = {name: written(df, name) for name, df in sources}
+    out.update({k: written(v, k) for k, v in staging_layer(*out.values()).items()})
+    out[S.FACT_TABLE] = written(fact_layer(out[S.STAGED_TABLES["watch"]], out[S.STAGED_TABLES["fork"]]), S.FACT_TABLE)
     out.update(mart_layer(out[S.FACT_TABLE], anchor))
     return out
 
@@ -76,14 +74,14 @@ def in_memory_layers(
     sf_dir: str,
     clean: bool = False,
     anchor: date | str = feeds.FIXTURE_ANCHOR,
-    checkpointed: bool = False,
+    written: bool = False,
 ) -> dict[str, DataFrame]:
     configure(spark)
-    if checkpointed:
-        checkpoint_dir(spark)
     src = feeds.sources(spark, sf_dir, clean=clean)
-    build = layers_checkpointed if checkpointed else layers
-    out = build(src["watch"], src["fork"], anchor)
+    if written:
+        out = layers_written(src["watch"], src["fork"], anchor, work_dir(spark))
+    else:
+        out = layers(src["watch"], src["fork"], anchor)
     out["fct_repo_daily"] = out[S.FACT_TABLE]
     return out
 

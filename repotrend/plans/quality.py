@@ -7,8 +7,8 @@ data test:
 * ``unique``           (unique_field, n_records) for non-NULL values seen twice+
 * ``accepted_values``  (value_field, n_records) for values outside the list;
                        NULL passes
-* ``date_coverage``    (distinct_date_count) when fewer than ``days`` distinct
-                       dates of the timestamp fall in ``[anchor-days, anchor)``
+* ``date_coverage``    (distinct_date_count) when a date is missing among those
+                       from ``days`` to ``lag`` before the anchor
 
 and a *count* form used by the report: the number of failing rows.  The
 report computes all not_null / accepted_values / coverage counts of a model
@@ -27,12 +27,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from repotrend.functions import in_trailing_window
+from repotrend.params import LAG_DAYS, RUN_DAYS
 
 ERROR = "error"
 WARN = "warn"
 
-REPORT_COLUMNS = ["layer", "model", "test", "column_name", "severity", "failures", "status"]
-
 
 class DataQualityError(RuntimeError):
     """An error-severity check failed; later layers must not run."""
@@ -51,7 +50,8 @@ class Check:
     column: str
     severity: str = ERROR
     values: tuple[str, ...] = field(default_factory=tuple)
-    days: int = 14
+    days: int = RUN_DAYS
+    lag: int = LAG_DAYS
 
 
 # --------------------------------------------------------- failing rows
@@ -77,28 +77,16 @@ def accepted_values_failures(df: DataFrame, column: str, values) -> DataFrame:
     )
 
 
-def _covered_date(ts_column: str, anchor: date | str, days: int) -> Column:
+def _covered_date(ts_column: str, anchor: date | str, days: int, lag: int) -> Column:
     d = F.to_date(F.col(ts_column))
-    return F.when(in_trailing_window(d, anchor, days), d)
-
-
-def date_coverage_failures(df: DataFrame, ts_column: str, anchor: date | str, days: int = 14) -> DataFrame:
-    return (
-        df.agg(F.count_distinct(_covered_date(ts_column, anchor, days)).alias("distinct_date_count"))
-        .where(F.col("distinct_date_count") < days)
-    )
+    return F.when(in_trailing_window(d, anchor, days, lag - 1), d)
 
 
-def failing_rows(df: DataFrame, check: Check, anchor: date | str) -> DataFrame:
-    if check.test == "not_null":
-        return not_null_failures(df, check.column)
-    if check.test == "unique":
-        return unique_failures(df, check.column)
-    if check.test == "accepted_values":
-        return accepted_values_failures(df, check.column, check.values)
-    if check.test == "date_coverage":
-        return date_coverage_failures(df, check.column, anchor, check.days)
-    raise ValueError(f"unknown test {check.test}")
+def date_coverage_failures(
+    df: DataFrame, ts_column: str, anchor: date | str, days: int = RUN_DAYS, lag: int = LAG_DAYS
+) -> DataFrame:
+    found = df.agg(F.count_distinct(_covered_date(ts_column, anchor, days, lag)).alias("distinct_date_count"))
+    return found.where(F.col("distinct_date_count") < days - lag + 1)
 
 
 # ---------------------------------------------------------------- report
@@ -126,10 +114,10 @@ def _row_sql(check: Check, failures: str) -> str:
     )
 
 
-def _date_window_sql(ts_col: str, anchor, days: int) -> str:
+def _date_window_sql(ts_col: str, anchor, check: Check) -> str:
     d = f"to_date({ts_col})"
     a = f"date {_sql_str(str(anchor))}"
-    return f"case when {d} >= date_sub({a}, {days}) and {d} < {a} then {d} end"
+    return f"case when {d} between date_sub({a}, {check.days}) and date_sub({a}, {check.lag}) then {d} end"
 
 
 def model_report(df: DataFrame, checks: list[Check], anchor: date | str) -> DataFrame:
@@ -153,8 +141,8 @@ def model_report(df: DataFrame, checks: list[Check], anchor: date | str) -> Data
                 aggs.append(f"count(distinct case when not ({col} in ({vals})) then {col} end) as _c{i}")
                 n = f"_c{i}"
             elif c.test == "date_coverage":
-                aggs.append(f"count(distinct {_date_window_sql(col, anchor, c.days)}) as _c{i}")
-                n = f"case when _c{i} < {int(c.days)} then 1 else 0 end"
+                aggs.append(f"count(distinct {_date_window_sql(col, anchor, c)}) as _c{i}")
+                n = f"case when _c{i} < {c.days - c.lag + 1} then 1 else 0 end"
             else:
                 raise ValueError(f"unknown test {c.test}")
             rows.append(_row_sql(c, n))
@@ -199,13 +187,14 @@ def _nn(layer, model, *cols):
     return [Check(layer, model, "not_null", c) for c in cols]
 
 
-def pipeline_checks() -> list[Check]:
+def pipeline_checks(days: int = RUN_DAYS, lag: int = LAG_DAYS) -> list[Check]:
     """The checks gating each layer (fixed list: 27 not_null, 4 unique,
-    3 accepted_values, 2 date coverage)."""
+    3 accepted_values, 2 date coverage) of a run that loads the dates from
+    ``days`` to ``lag`` before its anchor."""
     checks: list[Check] = []
     for model in ("source_watch_events", "source_fork_events"):
         checks += [
-            Check("source", model, "date_coverage", "event_ts", days=14),
+            Check("source", model, "date_coverage", "event_ts", days=days, lag=lag),
             Check("source", model, "not_null", "event_id"),
             Check("source", model, "unique", "event_id", severity=WARN),
             Check("source", model, "not_null", "event_ts"),
@@ -247,5 +236,5 @@ def pipeline_checks() -> list[Check]:
     return checks
 
 
-def layer_checks(layer: str) -> list[Check]:
-    return [c for c in pipeline_checks() if c.layer == layer]
+def layer_checks(layer: str, days: int = RUN_DAYS, lag: int = LAG_DAYS) -> list[Check]:
+    return [c for c in pipeline_checks(days, lag) if c.layer == layer]

@@ -1,29 +1,36 @@
 """The gated end-to-end run for one anchor date.
 
-extract raw -> curated  |  load sources  |  source checks  |  staging tables
+extract raw -> curated  |  load sources  |  source checks  |  staging
 |  staging checks  |  fact table  |  fact checks  |  mart tables  |  mart checks
 
-Every layer is written as a table in the run folder before its checks run,
-so each check and each later layer reads Parquet, not the lineage back to
-the raw JSON (a lost executor recomputes from the last written table).  An
+Every layer is a table in the run folder before its checks run, so each check
+and each later layer reads Parquet, not the lineage back to the raw JSON.  An
 error-severity failure stops the run before the next layer; warnings are
-reported.
+reported.  With a database, tables are known by name there as well, and staging
+is a view over the source tables.
+
+``python -m repotrend.plans.run RAW OUT [--anchor D] ...`` is the form for
+spark-submit.
 """
 
 from __future__ import annotations
 
+import argparse
+from collections.abc import Sequence
 from dataclasses import dataclass, field
-from datetime import date, timedelta
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from repotrend import schema as S
-from repotrend.operators.extract import extract_events
-from repotrend.params import resolve_anchor
+from repotrend.operators import marts
+from repotrend.params import LAG_DAYS, RUN_DAYS, anchor_date, run_window
 from repotrend.plans import pipeline, quality
-from repotrend.session import configure
-from repotrend.sources import manifest, tables
-from repotrend.sources.raw import read_raw
+from repotrend.plans.extraction import extract_days
+from repotrend.session import configure, get_session
+from repotrend.sources import tables
+
+LAYERS = ("extract", "source", "staging", "fact", "marts")
 
 
 @dataclass
@@ -32,19 +39,20 @@ class RunResult:
     paths: dict[str, str]
     checks: list[dict] = field(default_factory=list)
     extracted_dates: list[date] = field(default_factory=list)
+    malformed_lines: int = 0
+    database: str | None = None
 
     def table(self, spark: SparkSession, name: str) -> DataFrame:
-        return spark.read.parquet(self.paths[name])
+        """A table or view of the run, by its name."""
+        return spark.table(f"{self.database}.{name}") if self.database and name != "curated" else spark.read.parquet(self.paths[name])
 
 
-def _check_layer(spark, layer, paths, anchor, result, enforce):
-    checks = quality.layer_checks(layer)
-    frames = {m: spark.read.parquet(paths[m]) for m in dict.fromkeys(c.model for c in checks)}
-    rep = quality.report(frames, checks, anchor)
-    if enforce:
-        result.checks += quality.gate(rep)
-    else:
-        result.checks += [r.asDict() for r in rep.collect()]
+def _staging_view(spark: SparkSession, database: str, kind: str) -> None:
+    columns = ", ".join("to_date(event_ts) AS event_date" if c == "event_date" else c for c in S.STAGED_COLUMNS)
+    spark.sql(
+        f"CREATE OR REPLACE VIEW `{database}`.`{S.STAGED_TABLES[kind]}` AS SELECT DISTINCT {columns} "
+        f"FROM `{database}`.`{S.KIND_TO_SOURCE_TABLE[kind]}` "
+        "WHERE event_id IS NOT NULL AND repo_id IS NOT NULL AND event_ts IS NOT NULL")
 
 
 def run(
@@ -52,55 +60,95 @@ def run(
     raw_root: str,
     out_root: str,
     anchor: date | str | None = None,
-    days: int = 14,
-    lag_days: int = 1,
+    days: int = RUN_DAYS,
+    lag_days: int = LAG_DAYS,
     enforce: bool = True,
     skip_extracted: bool = False,
+    missing_raw: str = "raise",
+    layers: Sequence[str] = LAYERS,
+    database: str | None = None,
 ) -> RunResult:
-    """Run every layer for ``anchor`` (default: today, UTC).
-
-    Loads the ``days`` dates ``anchor-days .. anchor-lag_days``.  With
-    ``skip_extracted`` only dates whose curated partitions lack a kind are
-    re-extracted (at most ``days`` dates reach the driver).
+    """Run the given layers for ``anchor`` (default: today, UTC).
+
+    Loads the dates from ``days`` to ``lag_days`` before the anchor.  With
+    ``skip_extracted`` only dates of which landed hours are not yet extracted are
+    read again.  Dates without raw files stop the run before anything is written,
+    or keep their curated rows with ``missing_raw="keep"``.  A layer that isn't
+    named is taken as an earlier run left it in ``out_root``.  With ``enforce``
+    off, failures are reported only.
     """
     configure(spark)
-    a = resolve_anchor(anchor)
-    start, end = a - timedelta(days=days), a - timedelta(days=lag_days)
+    if unknown := set(layers) - set(LAYERS):
+        raise ValueError(f"no such layers: {sorted(unknown)}")
+    a = anchor_date(anchor)
+    window = run_window(a, days, lag_days)
     out = out_root.rstrip("/")
-    paths = {"curated": f"{out}/curated"}
-    result = RunResult(anchor=a, paths=paths)
-
-    if skip_extracted:
-        spine = manifest.dates_between(spark, start, end)
-        todo = sorted(r.file_date for r in tables.pending_dates(spark, paths["curated"], spine).collect())
-        if todo:
-            extracted = extract_events(read_raw(spark, raw_root, dates=todo))
-            tables.write_curated(extracted, paths["curated"], dates=todo)
-        result.extracted_dates = todo
-    else:
-        extracted = extract_events(read_raw(spark, raw_root, start, end))
-        tables.write_curated(extracted, paths["curated"], start, end)
-        result.extracted_dates = tables.date_list(start, end)
-
-    for kind, name in S.KIND_TO_SOURCE_TABLE.items():
-        paths[name] = f"{out}/{name}"
-        tables.load_source(spark, paths["curated"], kind, start, end, paths[name], tables.WRITE_TRUNCATE)
-    _check_layer(spark, "source", paths, a, result, enforce)
-
-    src = {k: spark.read.parquet(paths[n]) for k, n in S.KIND_TO_SOURCE_TABLE.items()}
-    for name, df in pipeline.staging_layer(src["watch"], src["fork"]).items():
-        paths[name] = f"{out}/{name}"
-        tables.write_table(df, paths[name])
-    _check_layer(spark, "staging", paths, a, result, enforce)
-
-    stg = {k: spark.read.parquet(paths[n]) for k, n in S.STAGED_TABLES.items()}
-    paths[S.FACT_TABLE] = f"{out}/{S.FACT_TABLE}"
-    tables.write_fact(pipeline.fact_layer(stg["watch"], stg["fork"]), paths[S.FACT_TABLE])
-    _check_layer(spark, "fact", paths, a, result, enforce)
-
-    fact = tables.read_fact(spark, paths[S.FACT_TABLE])
-    for name, df in pipeline.mart_layer(fact, a).items():
-        paths[name] = f"{out}/{name}"
-        tables.write_table(df, paths[name])
-    _check_layer(spark, "marts", paths, a, result, enforce)
+    names = [*S.KIND_TO_SOURCE_TABLE.values(), *S.STAGED_TABLES.values(), S.FACT_TABLE,
+             S.TOP_WATCH_TABLE, S.TOP_FORK_TABLE, S.RISING_TABLE, S.INTENT_TABLE]
+    result = RunResult(a, {n: f"{out}/{n}" for n in ["curated", *names]}, database=database)
+    paths = result.paths
+
+    def made(name: str, partitioned: bool = False) -> None:
+        if database:
+            tables.register(spark, database, name, paths[name], partitioned)
+
+    def check(layer: str) -> None:
+        wanted = quality.layer_checks(layer, days, lag_days)
+        frames = {m: result.table(spark, m) for m in dict.fromkeys(c.model for c in wanted)}
+        rep = quality.report(frames, wanted, a)
+        result.checks += quality.gate(rep) if enforce else [r.asDict() for r in rep.collect()]
+
+    if "extract" in layers:
+        done = extract_days(spark, raw_root, paths["curated"], window.dates(), missing_raw, only_pending=skip_extracted)
+        result.extracted_dates, result.malformed_lines = done.dates, done.malformed
+
+    if "source" in layers:
+        for kind, name in S.KIND_TO_SOURCE_TABLE.items():
+            tables.load_source(spark, paths["curated"], kind, window.start, window.end, paths[name], tables.WRITE_TRUNCATE)
+            made(name)
+        check("source")
+
+    if "staging" in layers:
+        if database:
+            for kind in S.STAGED_TABLES:
+                _staging_view(spark, database, kind)
+        else:
+            src = [result.table(spark, n) for n in S.KIND_TO_SOURCE_TABLE.values()]
+            for name, df in pipeline.staging_layer(*src).items():
+                tables.write_table(df, paths[name])
+        check("staging")
+
+    if "fact" in layers:
+        staged = [result.table(spark, n) for n in S.STAGED_TABLES.values()]
+        tables.write_fact(pipeline.fact_layer(*staged), paths[S.FACT_TABLE])
+        made(S.FACT_TABLE, partitioned=True)
+        check("fact")
+
+    if "marts" in layers:
+        weeks = f"{out}/_weeks"  # one pass over the fact for all four
+        tables.write_table(marts.week_frame(tables.read_fact(spark, paths[S.FACT_TABLE]), a), weeks)
+        for name, df in marts.marts_of(spark.read.parquet(weeks)).items():
+            tables.write_table(df, paths[name])
+            made(name)
+        check("marts")
     return result
+
+
+def main(argv: list[str] | None = None) -> RunResult:
+    p = argparse.ArgumentParser(prog="repotrend.plans.run", description="One gated run.")
+    p.add_argument("raw_root")
+    p.add_argument("out_root")
+    p.add_argument("--anchor")
+    p.add_argument("--days", type=int, default=RUN_DAYS)
+    p.add_argument("--lag-days", type=int, default=LAG_DAYS)
+    p.add_argument("--layers", default=",".join(LAYERS))
+    p.add_argument("--skip-extracted", action="store_true")
+    p.add_argument("--missing-raw", choices=("raise", "keep"), default="raise")
+    p.add_argument("--database")
+    a = p.parse_args(argv)
+    return run(get_session(), a.raw_root, a.out_root, a.anchor, a.days, a.lag_days, skip_extracted=a.skip_extracted,
+               missing_raw=a.missing_raw, layers=a.layers.split(","), database=a.database)
+
+
+if __name__ == "__main__":
+    main()

@@ -14,7 +14,7 @@ A = "2024-01-30"
 
 @pytest.fixture(scope="module")
 def layers(spark):
-    return pipeline.in_memory_layers(spark, SF_MID, checkpointed=True)
+    return pipeline.in_memory_layers(spark, SF_MID, written=True)
 
 
 def test_feed_and_staging_counts(spark, layers):

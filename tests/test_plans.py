@@ -98,7 +98,7 @@ def test_gated_run_stops_on_error_and_passes_on_clean_feed(spark):
     assert res.table(spark, S.INTENT_TABLE).count() == 3
     plain_raw = Q._landed(spark, SF_SMALL)
     with pytest.raises(quality.DataQualityError) as err:
-        run(spark, plain_raw, out + "/bad", Q.ANCHOR)
+        run(spark, plain_raw, out + "/bad", Q.ANCHOR, missing_raw="keep")
     # at this scale the NULL ids fall outside the window: staging is the first
     # layer with an error (duplicate fork ids); nothing after it was written
     assert {(r["model"], r["test"]) for r in err.value.failed} == {("stg_fork_events", "unique")}
@@ -110,8 +110,13 @@ def test_run_fails_coverage_when_a_day_is_missing(spark, tmp_root):
     from pyspark.sql import functions as F
 
     raw.land_raw(raw.to_raw_lines(f.where(F.to_date("event_ts") != F.lit("2024-01-20").cast("date"))), tmp_root)
-    with pytest.raises(quality.DataQualityError) as err:
+    from repotrend.plans.extraction import RawMissing
+
+    with pytest.raises(RawMissing):
         run(spark, tmp_root, tmp_root + "_out", Q.ANCHOR)
+    assert not tables.path_exists(spark, tmp_root + "_out")
+    with pytest.raises(quality.DataQualityError) as err:
+        run(spark, tmp_root, tmp_root + "_out", Q.ANCHOR, missing_raw="keep")
     assert {r["test"] for r in err.value.failed} == {"date_coverage"}
 
 
@@ -128,3 +133,66 @@ def test_run_skips_dates_already_extracted(spark):
 
     assert second.extracted_dates == [date(2024, 1, 20)]
     assert sorted(tuple(r) for r in second.table(spark, S.TOP_WATCH_TABLE).collect()) == top1
+
+
+def test_other_windows_and_single_layers(spark):
+    out = work_dir(spark)
+    clean_raw = Q._landed(spark, SF_SMALL, clean=True)
+    first = run(spark, clean_raw, out, Q.ANCHOR, days=14, lag_days=2)
+    assert len(first.extracted_dates) == 13
+    assert len(run(spark, clean_raw, work_dir(spark), Q.ANCHOR, days=7, layers=("extract", "source")).extracted_dates) == 7
+    again = run(spark, clean_raw, out, Q.ANCHOR, days=14, lag_days=2, layers=["marts"])
+    assert {r["layer"] for r in again.checks} == {"marts"} and again.extracted_dates == []
+    for bad in ({"days": 1, "lag_days": 2}, {"lag_days": 0}, {"layers": ["nothing"]}):
+        with pytest.raises(ValueError):
+            run(spark, clean_raw, out + "/never", Q.ANCHOR, **bad)
+    assert not tables.path_exists(spark, out + "/never")
+
+
+def test_tables_and_views_by_name(spark):
+    clean_raw = Q._landed(spark, SF_SMALL, clean=True)
+    out, database = work_dir(spark), "named_run"
+    plain = run(spark, clean_raw, work_dir(spark), Q.ANCHOR)
+    for _ in range(2):  # a second run replaces what the names stand for
+        res = run(spark, clean_raw, out, Q.ANCHOR, database=database)
+    for name in [*S.KIND_TO_SOURCE_TABLE.values(), *S.STAGED_TABLES.values(), S.FACT_TABLE, S.TOP_WATCH_TABLE, S.RISING_TABLE, S.INTENT_TABLE]:
+        by_name = spark.sql(f"SELECT * FROM {database}.{name}")
+        n = plain.table(spark, name).count()
+        assert by_name.count() == res.table(spark, name).count() == n and (n > 0 or name == S.RISING_TABLE), name
+    assert not tables.path_exists(spark, res.paths["stg_watch_events"])
+    spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def test_failed_rebuilds_keep_the_old_table(spark, tmp_root):
+    tables.write_table(spark.range(3), tmp_root + "/t")
+    with pytest.raises(Exception, match="boom"):
+        tables.write_table(spark.range(3).selectExpr("if(id = 2, raise_error('boom'), id) AS id"), tmp_root + "/t")
+    assert spark.read.parquet(tmp_root + "/t").count() == 3
+    assert tables.replace_table(spark.range(0), tmp_root + "/t", least=1) == 0 and spark.read.parquet(tmp_root + "/t").count() == 3
+    spark.range(1).selectExpr("id", "1 AS p").write.partitionBy("p").parquet(tmp_root + "/own")
+    spark.range(1).selectExpr("id", "2 AS p").write.mode("overwrite").partitionBy("p").parquet(tmp_root + "/own")
+    assert spark.read.parquet(tmp_root + "/own").count() == 1  # the session's overwrite mode is the caller's
+
+
+def test_shared_folder_is_required_on_a_cluster():
+    from types import SimpleNamespace
+
+    from repotrend.session import checkpoint_dir
+
+    conf = SimpleNamespace(get=lambda k, d=None: d)
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="yarn")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=conf))
+
+
+def test_step_aggregates_hash_ids_only(spark):
+    p = _plan(Q.QUERIES["non_duplicate_events_watch"](spark, SF_SMALL))
+    assert "SortAggregate" not in p and "ObjectHashAggregate" not in p
+
+
+def test_marts_of_a_run_share_one_pass(spark):
+    fc = Q._fact(spark, SF_SMALL)
+    weeks = marts.week_frame(fc, Q.ANCHOR)
+    shared = {k: sorted(map(str, v.collect())) for k, v in marts.marts_of(weeks).items()}
+    assert shared == {k: sorted(map(str, v.collect())) for k, v in pipeline.mart_layer(fc, Q.ANCHOR).items()}
+    assert "Sort [" not in _plan(marts.marts_of(weeks)[S.RISING_TABLE])
