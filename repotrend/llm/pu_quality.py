@@ -37,6 +37,7 @@ POSITIVES, UNLABELLED = 8_000, 12_000
 FOLDS = 5
 THRESHOLD = 0.3
 HIDDEN, STEPS, BATCH, RATE, DECAY = 24, 3_000, 1_024, 0.01, 1e-4
+OWN = 13  # features besides the marks
 MARKS = np.array([c for c in range(33, 127) if not chr(c).isalnum()], np.int64)
 
 
@@ -61,7 +62,7 @@ def _line_repetition(text: bytes) -> tuple[float, float]:
 def features(column: pa.Array) -> np.ndarray:
     """A row of style features for each text."""
     data, offsets = text_buffer(column)
-    out = np.zeros((len(column), len(MARKS) + 12))
+    out = np.zeros((len(column), len(MARKS) + OWN))
     for row, end in chunks(offsets):
         words, first = word_hashes(data, offsets[row : end + 1])
         for k in range(row, end):
@@ -78,7 +79,7 @@ def features(column: pa.Array) -> np.ndarray:
             out[k, len(MARKS) :] = (
                 np.log1p(len(own)), count[65:91].sum() / max(1, letters), count[48:58].sum() / n, count[128:].sum() / n,
                 count[10] / w, letters / n, len(times) / w, times.max(initial=0) / w, len(times) / np.sqrt(w),
-                n / w / 10, repeated, np.log1p(line),
+                n / w / 10, repeated, np.log1p(line), np.sqrt((own[1:] == own[:-1]).sum() / w),
             )
     return out
 
@@ -141,7 +142,7 @@ def _features_of(docs: DataFrame, ids: DataFrame) -> np.ndarray:
 
     chosen = docs.join(F.broadcast(ids), "id", "left_semi").dropDuplicates(["id"]).select("text")
     rows = [np.frombuffer(r.x, np.float64) for r in chosen.mapInArrow(run, "x binary").collect()]
-    return np.stack(rows) if rows else np.zeros((0, len(MARKS) + 12))
+    return np.stack(rows) if rows else np.zeros((0, len(MARKS) + OWN))
 
 
 def trained(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Classifier | float:
