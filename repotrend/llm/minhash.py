@@ -45,6 +45,7 @@ from repotrend.llm.scratch import Scratch
 from repotrend.llm.tokens import mix, text_shingles
 
 ROWS, BANDS = 2, 14
+OFTEN, MOST_OFTEN = 32, 4096  # members of a pivot that make a shingle frequent; how many such are put last
 
 
 def _multipliers(k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -92,10 +93,11 @@ def shingle_sets(docs: DataFrame, n: int) -> DataFrame:
 
 
 def _met(pairs: DataFrame, sets: DataFrame, run, schema: str) -> DataFrame:
-    """``run`` over the sets sa and sb of each pair (a, b)."""
-    both = pairs.select("a", "b").join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(
+    """``run`` over the sets sa and sb of each pair (a, b, often)."""
+    often = F.col("often") if "often" in pairs.columns else F.lit(None).cast("array<long>").alias("often")
+    both = pairs.select("a", "b", often).join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(
         sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
-    return both.select("a", "b", "sa", "sb").mapInArrow(run, schema)
+    return both.select("a", "b", "often", "sa", "sb").mapInArrow(run, schema)
 
 
 def _pairs_of(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -125,14 +127,21 @@ def compared(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def _own_shingles(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """(b, h, a, more): least shingles h of a that b hasn't, enough of them that every partner in reach has one; more: how many there are besides."""
+    """(b, h, a, more): shingles h of a that b hasn't, and how many there are besides.
+
+    They are the least ones, with those in ``often`` (the same for all of one b)
+    counted as larger than any other: so many that every partner in reach of a
+    has one among its own.  With a threshold of 0, all of them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts, more = [], []
-            for x, y in _pairs_of(batch):
-                own = np.setdiff1d(x, y, assume_unique=True)
-                own.sort()
+            for (x, y), often in zip(_pairs_of(batch), batch.column("often"), strict=True):
+                own = np.sort(np.setdiff1d(x, y, assume_unique=True))
+                if often.is_valid:
+                    last = np.isin(own, often.values.to_numpy().view(np.uint64))
+                    own = np.concatenate((own[~last], own[last]))
                 parts.append(own[: len(x) - int(threshold * len(x) - 1e-6)])
                 more.append(len(own) - len(parts[-1]))
             times = [len(p) for p in parts]
@@ -145,6 +154,19 @@ def _own_shingles(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFr
     return _met(pairs, sets, run, "b long, h long, a long, more long")
 
 
+def _rarest_own_shingles(pairs: DataFrame, sets: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
+    """``_own_shingles`` with those that many members of a pivot share last, where there are such."""
+    own = scratch.save(_own_shingles(pairs, sets, threshold), "own-plain")
+    crowded = own.groupBy("b", "h").agg(F.count("*").alias("n")).where(F.col("n") > OFTEN).select("b").distinct()
+    crowded = scratch.save(crowded, "crowded")
+    again = pairs.join(crowded, "b")
+    counts = _own_shingles(again, sets, 0.0).groupBy("b", "h").agg(F.count("*").alias("n")).where(F.col("n") > OFTEN)
+    often = counts.groupBy("b").agg(F.sort_array(F.collect_list(F.struct("n", "h")), asc=False).alias("f"))
+    often = often.select("b", F.slice("f", 1, MOST_OFTEN).h.alias("often"))
+    rest = own.join(crowded, "b", "left_anti")
+    return rest.union(_own_shingles(again.join(often, "b"), sets, threshold))
+
+
 def _cells(sig: DataFrame, bands: int) -> DataFrame:
     """(key, id, n, pop): the table keys of each class, of hashes that another class shares."""
     flat = sig.select("id", "n_shingles", F.posexplode("bands").alias("pos", "band"))
@@ -178,22 +200,26 @@ def links(docs: DataFrame, sig: DataFrame, n: int, threshold: float, bands: int,
         star.select(F.col("b").alias("p"), F.col("b").alias("id"), F.col("nb").alias("n"), F.col("nb").alias("i")).distinct())
     label = components(first, scratch, "cc-star")
     member = member.join(label, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
+    member = scratch.save(member, "members")
     least = F.min(F.when(F.expr(f"i >= {threshold} * n - 1e-6"), F.col("n"))).alias("least")
     main = F.max(F.when(F.col("id") == F.col("p"), F.col("c"))).alias("main")
-    still = member.groupBy("p").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), least, main).where("lo < hi").drop("lo", "hi")
-    member = scratch.save(member.join(still, "p"), "member")
+    still = member.groupBy("p").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), least, main, F.count("*").alias("size"))
+    # A pair is looked at with one pivot: that of the most members if it is the same for both.
+    top = member.join(still.select("p", "size"), "p").groupBy("id").agg(F.max(F.struct("size", "p")).alias("top")).select("id", F.col("top.p").alias("top"))
+    still = still.where("lo < hi").drop("lo", "hi", "size")
+    member = scratch.save(member.join(still, "p").join(top, "id"), "member")
 
     x, y = member.alias("x"), member.alias("y")
     enough = f"{need} * (x.n + y.n) - 1e-6"
     # What the sizes and the pivot allow: the part of the pivot that only one of them has counts against the pair.
-    apart = F.expr("x.c <> y.c AND x.id <> y.id") & F.expr(f"x.i + {enough} <= y.i + x.n AND y.i + {enough} <= x.i + y.n")
+    apart = F.expr("x.c <> y.c AND x.id <> y.id AND (x.top <> y.top OR x.top = x.p)") & F.expr(f"x.i + {enough} <= y.i + x.n AND y.i + {enough} <= x.i + y.n")
     pair = [F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")]
     # Without a common shingle outside the pivot's.
     odd = member.where(f"c <> main AND i >= {need} * (n + least) - 1e-6").alias("x")
     inside = odd.join(y, F.expr("x.p = y.p") & apart & F.expr(f"least(x.i, y.i) >= {enough}")).select(*pair)
     # With some.
     own = member.where("id <> p").select(F.col("id").alias("a"), F.col("p").alias("b"))
-    own = scratch.save(_own_shingles(own, sets, threshold), "own").select(F.col("b").alias("p"), "h", F.col("a").alias("id"), "more")
+    own = scratch.save(_rarest_own_shingles(own, sets, threshold, scratch), "own").select(F.col("b").alias("p"), "h", F.col("a").alias("id"), "more")
     own = own.join(member, ["p", "id"])
     u, v = own.alias("x"), own.alias("y")
     beside = u.join(v, F.expr("x.p = y.p AND x.h = y.h AND x.id < y.id") & apart).groupBy("x.p", "x.id", "y.id").agg(
