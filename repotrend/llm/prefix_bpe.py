@@ -29,8 +29,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHED_PIECES = 300_000  # per worker; the caches start anew beyond their size
-CACHED_PAIRS = 1_000_000
+CACHED_PIECES = 300_000  # per worker
+CACHED_PAIRS = 300_000
 
 
 class Vocabulary:
@@ -41,11 +41,13 @@ class Vocabulary:
         self.bytes_of: list[bytes] = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             self.bytes_of[rank] = token
-        self.text_of = [str(k) for k in range(len(self.bytes_of))]
-        self.reach = [0] * 256  # the longest token that ends in a byte
-        for token in ranks:
-            self.reach[token[-1]] = max(self.reach[token[-1]], len(token))
         self.longest = max(map(len, ranks))
+        # Lengths of the tokens that end in three bytes, longest first; any place may have tokens of two bytes and one.
+        sizes: dict[bytes, set[int]] = {}
+        for token in ranks:
+            if len(token) > 2:
+                sizes.setdefault(token[-3:], set()).add(len(token))
+        self.sizes = {tail: (*sorted(own, reverse=True), 2, 1) for tail, own in sizes.items()}
         self._halves: dict[int, tuple[int, int] | None] = {}
         self._whole: dict[int, bool] = {}
         self._pairs: dict[tuple[int, int], bool] = {}
@@ -111,6 +113,34 @@ class Vocabulary:
         self._pairs[left, right] = known
         return known
 
+    def extend(self, data: bytes, last: list[int], end: int) -> None:
+        """Add the last tokens of the prefixes of ``data`` up to ``end`` to those in ``last``."""
+        rank, sizes, pairs, whole = self.ranks.get, self.sizes.get, self._pairs.get, self._whole.get
+        for at in range(len(last) + 1, end + 1):
+            for size in sizes(data[at - 3 : at], (2, 1)) if at > 2 else (2, 1):
+                start = at - size
+                if start < 0 or (token := rank(data[start:at])) is None:
+                    continue
+                alone = whole(token)
+                if not (self.whole(token) if alone is None else alone):
+                    continue
+                if start:
+                    fits = pairs((last[start - 1], token))
+                    if not (self.beside(last[start - 1], token) if fits is None else fits):
+                        continue
+                last.append(token)
+                break
+            else:
+                raise ValueError(f"no token for byte {data[at - 1]}")
+
+    def path(self, last: list[int], end: int) -> list[int]:
+        """The tokens of the prefix up to ``end``, from the table."""
+        out = []
+        while end:
+            out.append(last[end - 1])
+            end -= len(self.bytes_of[out[-1]])
+        return out[::-1]
+
 
 class PrefixEncoding:
     """A byte string with the last token of each of its prefixes."""
@@ -121,19 +151,9 @@ class PrefixEncoding:
         self.last: list[int] = []
         self.append(data)
 
-    def _last(self, data: bytes, end: int, last: list[int]) -> int:
-        v = self.vocabulary
-        for size in range(min(end, v.reach[data[end - 1]]), 0, -1):
-            token = v.ranks.get(data[end - size : end])
-            if token is not None and v.whole(token) and (size == end or v.beside(last[end - size - 1], token)):
-                return token
-        raise ValueError(f"no token for byte {data[end - 1]}")
-
     def append(self, more: bytes) -> None:
-        start = len(self.data)
         self.data += more
-        for end in range(start + 1, len(self.data) + 1):
-            self.last.append(self._last(self.data, end, self.last))
+        self.vocabulary.extend(self.data, self.last, len(self.data))
 
     def replace(self, start: int, end: int, new: bytes) -> int:
         """Put ``new`` for data[start:end]; returns how many table entries were worked out anew."""
@@ -141,7 +161,7 @@ class PrefixEncoding:
         last, old, shift = self.last[:start], self.last, len(new) - (end - start)
         same = 0
         for at in range(start + 1, len(data) + 1):
-            last.append(self._last(data, at, last))
+            self.vocabulary.extend(data, last, at)
             same = same + 1 if at > start + len(new) and last[-1] == old[at - 1 - shift] else 0
             if same >= self.vocabulary.longest:
                 last += old[at - shift :]
@@ -152,30 +172,43 @@ class PrefixEncoding:
 
     def tokens(self, end: int | None = None) -> list[int]:
         """The encoding of the prefix up to ``end``."""
-        at, out = len(self.data) if end is None else end, []
-        while at:
-            out.append(self.last[at - 1])
-            at -= len(self.vocabulary.bytes_of[out[-1]])
-        return out[::-1]
+        return self.vocabulary.path(self.last, len(self.data) if end is None else end)
 
 
 class _Pieces(dict):
-    """Ids of pieces, worked out when first asked for."""
+    """Ids of pieces, worked out when first asked for; pieces not asked for of late are forgotten."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
+        self.vocabulary, self.before = vocabulary, {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        data = piece.encode()
-        token = self.vocabulary.ranks.get(data)
-        ids = (token,) if token is not None else tuple(PrefixEncoding(self.vocabulary, data).tokens())
-        if len(self) >= CACHED_PIECES:
+        ids = self.before.get(piece)
+        if ids is None:
+            data, v = piece.encode(), self.vocabulary
+            token = v.ranks.get(data)
+            if token is not None:
+                ids = (token,)
+            else:
+                last: list[int] = []
+                v.extend(data, last, len(data))
+                ids = tuple(v.path(last, len(data)))
+        if len(self) >= CACHED_PIECES // 2:
+            self.before = dict(self)
             self.clear()
-        if len(data) <= 64:
+        if len(piece) <= 64:
             self[piece] = ids
         return ids
 
 
+_SHARED: dict[str, _Pieces] = {}  # of this worker process, by the vocabulary's path
+
+
+def _pieces(path: str) -> _Pieces:
+    if path not in _SHARED:
+        _SHARED[path] = _Pieces(Vocabulary.load(path))
+    return _SHARED[path]
+
+
 class TextEncoding:
     """A text's ids that can be appended to: only the last pieces are split anew."""
 
@@ -199,24 +232,37 @@ class TextEncoding:
         return list(chain.from_iterable(self.ids))
 
 
-def encode(documents: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
-    """(doc_id, ids array<int>) of each row, with its text (null: empty) if asked for; ``path`` is a rank file that every executor has."""
+def encode(documents: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False,
+           with_decoded: bool = False) -> DataFrame:
+    """(doc_id, ids array<int>) of each row; ``path`` is a rank file that every executor has.
+
+    If asked for, with its text (null: empty), and with ``decoded``, the bytes that
+    its ids stand for, worked out from the ids in the same pass.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, known = regex.compile(pattern).findall, _Pieces(Vocabulary.load(path))
+        split, known = regex.compile(pattern).findall, _pieces(path)
+        token = known.vocabulary.bytes_of.__getitem__
         for batch in batches:
-            rows, sizes = [], [0]
+            rows, sizes, decoded = [], [0], []
             for text in batch.column(1):
                 ids = np.fromiter(chain.from_iterable(map(known.__getitem__, split(text.as_py()))), np.int32)
                 rows.append(ids)
                 sizes.append(sizes[-1] + len(ids))
+                if with_decoded:
+                    decoded.append(b"".join(map(token, ids.tolist())))
             flat = np.concatenate(rows) if rows else np.empty(0, np.int32)
             ids = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat))
-            own = [batch.column(0), ids, *([batch.column(1)] if keep_text else [])]
-            yield pa.RecordBatch.from_arrays(own, ["id", "ids", "text"][: len(own)])
+            own = {"id": batch.column(0), "ids": ids}
+            if keep_text:
+                own["text"] = batch.column(1)
+            if with_decoded:
+                own["decoded"] = pa.array(decoded, pa.binary())
+            yield pa.RecordBatch.from_arrays([*own.values()], [*own])
 
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return docs.mapInArrow(run, "id long, ids array<int>" + ", text string" * keep_text).withColumnRenamed("id", id_col)
+    schema = "id long, ids array<int>" + ", text string" * keep_text + ", decoded binary" * with_decoded
+    return docs.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
@@ -224,7 +270,7 @@ def decode(encoded: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
 
     @F.arrow_udf("binary")
     def joined(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        token = Vocabulary.load(path).bytes_of.__getitem__
+        token = _pieces(path).vocabulary.bytes_of.__getitem__
         for batch in batches:
             yield pa.array([b"".join(map(token, row.values.to_numpy().tolist())) if row.is_valid else b"" for row in batch], pa.binary())
 

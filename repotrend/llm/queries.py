@@ -53,8 +53,8 @@ def op6_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(BPE)
-    ids = prefix_bpe.encode(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return prefix_bpe.decode(ids, path).select(
+    ids = prefix_bpe.encode(_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, with_decoded=True)
+    return ids.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),

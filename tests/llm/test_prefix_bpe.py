@@ -70,7 +70,7 @@ def test_text_appends(vocabulary, library):
 
 
 def test_edge_rows(edge_docs, no_docs, library):
-    out = pb.decode(pb.encode(edge_docs, PATH, public_tokenizers.PATTERN, keep_text=True), PATH).collect()
+    out = pb.encode(edge_docs, PATH, public_tokenizers.PATTERN, keep_text=True, with_decoded=True).collect()
     assert len(out) == edge_docs.count()
     assert all(list(r.ids) == library.encode_ordinary(r.text) and bytes(r.decoded) == r.text.encode() for r in out)
     assert pb.encode(no_docs, PATH, public_tokenizers.PATTERN).count() == 0
