@@ -46,7 +46,7 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, n_bytes, round_trip) of each document."""
     path = public_tokenizers.path(BPE)
-    done = prefix_bpe.decode(prefix_bpe.encode(docs, path, public_tokenizers.PATTERN, keep_text=True), path)
+    done = prefix_bpe.encode(docs, path, public_tokenizers.PATTERN, keep_text=True, with_decoded=True)
     return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.octet_length("text").cast("long").alias("n_bytes"),
                        (F.col("decoded") == F.col("text").cast("binary")).alias("round_trip"))
 
