@@ -127,7 +127,7 @@ def compared(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 
 
 def _own_shingles(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """(b, h, a, more): shingles h of a that b hasn't, and how many there are besides.
+    """(b, h, a, more, last): shingles h of a that b hasn't, how many there are besides, and the place of the last of them in the order.
 
     They are the least ones, with those in ``often`` (the same for all of one b)
     counted as larger than any other: so many that every partner in reach of a
@@ -136,22 +136,26 @@ def _own_shingles(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts, more = [], []
+            parts, more, ends = [], [], []
             for (x, y), often in zip(_pairs_of(batch), batch.column("often"), strict=True):
                 own = np.sort(np.setdiff1d(x, y, assume_unique=True))
+                late = np.zeros(len(own), bool)
                 if often.is_valid:
-                    last = np.isin(own, often.values.to_numpy().view(np.uint64))
-                    own = np.concatenate((own[~last], own[last]))
+                    late = np.isin(own, often.values.to_numpy().view(np.uint64))
+                    own, late = np.concatenate((own[~late], own[late])), np.sort(late)
                 parts.append(own[: len(x) - int(threshold * len(x) - 1e-6)])
                 more.append(len(own) - len(parts[-1]))
+                k = len(parts[-1]) - 1
+                ends.append(int(own[k]) >> 2 | int(late[k]) << 62 if k >= 0 else 0)
             times = [len(p) for p in parts]
             b, a = (np.repeat(batch.column(c).to_numpy(zero_copy_only=False), times) for c in ("b", "a"))
             flat = np.concatenate(parts).view(np.int64) if parts else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(b, pa.int64()), pa.array(flat), pa.array(a, pa.int64()), pa.array(np.repeat(np.array(more, np.int64), times))],
-                ["b", "h", "a", "more"])
+                [pa.array(b, pa.int64()), pa.array(flat), pa.array(a, pa.int64()),
+                 *(pa.array(np.repeat(np.array(c, np.int64), times)) for c in (more, ends))],
+                ["b", "h", "a", "more", "last"])
 
-    return _met(pairs, sets, run, "b long, h long, a long, more long")
+    return _met(pairs, sets, run, "b long, h long, a long, more long, last long")
 
 
 def _rarest_own_shingles(pairs: DataFrame, sets: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
@@ -219,11 +223,13 @@ def links(docs: DataFrame, sig: DataFrame, n: int, threshold: float, bands: int,
     inside = odd.join(y, F.expr("x.p = y.p") & apart & F.expr(f"least(x.i, y.i) >= {enough}")).select(*pair)
     # With some.
     own = member.where("id <> p").select(F.col("id").alias("a"), F.col("p").alias("b"))
-    own = scratch.save(_rarest_own_shingles(own, sets, threshold, scratch), "own").select(F.col("b").alias("p"), "h", F.col("a").alias("id"), "more")
+    own = scratch.save(_rarest_own_shingles(own, sets, threshold, scratch), "own").select(F.col("b").alias("p"), "h", F.col("a").alias("id"), "more", "last")
     own = own.join(member, ["p", "id"])
     u, v = own.alias("x"), own.alias("y")
+    # Common shingles not counted come after the listed ones that end first, so they are among what that member has more.
+    uncounted = "CASE WHEN x.last < y.last THEN x.more WHEN x.last > y.last THEN y.more ELSE greatest(x.more, y.more) END"
     beside = u.join(v, F.expr("x.p = y.p AND x.h = y.h AND x.id < y.id") & apart).groupBy("x.p", "x.id", "y.id").agg(
-        F.count("*").alias("shared"), F.expr("max(least(x.i, y.i) + least(x.more, y.more))").alias("i"), F.expr(f"max({enough})").alias("enough"))
+        F.count("*").alias("shared"), F.expr(f"max(least(x.i, y.i) + {uncounted})").alias("i"), F.expr(f"max({enough})").alias("enough"))
     beside = beside.where("i + shared >= enough").select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
     rest = inside.union(beside).distinct()

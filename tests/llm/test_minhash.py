@@ -96,3 +96,28 @@ def test_recall_of_tensored_tables():
     s = 0.8
     assert (1 - (1 - s**minhash.ROWS) ** minhash.BANDS) ** 2 > 1 - 1e-5
     assert np.unique(minhash._multipliers(8)[0] % 2).tolist() == [1]
+
+
+def test_unequal_own_parts_around_one_pivot(spark, monkeypatch):
+    rng = random.Random(5)
+    base = [f"p{k}" for k in range(100)]
+    rows = [(0, " ".join(base))]
+    for k in range(60):  # x and y share 90 of 110 words and neither links with the pivot; then pairs of other sizes
+        own = [f"own{k}-{j}" for j in range(25)]
+        some = rng.sample(base, 85)
+        n = 15 if k < 40 else rng.randrange(10, 26)
+        rows += [(2 * k + 1, " ".join(some[:75] + own)), (2 * k + 2, " ".join(some + own[:n]))]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    cells = spark.createDataFrame([(0, i, len(t.split()), float(i == 0)) for i, t in rows], "key long, id long, n long, pop double")
+    monkeypatch.setattr(minhash, "_cells", lambda sig, bands: cells)
+    scratch = Scratch(spark)
+    label = {r.id: r.component for r in components.components(minhash.links(docs, None, 1, 0.8, 1, scratch), scratch).collect()}
+    assert {i: label.get(i, i) for i, _ in rows} == {i: c for i, (_, c) in brute(rows, 1).items()}
+    # With words that many members have, which are put last.
+    shared = [f"many{k}" for k in range(6)]
+    rows = [(i, t if i == 0 else t + " " + " ".join(shared)) for i, t in rows]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    cells = spark.createDataFrame([(0, i, len(t.split()), float(i == 0)) for i, t in rows], "key long, id long, n long, pop double")
+    scratch = Scratch(spark)
+    label = {r.id: r.component for r in components.components(minhash.links(docs, None, 1, 0.8, 1, scratch), scratch).collect()}
+    assert {i: label.get(i, i) for i, _ in rows} == {i: c for i, (_, c) in brute(rows, 1).items()}
