@@ -5,9 +5,10 @@ ones, whatever stands at its zeros.  Seeds of benchmark items are joined with
 those of the documents, so a passage with some words replaced still meets its
 item wherever the replaced words fall on zeros of one of the masks.  Around each
 hit, item and document are laid against each other at the hit's offset, and the
-best stretch is kept: the one with the most matching words less four for each
-other word, so at least four in five words match.  A stretch of ``OVERLAP``
-words, or four fifths of a shorter item, is contamination.
+best stretch is kept: of those of at least ``OVERLAP`` words, or four fifths of
+a shorter item, in which at least four in five words match, the one with the
+most matching words less four for each other word.  Any such stretch is
+contamination.
 
 The documents are scanned once for each block of items of at most
 ``BLOCK_SEEDS`` seeds, whose sorted table every task has; this bounds what is
@@ -65,12 +66,15 @@ def stretch(item: np.ndarray, words: np.ndarray, offset: int) -> tuple[int, int,
     """(start in the item, length, matches) of the best stretch with item[k] laid on words[offset + k]; None if it's too short."""
     lo, hi = max(0, -offset), min(len(item), len(words) - offset)
     match = item[lo:hi] == words[lo + offset : hi + offset]
+    need = min(OVERLAP, -(-4 * len(item) // 5))
+    if len(match) < need:
+        return None
     total = np.concatenate(([0], np.cumsum(np.where(match, 1, -MISMATCH))))
-    least = np.minimum.accumulate(total)
-    end = int((total - least).argmax())
-    start = int(total[: end + 1].argmin())
-    if end - start < min(OVERLAP, math.ceil(0.8 * len(item))):
+    gain = total[need:] - np.minimum.accumulate(total[: len(total) - need])
+    end = need + int(gain.argmax())
+    if gain[end - need] < 0:
         return None
+    start = int(total[: end - need + 1].argmin())
     return lo + start, end - start, int(match[start:end].sum())
 
 

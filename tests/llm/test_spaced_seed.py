@@ -1,3 +1,4 @@
+import itertools
 import math
 import random
 
@@ -65,3 +66,34 @@ def test_edge_rows(spark, edge_docs, no_docs):
     assert ss.contaminated(no_docs, bench).count() == 0
     assert ss.contaminated(edge_docs, bench.limit(0)).count() == 0
     assert len(ss.seeds(np.empty(0, np.uint64), ss.MASKS[0], 1)) == 0
+
+
+def allowed(match, n):
+    """Whether some stretch of 13 words, or 4/5 of a shorter item of n words, has at least 4/5 matching."""
+    need = min(13, math.ceil(n * 4 / 5))
+    return any(5 * sum(match[a:b]) >= 4 * (b - a) for a in range(len(match)) for b in range(a + need, len(match) + 1))
+
+
+def patterns():
+    """Which words of an item match: few replaced anywhere, and random ones."""
+    for n, most in ((5, 1), (7, 2), (9, 2), (10, 2), (13, 3), (15, 3), (16, 2), (20, 3)):
+        for k in range(most + 1):
+            for gone in itertools.combinations(range(n), k):
+                yield [j not in gone for j in range(n)]
+    yield [j % 5 != 4 for j in range(40)]
+    rng = random.Random(2)
+    for _ in range(2000):
+        n, share = rng.randrange(5, 45), rng.uniform(0.6, 0.95)
+        yield [rng.random() < share for _ in range(n)]
+
+
+def test_any_stretch_long_enough_counts():
+    for match in patterns():
+        item = np.arange(1, len(match) + 1, dtype=np.uint64)
+        words = np.where(match, item, np.uint64(0))
+        found = ss.stretch(item, words, 0)
+        assert (found is not None) == allowed(match, len(match)), match
+        if found:
+            start, length, matches = found
+            assert matches == sum(match[start : start + length]) and 5 * matches >= 4 * length >= 4 * min(13, math.ceil(len(match) * 4 / 5))
+    assert ss.stretch(np.arange(9, dtype=np.uint64), np.arange(3, dtype=np.uint64), 0) is None
