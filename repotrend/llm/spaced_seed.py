@@ -1,9 +1,11 @@
 """Benchmark decontamination by spaced seeds.
 
-A seed is a fixed mask over ten consecutive words: the hash of the words at its
-ones, whatever stands at its zeros.  Seeds of benchmark items are joined with
-those of the documents, so a passage with some words replaced still meets its
-item wherever the replaced words fall on zeros of one of the masks.  Around each
+A seed is a fixed mask over four or five consecutive words: the hash of the words
+at its ones, whatever stands at its zero.  Seeds of benchmark items are joined
+with those of the documents.  The masks cover five words with any one of them
+replaced, and a stretch with at least four in five words matching has five such
+words in a row (else each of its whole fives had two others), or is four words
+of an item of five; so every stretch of the rule has a seed.  Around each
 hit, item and document are laid against each other at the hit's offset, and the
 best stretch is kept: of those of at least ``OVERLAP`` words, or four fifths of
 a shorter item, in which at least four in five words match, the one with the
@@ -15,9 +17,8 @@ The documents are scanned once for each block of items of at most
 sent to tasks however large the benchmark is, and nothing of the documents is
 shuffled.
 
-Words are runs of bytes other than space and 0x09-0x0D, A-Z as a-z.  An item
-shorter than ten words is hashed as a whole, one of fewer than ``LEAST`` words
-can't be told from ordinary text and is never found.
+Words are runs of bytes other than space and 0x09-0x0D, A-Z as a-z.  An item of
+fewer than ``LEAST`` words can't be told from ordinary text and is never found.
 
 Defined results: null or empty texts and null items are never found; a null id is
 passed through, and its rows count as one document; of repeated ids the best
@@ -36,8 +37,8 @@ from pyspark.sql import functions as F
 
 from repotrend.llm.tokens import chunks, mix, text_buffer, word_hashes
 
-MASKS = ("1101101011", "1110110011", "1011101101")
-SPAN = len(MASKS[0])
+MASKS = ("1111", "11101", "11011", "10111")  # an end or a middle word of five replaced
+SPAN = max(map(len, MASKS))
 OVERLAP = 13
 LEAST = 5
 MISMATCH = 4  # matching words that make up for another
@@ -56,12 +57,6 @@ def seeds(words: np.ndarray, mask: str, salt: int) -> np.ndarray:
     return out
 
 
-def masks_for(lengths: set[int]) -> list[str]:
-    """The masks that items of these lengths need."""
-    short = sorted(n for n in lengths if LEAST <= n < SPAN)
-    return [*(MASKS if any(n >= SPAN for n in lengths) else ()), *("1" * n for n in short)]
-
-
 def stretch(item: np.ndarray, words: np.ndarray, offset: int) -> tuple[int, int, int] | None:
     """(start in the item, length, matches) of the best stretch with item[k] laid on words[offset + k]; None if it's too short."""
     lo, hi = max(0, -offset), min(len(item), len(words) - offset)
@@ -83,26 +78,23 @@ class SeedTable:
 
     def __init__(self, items: list[tuple[int, np.ndarray]]):
         self.items = [(i, w) for i, w in items if len(w) >= LEAST]
-        self.masks = masks_for({len(w) for _, w in self.items})
-        keys, owners, places, kinds = [], [], [], []
-        for kind, mask in enumerate(self.masks):
+        keys, owners, places = [], [], []
+        for kind, mask in enumerate(MASKS):
             for k, (_, words) in enumerate(self.items):
-                if "0" in mask or len(words) == len(mask):
-                    own = seeds(words, mask, kind + 1)
-                    keys.append(own)
-                    owners.append(np.full(len(own), k))
-                    places.append(np.arange(len(own)))
-                    kinds.append(np.full(len(own), kind))
-        flat = [np.concatenate(x) if x else np.empty(0, np.int64) for x in (keys, owners, places, kinds)]
+                own = seeds(words, mask, kind + 1)
+                keys.append(own)
+                owners.append(np.full(len(own), k))
+                places.append(np.arange(len(own)))
+        flat = [np.concatenate(x) if x else np.empty(0, np.int64) for x in (keys, owners, places)]
         order = np.argsort(flat[0], kind="stable")
-        self.keys, self.owners, self.places, self.kinds = (x[order] for x in flat)
+        self.keys, self.owners, self.places = (x[order] for x in flat)
         self.keys = self.keys.astype(np.uint64)
         self.seen = np.zeros(1 << _BITS, bool)
         self.seen[self.keys >> np.uint64(64 - _BITS)] = True
 
     def hits(self, words: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(place in words, item, place in the item) of each equal seed."""
-        for kind, mask in enumerate(self.masks):
+        for kind, mask in enumerate(MASKS):
             own = seeds(words, mask, kind + 1)
             at = np.flatnonzero(self.seen[own >> np.uint64(64 - _BITS)])
             if not len(at):

@@ -97,3 +97,32 @@ def test_any_stretch_long_enough_counts():
             start, length, matches = found
             assert matches == sum(match[start : start + length]) and 5 * matches >= 4 * length >= 4 * min(13, math.ceil(len(match) * 4 / 5))
     assert ss.stretch(np.arange(9, dtype=np.uint64), np.arange(3, dtype=np.uint64), 0) is None
+
+
+def test_every_allowed_pattern_has_a_seed():
+    for match in patterns():
+        if allowed(match, len(match)):
+            item = np.arange(1, len(match) + 1, dtype=np.uint64)
+            table = ss.SeedTable([(1, item)])
+            words = np.where(match, item, np.uint64(0))
+            assert any(place == at for place, _, at in table.hits(words)), match
+
+
+def test_equals_brute_force_over_all_offsets(spark):
+    rng = random.Random(4)
+    items = [(n, " ".join(f"w{rng.randrange(30)}" for _ in range(n))) for n in (5, 6, 8, 9, 10, 13, 15, 20, 40)]
+    docs = []
+    for n, text in items:
+        for j in range(30):
+            w = text.split()
+            for at in rng.sample(range(n), rng.randrange(0, 1 + n // 3)):
+                w[at] = "other"
+            docs.append((1000 * n + j, " ".join([f"w{rng.randrange(30)}" for _ in range(rng.randrange(20))] + w[rng.randrange(0, 3) :] + ["end"])))
+    want = set()
+    for d, text in docs:
+        for i, item in items:
+            a, b = text.split(), item.split()
+            want |= {(d, i) for o in range(-len(b) + 1, len(a))
+                     if allowed([b[k] == a[k + o] for k in range(max(0, -o), min(len(b), len(a) - o))], len(b))}
+    found = ss.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == want and {1000 * n for n, _ in items} & {d for d, _ in want}
