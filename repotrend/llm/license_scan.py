@@ -16,6 +16,7 @@ matches; an empty table gives none.
 from __future__ import annotations
 
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,6 +64,7 @@ INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM
 LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR
 OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR
 PERFORMANCE OF THIS SOFTWARE."""
+TEXTS = Path(__file__).parent / "licence_texts"
 KNOWN = (
     ("MIT", MIT),
     ("MIT", "Released under the MIT License."),
@@ -82,8 +84,21 @@ def canonical(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(spelled, COPYRIGHT_LINE, ""), OTHER, " "))
 
 
+def full_texts() -> list[tuple[str, str]]:
+    """(licence, text) of the files of ``TEXTS``; where terms end before an appendix, also without it."""
+    out = []
+    for path in sorted(TEXTS.glob("*.txt")):
+        text = path.read_text(encoding="utf-8")
+        out.append((path.stem, text))
+        end = text.find("END OF TERMS AND CONDITIONS")
+        if end >= 0:
+            out += [(path.stem, text[:end]), (path.stem, text[: end + len("END OF TERMS AND CONDITIONS")])]
+    return out
+
+
 def known_licences(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(KNOWN, "license string, text string")
+    """(license, text): ``KNOWN`` and the full texts, some dozens of rows whatever the documents are."""
+    return spark.createDataFrame([*KNOWN, *full_texts()], "license string, text string")
 
 
 def licences(documents: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
