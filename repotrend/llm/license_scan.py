@@ -1,8 +1,10 @@
 """Licence scan by canonical digests.
 
-A licence text and a candidate are brought to one form: lower case, without
-lines that only name a copyright holder, with equivalent spellings made equal,
-and with every run of other than letters and digits as one space.  The SHA-256
+A licence text and a candidate are brought to one form: lower case, without a
+title, copyright statements (the word with a sign, a year or, in a line set
+apart or before the licence's first words, a holder) and "all rights reserved",
+with equivalent spellings made equal, and with every run of other than letters
+and digits as one space, so it doesn't matter how a text is wrapped.  The SHA-256
 of that form is looked up by a hash join with the digests of known licences, so
 only entire texts match, never parts.  Candidates are each whole document and
 each of its lines.  Built-in column functions only.
@@ -34,7 +36,34 @@ SPELLINGS = (
     ("favour", "favor"),
     ("organisation", "organization"),
 )
-COPYRIGHT_LINE = r"(?m)^[ \t]*copyright\b.*$"
+# The same after other characters have become spaces, and names of holders within the BSD texts.
+FORM_SPELLINGS = (("copyright holder", "copyright owner"), ("sub license", "sublicense"), ("non commercial", "noncommercial"), ("per cent", "percent"))
+HOLDERS = (
+    (r"neither the name of .{1,100}? nor the names of (?:its|their|any) contributors", "neither the name of the owner nor the names of its contributors"),
+    (r"this software is provided by .{1,100}? as is and any express", "this software is provided by the owner as is and any express"),
+    (r"in no event shall the (?:regents|copyright owners?|author)(?: or contributors)? be liable for any direct", "in no event shall the owner be liable for any direct"),
+)
+TITLE = (
+    r"\A[^\p{L}\p{N}]*(?:the\s+)?(?:(?:mit|isc|x11|expat|zlib|(?:new\s+|simplified\s+|modified\s+)?bsd(?:[ -][23][ -]clause)?)\b(?:[ \"]*(?:new|revised|simplified|or)\b[ \"]*)*\s+license(?:\s*\((?:mit|isc|x11|expat|zlib|bsd[ 23a-z-]*)\))?"
+    r"|apache\s+license[,\s]+version\s+2\.0,\s+january\s+2004\s+(?:http://www\.apache\.org/licenses/)?"
+    r"|gnu\s+(?:(?:lesser|library)\s+)?general\s+public\s+license\s+version\s+[0-9.]+,\s+[0-9]*\s*[a-z]+\s+[0-9]{4}"
+    r"|mozilla\s+public\s+license,?\s+version\s+[0-9.]+|boost\s+software\s+license\s+-\s+version\s+1\.0\s+-\s+august\s+17th,\s+2003"
+    r"|(?:creative\s+commons\s+legal\s+code\s+)?cc0\s+1\.0\s+universal)(?=[^\p{L}\p{N}]|\z)[^\p{L}\p{N}]*"
+)
+# First words after a copyright statement: where it ends if its line goes on, and what it never holds.
+OPENING = (
+    r"(?=\b(?:permission\s+(?:is|to)|redistribution\s+and|licensed\s+under|released\s+under|everyone\s+is|this\s+(?:program|software|library|is|work|file|license)"
+    r"|all\s+rights\s+reserved|gnomovision|permission|\[this|copyright\s+(?:copyright|[0-9\[<])))"
+)
+HOLDER = r"(?:(?!\b(?:notice|licen|law|you\b|may|must|not\b|use\b|grant|permi|statement|redistribut))[\s\S])"
+SIGNED = r"\bcopyright\s*(?:copyright\b|[0-9]{4}|[0-9]{2}yy|\[|<|\byear\b)"
+STATEMENTS = (
+    rf"{SIGNED}{HOLDER}{{0,200}}?{OPENING}",
+    rf"\A\W*copyright\b{HOLDER}{{1,200}}?{OPENING}",
+    rf"(?m)^[ \t]*{SIGNED}(?:(?!\n){HOLDER})*$",
+    rf"(?:\A|\n[ \t]*\n)[ \t]*copyright\b(?:(?!\n){HOLDER}){{1,120}}(?=\n[ \t]*\n|\s*\z)",
+    r"\ball\s+rights\s+reserved\b",
+)
 OTHER = r"[^\p{L}\p{N}]+"
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
 of this software and associated documentation files (the "Software"), to deal
@@ -81,7 +110,11 @@ KNOWN = (
 
 def canonical(text: Column) -> Column:
     spelled = reduce(lambda t, pair: F.replace(t, F.lit(pair[0]), F.lit(pair[1])), SPELLINGS, F.lower(text))
-    return F.trim(F.regexp_replace(F.regexp_replace(spelled, COPYRIGHT_LINE, ""), OTHER, " "))
+    bare = reduce(lambda t, pattern: F.regexp_replace(t, pattern, " "), STATEMENTS, F.regexp_replace(spelled, TITLE, ""))
+    bare = F.when(spelled.rlike("copyright|license|rights|cc0"), bare).otherwise(spelled)  # the others have nothing to remove
+    form = F.trim(F.regexp_replace(bare, OTHER, " "))
+    form = reduce(lambda t, pair: F.replace(t, F.lit(pair[0]), F.lit(pair[1])), FORM_SPELLINGS, form)
+    return reduce(lambda t, pair: F.regexp_replace(t, pair[0], pair[1]), HOLDERS, form)
 
 
 def full_texts() -> list[tuple[str, str]]:
@@ -111,8 +144,9 @@ def licences(documents: DataFrame, known: DataFrame, id_col: str = "doc_id", tex
     digests = digests.select(F.sha2("form", 256).alias("digest"), "license").distinct()
     docs = documents.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t")).where("t <> ''")
     parts = docs.select("id", F.posexplode(F.concat(F.array("t"), F.split("t", "\n", -1))).alias("line", "part"))
-    forms = parts.select("id", "line", canonical(F.col("part")).alias("form")).where("form <> ''")
-    found = forms.select("id", "line", F.sha2("form", 256).alias("digest")).join(digests, "digest")
+    # Never null, so that no filter on the digest makes it twice; no known text has the digest of an empty form.
+    digest = F.coalesce(F.sha2(canonical(F.col("part")), 256), F.lit(""))
+    found = parts.select("id", "line", digest.alias("digest")).join(digests, "digest")
     return found.groupBy("id", "license").agg(
         F.max(F.col("line") == 0).alias("whole"), F.count_if(F.col("line") > 0).alias("n_lines"),
         F.min(F.when(F.col("line") > 0, F.col("line"))).cast("long").alias("first_line")).withColumnRenamed("id", id_col)
