@@ -31,10 +31,11 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a passage of the benchmark go."""
+    """Rows with a passage of the benchmark go, by their text: the others of their id, or without one, stay."""
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    found = spaced_seed.contaminated(docs, benchmark).select(F.col("doc_id").alias("__found")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("__found")), "left_anti")
+    keyed = docs.withColumn("__key", F.xxhash64("text"))
+    found = spaced_seed.contaminated(keyed, benchmark, id_col="__key").select("__key").distinct()
+    return keyed.join(found, "__key", "left_anti").drop("__key")
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

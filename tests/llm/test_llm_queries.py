@@ -58,3 +58,12 @@ def test_pipeline_of_an_empty_table(spark, no_docs):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF_SMALL)
         assert docs.count() == 0
+
+
+def test_decontamination_is_by_row(spark):
+    leak = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").first().text
+    rows = [(None, leak), (None, "clean text without an id"), (1, "clean text of a repeated id"), (1, f"now {leak}"), (2, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = corpus_pipeline.decontamination_stage(spark, docs, SF_SMALL)
+    assert out.columns == docs.columns
+    assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, (rows[k] for k in (1, 2, 4, 5))))
