@@ -24,10 +24,19 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: a row of its least id.  Rows without an id stay."""
-    keep = minhash.near_duplicates(docs, n=5, threshold=0.8).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__kept")).distinct()
-    first = docs.where("doc_id IS NOT NULL").join(keep, F.col("doc_id") == F.col("__kept"), "left_semi").dropDuplicates(["doc_id"])
-    return first.unionByName(docs.where("doc_id IS NULL"))
+    """One document of each group of near duplicates stays: that of the least id, none last.
+
+    A document is an id, or none, with a text; of its rows the one with the least
+    hash of the other columns speaks for it.
+    """
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    keyed = docs.withColumns({"__key": F.xxhash64("doc_id", "text"), "__row": F.xxhash64(*others) if others else F.lit(0)})
+    near = minhash.near_duplicates(keyed, n=5, threshold=0.8, id_col="__key").select("__key", "component_id").distinct()
+    ids = keyed.select("__key", "doc_id").distinct()
+    least = F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "__key")).alias("m")
+    keep = near.join(ids, "__key").groupBy("component_id").agg(least).select(F.col("m.__key").alias("__key"))
+    rows = keyed.select("__key", "__row").join(keep, "__key", "left_semi").groupBy("__key").agg(F.min("__row").alias("__row"))
+    return keyed.join(rows, ["__key", "__row"], "left_semi").select(*keyed.columns).dropDuplicates(["__key"]).drop("__key", "__row")
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -67,3 +67,17 @@ def test_decontamination_is_by_row(spark):
     out = corpus_pipeline.decontamination_stage(spark, docs, SF_SMALL)
     assert out.columns == docs.columns
     assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, (rows[k] for k in (1, 2, 4, 5))))
+
+
+def test_near_duplicates_are_by_row(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(7, a, "de"), (3, a + " end", "en"), (3, b, "fr"), (3, b, "en"), (None, b, "en"), (None, c, "en"), (None, c, "en"), (None, c + " end", "en"), (8, "", "en"), (9, None, "en")]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, lang string")
+        out = corpus_pipeline.near_duplicate_stage(spark, docs, SF_SMALL)
+        got = [tuple(r) for r in out.collect()]
+        assert out.columns == docs.columns and len(got) == 5
+        assert {r[:2] for r in got} - {(None, c), (None, c + " end")} == {(3, a + " end"), (3, b), (8, ""), (9, None)}
+        if order is rows:
+            first = got
+    assert sorted(map(str, got)) == sorted(map(str, first))
