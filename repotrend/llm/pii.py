@@ -8,7 +8,8 @@ is left alone.
 
 Offsets are code points, ends exclusive.  Patterns are applied leftmost and
 non-overlapping per kind; a match that fails its check is dropped without a
-retry.  All scans take time linear in the text: the local part of an address is
+retry, but for codes of iban, which are looked for again from the next word, and
+after a confirmed one from its end.  All scans take time linear in the text: the local part of an address is
 read backwards from its ``@``, and digit patterns start only at the start of a
 run, so a text without spaces costs no more than any other.
 
@@ -98,14 +99,18 @@ def _phones(text: str) -> Iterator[tuple[int, int]]:
 
 
 def _ibans(text: str) -> Iterator[tuple[int, int]]:
-    for m in _IBAN.finditer(text):
+    m = _IBAN.search(text)
+    while m:
         # The pattern may run on into the next words: try the ends of its groups, longest first.
         ends = [m.end(), *(k for k in range(m.end() - 1, m.start() + 14, -1) if text[k] == " ")]
+        free = m.start() + 1  # after a failed match the next word may start a code
         for end in ends:
             code = text[m.start() : end].replace(" ", "")
             if 15 <= len(code) <= 34 and mod97(code):
                 yield m.start(), end
+                free = end
                 break
+        m = _IBAN.search(text, free)
 
 
 def _ssns(text: str) -> Iterator[tuple[int, int]]:

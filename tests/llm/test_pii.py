@@ -71,3 +71,12 @@ def test_redaction(spark, edge_docs, no_docs):
     assert clean.columns == edge_docs.columns and clean.exceptAll(edge_docs).count() == 0
     assert pii.redact(no_docs).count() == 0 and pii.find_pii(no_docs).count() == 0
     assert pii.find_pii(edge_docs).count() == edge_docs.count()
+
+
+def test_ibans_in_a_row():
+    one, two = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"
+    for text in (f"{one} {two}", f"{two} {one}", f"{one} {two} {one}", f"AB12 CDEF GHIJ {one}", f"DE88 3704 0044 0532 0130 00 {two}"):
+        want = sorted((text.find(code, at), text.find(code, at) + len(code)) for code in (one, two) for at in range(len(text)) if text.startswith(code, at))
+        assert [x[1:3] for x in pii.spans(text) if x[0] == "iban"] == want
+    assert pii.redacted(f"{one} {two}") == "[IBAN] [IBAN]"
+    assert len(pii.spans("AB12 " * 20_000)) == 0
