@@ -78,9 +78,62 @@ SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component
 FROM embeddings JOIN c ON c.id = vec_id LEFT JOIN n ON n.a = vec_id
 """
 
+# A column as a leaf has it; bit by bit, the crc32 of the id's text (reflected polynomial 0xEDB88320).
+_FIELDS = [f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("doc_id", "source", "lang", "n_chars", "text")]
+_LEAF = " || ".join(_FIELDS)
+_BITS = "flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: list_transform(range(0, 8), lambda k: (ascii(c) >> k) & 1)))"
+_CRC = f"xor(list_reduce(list_concat([4294967295], {_BITS}), lambda c, b: xor(c >> 1, (xor(c, b) & 1) * 3988292384)), 4294967295)"
+
+
+def _siblings(table: str, key: str) -> str:
+    run = f"OVER (PARTITION BY {key}, level, pos // 3 ORDER BY pos ROWS BETWEEN"
+    return (f"SELECT {key}, level, pos, coalesce(string_agg(node, '') {run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS b, "
+            f"coalesce(string_agg(node, '') {run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS a FROM {table} WHERE n > 1")
+
+
+OP11 = f"""
+WITH RECURSIVE l AS (
+    SELECT doc_id, source, sha256({_LEAF}) AS leaf,
+        CASE WHEN {_CRC} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS changed, lang, n_chars
+    FROM documents
+), r AS (SELECT doc_id, source, leaf, sha256({_LEAF.replace("text", "changed")}) AS received FROM l),
+t AS (
+    SELECT *, row_number() OVER () AS rid, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM r
+), up AS (
+    SELECT source, 0 AS level, pos, leaf AS node, count(*) OVER (PARTITION BY source) AS n FROM t
+    UNION ALL
+    SELECT source, level + 1, pos // 3, sha256(string_agg(node, '' ORDER BY pos)), (any_value(n) + 2) // 3
+    FROM up WHERE n > 1 GROUP BY source, level, pos // 3
+), sub AS (
+    SELECT source, node, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1
+), tops AS (
+    SELECT 0 AS tree, 0 AS level, pos, node, n FROM sub
+    UNION ALL
+    SELECT tree, level + 1, pos // 3, sha256(string_agg(node, '' ORDER BY pos)), (any_value(n) + 2) // 3
+    FROM tops WHERE n > 1 GROUP BY tree, level, pos // 3
+), near AS ({_siblings("up", "source")}),
+far AS ({_siblings("tops", "tree")}),
+inner_fold AS (
+    SELECT rid, source, 0 AS level, pos, received AS node, '' AS proof FROM t
+    UNION ALL
+    SELECT f.rid, f.source, f.level + 1, f.pos // 3, sha256(s.b || f.node || s.a), f.proof || s.b || s.a
+    FROM inner_fold f JOIN near s ON s.source IS NOT DISTINCT FROM f.source AND s.level = f.level AND s.pos = f.pos
+), at_sub AS (SELECT rid, source, arg_max(node, level) AS node, arg_max(proof, level) AS proof FROM inner_fold GROUP BY rid, source),
+outer_fold AS (
+    SELECT a.rid, 0 AS level, sub.pos, a.node, a.proof FROM at_sub a JOIN sub ON sub.source IS NOT DISTINCT FROM a.source
+    UNION ALL
+    SELECT f.rid, f.level + 1, f.pos // 3, sha256(s.b || f.node || s.a), f.proof || s.b || s.a
+    FROM outer_fold f JOIN far s ON s.level = f.level AND s.pos = f.pos
+), at_top AS (SELECT rid, arg_max(node, level) AS node, arg_max(proof, level) AS proof FROM outer_fold GROUP BY rid),
+top AS (SELECT node AS root FROM tops WHERE n = 1)
+SELECT t.doc_id, t.leaf, sub.node AS subroot, top.root, sha256(at_top.proof) AS proof_sha256, at_top.node AS folded_root, at_top.node = top.root AS verified
+FROM t JOIN sub ON sub.source IS NOT DISTINCT FROM t.source JOIN at_top USING (rid), top
+"""
+
 ORACLE = {
     "op1_minhash": OP1,
     "op3_licences": OP3,
     "op4_covertree": OP4,
     "op8_arc_warc": OP8,
+    "op11_merkle": OP11,
 }

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repotrend.llm import (
@@ -11,6 +11,7 @@ from repotrend.llm import (
     covertree,
     lattice_lm,
     license_scan,
+    merkle,
     minhash,
     pii,
     prefix_bpe,
@@ -74,6 +75,17 @@ def op10_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_lm.scores(_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
 
+def tampered() -> dict[str, Column]:
+    """What the manifest is verified against: half of the documents, by crc32 of the id, lost their line breaks."""
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    return {"text": F.when(hit, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))}
+
+
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    proofs = merkle.manifest(_table(spark, sf_dir, "documents"), received=tampered())
+    return proofs.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), "folded_root", "verified")
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_pii": op2_pii,
@@ -85,4 +97,5 @@ QUERIES = {
     "op8_arc_warc": op8_arc_warc,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_lattice_lm": op10_lattice_lm,
+    "op11_merkle": op11_merkle,
 }
