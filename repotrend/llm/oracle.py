@@ -130,10 +130,48 @@ SELECT t.doc_id, t.leaf, sub.node AS subroot, top.root, sha256(at_top.proof) AS
 FROM t JOIN sub ON sub.source IS NOT DISTINCT FROM t.source JOIN at_top USING (rid), top
 """
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+OP12 = f"""
+WITH d AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{_TERM}')) AS term FROM documents
+), q AS (
+    SELECT item_id, term, count(*) AS repeats FROM (
+        SELECT item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{_TERM}')) AS term FROM benchmark)
+    GROUP BY item_id, term
+), tf AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY doc_id, term),
+len AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM len),
+w AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+    FROM tf, total GROUP BY term, docs
+), s AS (
+    SELECT item_id, doc_id, sum(CAST(repeats AS HUGEINT) * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms)))) AS score
+    FROM q JOIN w USING (term) JOIN tf USING (term) JOIN len USING (doc_id), total
+    GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score
+FROM s WHERE score > 0 QUALIFY rank <= 10
+"""
+
+OP13 = """
+WITH v AS (
+    SELECT DISTINCT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0 AND list_max(list_transform(embedding, lambda y: abs(y))) > 0
+)
+SELECT q.vec_id AS query_id, CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY list_distance(q.x, c.x), c.vec_id) AS INTEGER) AS rank,
+    c.vec_id, list_distance(q.x, c.x) AS score
+FROM v q JOIN v c ON len(q.x) = len(c.x) AND c.vec_id <> q.vec_id
+WHERE q.vec_id % 100 = 0
+QUALIFY rank <= 10
+"""
+
 ORACLE = {
     "op1_minhash": OP1,
     "op3_licences": OP3,
     "op4_covertree": OP4,
     "op8_arc_warc": OP8,
     "op11_merkle": OP11,
+    "op12_lexical": OP12,
+    "op13_block_knn": OP13,
 }

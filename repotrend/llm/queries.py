@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from repotrend.llm import (
     arc_warc,
+    block_knn,
     covertree,
     lattice_lm,
+    lexical,
     license_scan,
     merkle,
     minhash,
@@ -86,6 +88,14 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proofs.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), "folded_root", "verified")
 
 
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op13_block_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_knn.neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_pii": op2_pii,
@@ -98,4 +108,6 @@ QUERIES = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_lattice_lm": op10_lattice_lm,
     "op11_merkle": op11_merkle,
+    "op12_lexical": op12_lexical,
+    "op13_block_knn": op13_block_knn,
 }

@@ -11,7 +11,7 @@ from repotrend.llm.queries import QUERIES
 
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{k}" for k in range(1, 14)]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
