@@ -18,7 +18,9 @@ sent to tasks however large the benchmark is, and nothing of the documents is
 shuffled.
 
 Words are runs of bytes other than space and 0x09-0x0D, A-Z as a-z.  An item of
-fewer than ``LEAST`` words can't be told from ordinary text and is never found.
+one to four words has one seed, of all its words, and is found where it stands
+whole, at its first place in a document.  Such an item can be ordinary text;
+``least_words`` leaves shorter items out.
 
 Defined results: null or empty texts and null items are never found; a null id is
 passed through, and its rows count as one document; of repeated ids the best
@@ -38,9 +40,9 @@ from pyspark.sql import functions as F
 from repotrend.llm.tokens import chunks, mix, text_buffer, word_hashes
 
 MASKS = ("1111", "11101", "11011", "10111")  # an end or a middle word of five replaced
+SHORT = ("1", "11", "111", "1111")  # a whole item of one to four words
 SPAN = max(map(len, MASKS))
 OVERLAP = 13
-LEAST = 5
 MISMATCH = 4  # matching words that make up for another
 BLOCK_SEEDS = 1_000_000
 _BITS = 22  # of the table that a hash is looked up in first
@@ -76,12 +78,13 @@ def stretch(item: np.ndarray, words: np.ndarray, offset: int) -> tuple[int, int,
 class SeedTable:
     """Items' words and the sorted table of their seeds."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray]]):
-        self.items = [(i, w) for i, w in items if len(w) >= LEAST]
+    def __init__(self, items: list[tuple[int, np.ndarray]], least_words: int = 1):
+        self.items = [(i, w) for i, w in items if len(w) >= max(1, least_words)]
         keys, owners, places = [], [], []
-        for kind, mask in enumerate(MASKS):
-            for k, (_, words) in enumerate(self.items):
-                own = seeds(words, mask, kind + 1)
+        self.short = sorted({len(w) for _, w in self.items if len(w) < SPAN})
+        for k, (_, words) in enumerate(self.items):
+            for kind, mask in [(-len(words), SHORT[len(words) - 1])] if len(words) < SPAN else enumerate(MASKS, 1):
+                own = seeds(words, mask, kind % 2**64)
                 keys.append(own)
                 owners.append(np.full(len(own), k))
                 places.append(np.arange(len(own)))
@@ -92,18 +95,29 @@ class SeedTable:
         self.seen = np.zeros(1 << _BITS, bool)
         self.seen[self.keys >> np.uint64(64 - _BITS)] = True
 
+    def _hits(self, words: np.ndarray, mask: str, salt: int) -> tuple[np.ndarray, np.ndarray]:
+        """(place in words, place in the table) of each equal seed."""
+        own = seeds(words, mask, salt)
+        at = np.flatnonzero(self.seen[own >> np.uint64(64 - _BITS)])
+        lo = np.searchsorted(self.keys, own[at], "left")
+        n = np.searchsorted(self.keys, own[at], "right") - lo
+        return np.repeat(at, n), np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+
     def hits(self, words: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(place in words, item, place in the item) of each equal seed."""
-        for kind, mask in enumerate(MASKS):
-            own = seeds(words, mask, kind + 1)
-            at = np.flatnonzero(self.seen[own >> np.uint64(64 - _BITS)])
-            if not len(at):
-                continue
-            lo = np.searchsorted(self.keys, own[at], "left")
-            hi = np.searchsorted(self.keys, own[at], "right")
-            for place, i, j in zip(at, lo, hi, strict=True):
-                for k in range(i, j):
-                    yield int(place), int(self.owners[k]), int(self.places[k])
+        """(place in words, item, place in the item) of each equal seed of the longer items."""
+        for kind, mask in enumerate(MASKS, 1):
+            at, k = self._hits(words, mask, kind)
+            yield from zip(at.tolist(), self.owners[k].tolist(), self.places[k].tolist(), strict=True)
+
+    def whole(self, words: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(text, item, word) where a short item stands first in each of the texts that begin at ``first``."""
+        for n in self.short:
+            at, k = self._hits(words, SHORT[n - 1], -n % 2**64)
+            text = np.searchsorted(first, at, "right") - 1
+            inside = at + n <= first[text + 1]
+            text, item, at = text[inside], self.owners[k][inside], at[inside]
+            _, least = np.unique(text * len(self.items) + item, return_index=True)
+            yield from zip(text[least].tolist(), item[least].tolist(), (at - first[text])[least].tolist(), strict=True)
 
 
 def _word_lists(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -136,6 +150,9 @@ def _scan(docs: DataFrame, table: SeedTable) -> DataFrame:
                     if best:
                         (start, length, matches), t = best[2:]
                         out.append((ids[row + k].as_py(), name[0], length, matches, t + start, start))
+                for k, item, start in table.whole(words, first):
+                    name, own = table.items[item]
+                    out.append((ids[row + k].as_py(), name, len(own), len(own), start, 0))
             columns = list(zip(*out, strict=True)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
@@ -144,9 +161,12 @@ def _scan(docs: DataFrame, table: SeedTable) -> DataFrame:
 
 def contaminated(
     documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    item_col: str = "item_id", item_text_col: str = "text", block_seeds: int = BLOCK_SEEDS,
+    item_col: str = "item_id", item_text_col: str = "text", block_seeds: int = BLOCK_SEEDS, least_words: int = 1,
 ) -> DataFrame:
-    """(doc_id, item_id, n_words, n_matches, doc_start, item_start): the best stretch of each item in each document, in words."""
+    """(doc_id, item_id, n_words, n_matches, doc_start, item_start): the best stretch of each item in each document, in words.
+
+    Items of fewer than ``least_words`` words are left out.
+    """
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).cast("string").alias("text")).where("item IS NOT NULL AND text IS NOT NULL")
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -156,7 +176,7 @@ def contaminated(
         part = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block).distinct().collect()
         texts = pa.array([r.text for r in part], pa.string())
         lists = [w[first[k] : first[k + 1]] for _, _, w, first in _word_lists(texts) for k in range(len(first) - 1)]
-        own = _scan(docs, SeedTable([(r.item, w) for r, w in zip(part, lists, strict=True)]))
+        own = _scan(docs, SeedTable([(r.item, w) for r, w in zip(part, lists, strict=True)], least_words))
         found = own if found is None else found.union(own)
     best = F.max(F.struct("n_matches", (-F.col("n_words")).alias("w"), (-F.col("doc_start")).alias("d"), (-F.col("item_start")).alias("i"))).alias("b")
     return found.groupBy("id", "item_id").agg(best).select(

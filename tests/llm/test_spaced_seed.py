@@ -10,26 +10,18 @@ from repotrend.llm import spaced_seed as ss
 
 
 def brute(doc, item):
-    """The best stretch over all offsets of which a seed stands somewhere, by plain loops."""
+    """The matches of the best stretch over all offsets, by plain loops over the rule.
+
+    Of one offset that with the most matches less four for each other word, the one
+    that ends, then starts first; of all offsets that with the most matches.
+    """
     d, t = doc.lower().split(), item.lower().split()
-    best = None
+    need, best = min(ss.OVERLAP, math.ceil(0.8 * len(t))), None
     for offset in range(-len(t) + 1, len(d)):
-        lo, hi = max(0, -offset), min(len(t), len(d) - offset)
-        match = [t[k] == d[k + offset] for k in range(lo, hi)]
-        masks = [m for m in ss.MASKS] if len(t) >= ss.SPAN else ["1" * len(t)]
-        seeded = any(all(match[s + k] for k, c in enumerate(m) if c == "1") for m in masks for s in range(len(match) - len(m) + 1))
-        if not seeded or len(t) < ss.LEAST:
-            continue
-        value, low, at, top = 0, 0, 0, (0, 0, 0)
-        for k, same in enumerate(match):
-            value += 1 if same else -ss.MISMATCH
-            if value < low:
-                low, at = value, k + 1
-            if value - low > top[0]:
-                top = (value - low, at, k + 1)
-        _, start, end = top
-        if end - start >= min(ss.OVERLAP, math.ceil(0.8 * len(t))):
-            best = max(best or 0, sum(match[start:end]))
+        match = [t[k] == d[k + offset] for k in range(max(0, -offset), min(len(t), len(d) - offset))]
+        found = [(n - 4 * (e - s - n), -e, -s, n) for e in range(len(match) + 1) for s in range(e - need + 1) if 5 * (n := sum(match[s:e])) >= 4 * (e - s)]
+        if found:
+            best = max(best or 0, max(found)[3])
     return best
 
 
@@ -47,7 +39,23 @@ def test_replaced_words_are_found(spark):
     found = ss.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     got = {(r.doc_id, r.item_id): r.n_matches for r in found.collect()}
     want = {(d, i): m for d, t in docs for i, x in items if x and i is not None and (m := brute(t, x))}
-    assert got == want and {(0, 0), (1, 0), (2, 0), (300, 3), (400, 4), (500, 5)} <= set(got) and not any(i == 6 for _, i in got)
+    assert got == want and {(0, 0), (1, 0), (2, 0), (300, 3), (400, 4), (500, 5), (600, 6)} <= set(got)
+
+
+def test_short_items_are_found_whole(spark):
+    rng = random.Random(3)
+    items = [(n, " ".join(f"W{rng.randrange(4)}" for _ in range(n))) for n in (1, 2, 3, 4)] + [(12, "w1 w2"), (13, "w1 w2 W3"), (14, "w0 w1 w2 w3 w0")]
+    docs = [(k, " ".join(f"w{rng.randrange(4)}" for _ in range(rng.randrange(8)))) for k in range(300)] + [(1000 + i, t) for i, t in items]
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.n_words, r.n_matches, r.doc_start, r.item_start) for r in ss.contaminated(*frames).where("item_id < 14").collect()}
+    want = {}
+    for d, text in docs:
+        for i, item in items[:-1]:
+            a, b = text.lower().split(), item.lower().split()
+            if starts := [s for s in range(len(a) - len(b) + 1) if a[s : s + len(b)] == b]:
+                want[d, i] = (len(b), len(b), starts[0], 0)
+    assert got == want and {(1000 + i, i) for i, _ in items[:-1]} <= set(got)
+    assert {r.item_id for r in ss.contaminated(*frames, least_words=5).collect()} == {14}
 
 
 def test_blocks_give_the_same(spark, small_docs):
