@@ -8,7 +8,8 @@ inspection, and :func:`stage_events_stepwise` only to test that they agree.
 
 Skew: ``distinct`` and per-id counts aggregate map-side before the shuffle,
 so a hot event_id or repo costs at most one row per map task per distinct
-value; nothing collects a whole group in one task.
+value; the joins by id keep the rows of hot ids out of their shuffle; nothing
+collects a whole group in one task.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 
 from repotrend import schema as S
 
+HOT_IDS = 1000
+
 
 def required_keys(source: DataFrame) -> DataFrame:
     """Drop rows lacking event_id, repo_id or event_ts; narrow to the staged
@@ -45,30 +48,48 @@ def duplicate_event_ids(staged_input: DataFrame) -> DataFrame:
     return event_id_counts(staged_input).where(F.col("row_count") > 1).select("event_id")
 
 
-def non_duplicate_events(staged_input: DataFrame) -> DataFrame:
+def _with_hot(staged_input: DataFrame, counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of hot ids, the other rows): an id is hot with more than one in ``HOT_IDS`` of all rows.
+
+    Fewer than ``HOT_IDS`` ids can be, so they are broadcast, and their rows stay
+    where they are; a join by id would send them to one task, and AQE splits no
+    join whose other side is an aggregate.
+    """
+    all_rows = counts.agg(F.sum("row_count").alias("n")).scalar()
+    hot = F.broadcast(counts.where(F.col("row_count") * HOT_IDS > all_rows).where("row_count > 1").select("event_id"))
+    return staged_input.join(hot, "event_id", "left_semi"), staged_input.join(hot, "event_id", "left_anti")
+
+
+def non_duplicate_events(staged_input: DataFrame, split_hot: bool = True) -> DataFrame:
     """Rows whose event_id occurs once.
 
     Ids alone are counted (a hash aggregate, partial, so a hot id is one row a
-    task); whole rows are shuffled once, for the left-semi join, and no row
-    passes through a sort-based aggregate.
+    task); whole rows are shuffled once, for the left-semi join, those of hot ids
+    not even that, and no row passes through a sort-based aggregate.  Without
+    ``split_hot`` (rows in buckets by id have no such ids) all rows are joined.
     """
-    return staged_input.join(unique_event_ids(staged_input), "event_id", "left_semi").select(*staged_input.columns)
+    counts = event_id_counts(staged_input)
+    rows = _with_hot(staged_input, counts)[1] if split_hot else staged_input
+    return rows.join(counts.where("row_count = 1").select("event_id"), "event_id", "left_semi").select(*staged_input.columns)
 
 
-def duplicate_events(staged_input: DataFrame) -> DataFrame:
+def duplicate_events(staged_input: DataFrame, split_hot: bool = True) -> DataFrame:
     """Rows whose event_id occurs more than once (all of their copies).
 
-    A left-semi join against the duplicate ids: the ids side has one row per
-    key, and AQE's skew-join handling splits a hot id on the event side.
+    Rows of hot ids are found by a broadcast of those few ids, the others by a
+    left-semi join with the ids that occur more than once.
     """
-    return staged_input.join(duplicate_event_ids(staged_input), "event_id", "left_semi").select(
-        *staged_input.columns
-    )
+    counts = event_id_counts(staged_input)
+    ids = counts.where("row_count > 1").select("event_id")
+    if not split_hot:
+        return staged_input.join(ids, "event_id", "left_semi").select(*staged_input.columns)
+    hot, rows = _with_hot(staged_input, counts)
+    return rows.join(ids, "event_id", "left_semi").select(*staged_input.columns).unionByName(hot.select(*staged_input.columns))
 
 
-def dedup_duplicates(staged_input: DataFrame) -> DataFrame:
+def dedup_duplicates(staged_input: DataFrame, split_hot: bool = True) -> DataFrame:
     """Distinct rows among the duplicated ids."""
-    return duplicate_events(staged_input).distinct()
+    return duplicate_events(staged_input, split_hot).distinct()
 
 
 def stage_events(source: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ NULL first.  The 36 checks of the report are listed here on their own.
 
 from __future__ import annotations
 
-from repotrend.sources.feed import CLEAN_FILTER_SQL, FEED_SQL, FIXTURE_ANCHOR
+from repotrend.sources.feed import CLEAN_FILTER_SQL, FEED_SQL, FIXTURE_ANCHOR, SKEWED_FEED_SQL
 
 A = f"date '{FIXTURE_ANCHOR}'"
 W0, W1 = f"{A} - interval 14 day", f"{A} - interval 1 day"
@@ -28,12 +28,12 @@ _STAGED = _WATCH.replace("event_hour", "event_date, event_hour")
 _EXTRACTED = _FORK.replace("event_hour", "event_date, event_hour")
 
 
-def _layers(clean: bool = False, landed: bool = False) -> str:
+def _layers(clean: bool = False, landed: bool = False, text: str = FEED_SQL) -> str:
     """All layers as CTEs; ``landed``: of a run, so of its window's dates and in whole seconds."""
     kept = CLEAN_FILTER_SQL if clean else "true"
     rows = f"file_date between {W0} and {W1}" if landed else "true"
     ts = "date_trunc('second', event_ts)" if landed else "event_ts"
-    return f"""with feed as (select * from ({FEED_SQL}) where {kept}),
+    return f"""with feed as (select * from ({text}) where {kept}),
 ev as (
   select *, cast(event_ts as date) as event_date, cast(event_ts as date) as file_date,
     case event_type when 'ForkEvent' then 'fork' else 'watch' end as kind,
@@ -85,8 +85,8 @@ rise as (select * from rising where current_week_watch_count >= {FLOOR})
 """
 
 
-def _q(body: str, clean: bool = False, landed: bool = False) -> str:
-    return _layers(clean, landed) + body
+def _q(body: str, clean: bool = False, landed: bool = False, text: str = FEED_SQL) -> str:
+    return _layers(clean, landed, text) + body
 
 
 ORACLE: dict[str, str] = {}
@@ -111,6 +111,16 @@ for _kind, _columns in (("watch", _WATCH), ("fork", _FORK)):
         f"extract_{_kind}": _q(f"select {_columns.replace('event_hour', 'event_date, event_hour')} from ext {_of}"),
     }
 
+for _kind in ("watch", "fork"):
+    ORACLE |= {f"{name}_bucketed_{_kind}": ORACLE[f"{like}_{_kind}{end}"] for name, like, end in (
+        ("stg_events", "stg", "_events"), ("duplicate_events", "duplicate_events", ""), ("dq_unique", "dq_unique", ""))}
+
+ORACLE |= {
+    "fct_skewed": _q("select * from fct", text=SKEWED_FEED_SQL),
+    "weekly_watch_skewed": _q("select repo_id, repo_name, weekly_watch_count from weeks where now", text=SKEWED_FEED_SQL),
+    "duplicate_events_skewed": _q(f"select {_STAGED} from keyed where kind = 'watch' and copies > 1", text=SKEWED_FEED_SQL),
+}
+
 # The step queries first registered for one kind.
 ORACLE |= {
     name: ORACLE[f"{name}_{kind}"]
@@ -125,6 +135,7 @@ ORACLE |= {
     "fct_repo_daily": _q("select * from fct"),
     "fct_repo_daily_join": _q("select * from fct"),
     "fct_pruned_read": _q(f"select * from fct where event_date between {A} - interval 7 day and {W1}"),
+    "fct_one_repo": _q("select * from fct where repo_id = 11"),
     "prev_week_watch": _q("select repo_id, repo_name, prev_week_watch_count from weeks where past"),
     "weekly_watch_fork": _q("select repo_id, repo_name, weekly_watch_count, weekly_fork_count from weeks where now"),
     "mart_rising": _q("select * from rise"),
@@ -193,11 +204,13 @@ ORACLE |= {
     "curated_range_scan": _q(f"select {_FORK} from ext where kind = 'fork' and file_date between {A} - interval 7 day and {W1}"),
     "load_truncate": _q(f"select {_WATCH} from ext where kind = 'watch' and {_IN_WINDOW}"),
     "load_append": _q(f"select {_WATCH} from ext where kind = 'watch' and {_IN_WINDOW}"),
+    "load_append_retried": _q(f"select {_WATCH} from ext where kind = 'watch' and {_IN_WINDOW}"),
     "load_empty": _q(f"select {_FORK} from ext where kind = 'fork' and {_IN_WINDOW}"),
     "loaded_rows": _q(f"select kind, 'source_' || kind || '_events' as table_name, count(*) as n from ext where {_IN_WINDOW} group by kind"),
     "run_pipeline": _q("select * from top_watch", landed=True),
     "run_pipeline_rising": _q("select * from rise", landed=True),
     "run_gated": _q("select * from top_watch", clean=True, landed=True),
+    "gate_keeps_fact": _q("select * from fct", clean=True, landed=True),
     "run_tables_sql": _q("select repo_id, repo_name, weekly_watch_count, weekly_fork_count from top_watch join top_fork using (repo_id, repo_name)", landed=True),
 }
 

@@ -40,7 +40,8 @@ def extract_days(spark: SparkSession, raw_root: str, curated_root: str, days: li
     """
     if missing not in ("raise", "keep"):
         raise ValueError(f"missing is 'raise' or 'keep', not {missing!r}")
-    landed = raw.landed_hours(spark, raw_root, days)
+    found = raw.landed(spark, raw_root, days)
+    landed = raw.signatures(found)
     wanted = tables.pending_dates(spark, curated_root, days, landed) if only_pending else list(days)
     out = Extraction(without_raw=[d for d in wanted if d not in landed])
     if out.without_raw and missing == "raise":
@@ -48,7 +49,7 @@ def extract_days(spark: SparkSession, raw_root: str, curated_root: str, days: li
     out.dates = [d for d in wanted if d in landed]
     if out.dates:
         seen = Observation("raw_lines")
-        lines = raw.read_raw(spark, raw_root, dates=out.dates, with_corrupt=True).observe(
+        lines = raw.read_raw(spark, raw_root, dates=out.dates, with_corrupt=True, found=found).observe(
             seen, F.count(F.lit(1)).alias("lines"), F.count_if(raw.no_json()).alias("malformed"))
         out.written = tables.write_curated(extract_events(lines), curated_root, {d: landed[d] for d in out.dates})
         out.lines, out.malformed = int(seen.get["lines"]), int(seen.get["malformed"])

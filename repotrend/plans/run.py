@@ -3,11 +3,17 @@
 extract raw -> curated  |  load sources  |  source checks  |  staging
 |  staging checks  |  fact table  |  fact checks  |  mart tables  |  mart checks
 
-Every layer is a table in the run folder before its checks run, so each check
-and each later layer reads Parquet, not the lineage back to the raw JSON.  An
-error-severity failure stops the run before the next layer; warnings are
-reported.  With a database, tables are known by name there as well, and staging
-is a view over the source tables.
+Each layer is written, checked and then published: its tables are staged as version
+folders, the checks and nothing else read those, and only if no error-severity check
+fails do they become the tables.  A failure stops the run with the layer (and all
+after it) as the last good run left it, by path and by name; warnings are reported.
+Checks and later layers read Parquet, not the lineage back to the raw JSON.
+
+With a database, tables are known by name there as well.  Staging is then a view: of
+the source tables if its rows are read once, of rows stored once if they are read
+more often, as they are by the checks and the fact of one run.  Source and stored
+staging rows are in buckets by event id, so what groups or joins by it (distinct
+rows, counts per id, unique checks) shuffles no events after the load.
 
 ``python -m repotrend.plans.run RAW OUT [--anchor D] ...`` is the form for
 spark-submit.
@@ -44,7 +50,9 @@ class RunResult:
 
     def table(self, spark: SparkSession, name: str) -> DataFrame:
         """A table or view of the run, by its name."""
-        return spark.table(f"{self.database}.{name}") if self.database and name != "curated" else spark.read.parquet(self.paths[name])
+        if name == "curated":
+            return tables.read_curated(spark, self.paths[name])
+        return spark.table(f"{self.database}.{name}") if self.database else tables.read_table(spark, self.paths[name])
 
 
 def _staging_view(spark: SparkSession, database: str, kind: str) -> None:
@@ -88,52 +96,66 @@ def run(
     result = RunResult(a, {n: f"{out}/{n}" for n in ["curated", *names]}, database=database)
     paths = result.paths
 
-    def made(name: str, partitioned: bool = False) -> None:
-        if database:
-            tables.register(spark, database, name, paths[name], partitioned)
+    places = dict(paths)  # where the rows are: those of a view in a folder of their own
+    if database:
+        places |= {n: f"{out}/_stored/{n}" for n in S.STAGED_TABLES.values()}
 
-    def check(layer: str) -> None:
+    def checked(layer: str, versions: dict[str, tables.Version]) -> None:
+        """The checks of a layer over its staged versions; publishes them when none fails."""
         wanted = quality.layer_checks(layer, days, lag_days)
-        frames = {m: result.table(spark, m) for m in dict.fromkeys(c.model for c in wanted)}
-        rep = quality.report(frames, wanted, a)
+        frames = {n: tables.read_version(spark, places[n], v) for n, v in versions.items()}
+        rep = quality.report({m: frames[m] for m in dict.fromkeys(c.model for c in wanted)}, wanted, a)
         result.checks += quality.gate(rep) if enforce else [r.asDict() for r in rep.collect()]
+        for name, version in versions.items():
+            tables.publish(spark, places[name], version)
+            if database:
+                tables.register(spark, database, name, places[name], version)
+            tables.vacuum(spark, places[name])
+
+    def staged(name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> tables.Version:
+        return tables.Version((tables.stage(df, places[name], partition_by),))
+
+    def staged_by_id(name: str, df: DataFrame) -> tables.Version:
+        return tables.Version((tables.stage_bucketed(df, places[name], database, name, "event_id", dealt=True),))
 
     if "extract" in layers:
         done = extract_days(spark, raw_root, paths["curated"], window.dates(), missing_raw, only_pending=skip_extracted)
         result.extracted_dates, result.malformed_lines = done.dates, done.malformed
 
     if "source" in layers:
-        for kind, name in S.KIND_TO_SOURCE_TABLE.items():
-            tables.load_source(spark, paths["curated"], kind, window.start, window.end, paths[name], tables.WRITE_TRUNCATE)
-            made(name)
-        check("source")
+        checked("source", {
+            name: tables.stage_source(spark, paths["curated"], kind, window.start, window.end, paths[name], tables.WRITE_TRUNCATE, database=database)
+            for kind, name in S.KIND_TO_SOURCE_TABLE.items()})
 
     if "staging" in layers:
-        if database:
+        src = [result.table(spark, n) for n in S.KIND_TO_SOURCE_TABLE.values()]
+        frames = pipeline.staging_layer(*src)
+        if database and staging_reads(layers) < 2:
             for kind in S.STAGED_TABLES:
                 _staging_view(spark, database, kind)
         else:
-            src = [result.table(spark, n) for n in S.KIND_TO_SOURCE_TABLE.values()]
-            for name, df in pipeline.staging_layer(*src).items():
-                tables.write_table(df, paths[name])
-        check("staging")
+            checked("staging", {name: staged_by_id(name, df) if database else staged(name, df) for name, df in frames.items()})
 
     if "fact" in layers:
-        staged = [result.table(spark, n) for n in S.STAGED_TABLES.values()]
-        tables.write_fact(pipeline.fact_layer(*staged), paths[S.FACT_TABLE])
-        made(S.FACT_TABLE, partitioned=True)
-        check("fact")
+        rows = [result.table(spark, n) for n in S.STAGED_TABLES.values()]
+        fact = tables.clustered_fact(pipeline.fact_layer(*rows))
+        checked("fact", {S.FACT_TABLE: staged(S.FACT_TABLE, fact, ("event_date",))})
 
     if "marts" in layers:
         weeks = f"{out}/_weeks"  # one pass over the fact for all four
-        tables.write_table(marts.week_frame(tables.read_fact(spark, paths[S.FACT_TABLE]), a), weeks)
-        for name, df in marts.marts_of(spark.read.parquet(weeks)).items():
-            tables.write_table(df, paths[name])
-            made(name)
-        check("marts")
+        tables.write_table(marts.week_frame(result.table(spark, S.FACT_TABLE).select(*S.FACT_COLUMNS), a), weeks)
+        made = marts.marts_of(tables.read_table(spark, weeks))
+        checked("marts", {name: staged(name, df) for name, df in made.items()})
     return result
 
 
+def staging_reads(layers: Sequence[str]) -> int:
+    """How often a run of these layers reads the rows of a staged table: the plain checks, each unique check, the fact."""
+    checks = quality.layer_checks("staging") if "staging" in layers else []
+    model = [c for c in checks if c.model == S.STAGED_TABLES["watch"]]
+    return (1 if model else 0) + sum(c.test == "unique" for c in model) + ("fact" in layers)
+
+
 def main(argv: list[str] | None = None) -> RunResult:
     p = argparse.ArgumentParser(prog="repotrend.plans.run", description="One gated run.")
     p.add_argument("raw_root")

@@ -166,6 +166,45 @@ def q_fct_repo_daily_join(spark, sf_dir):
     return _fact_join(spark, sf_dir)
 
 
+def _skewed(spark, sf_dir, kind):
+    configure(spark)
+    return feeds.source_events(feeds.feed(spark, sf_dir, text=feeds.SKEWED_FEED_SQL), kind)
+
+
+def q_fct_skewed(spark, sf_dir):
+    """The fact of a feed with very many repositories, one of which has a third of the rows."""
+    return facts.repo_daily_fact(*[staging.stage_events(_skewed(spark, sf_dir, k)) for k in ("watch", "fork")])
+
+
+def q_weekly_watch_skewed(spark, sf_dir):
+    return marts.weekly_watch(q_fct_skewed(spark, sf_dir), ANCHOR)
+
+
+def q_duplicate_events_skewed(spark, sf_dir):
+    """Events whose id occurs more than once, where one id has a third of the rows."""
+    return staging.duplicate_events(staging.required_keys(_skewed(spark, sf_dir, "watch")))
+
+
+def _bucketed(spark, sf_dir, kind):
+    """The kind's source rows loaded in buckets by event id, by name."""
+    root = work_dir(spark)
+    load = tables.stage_bucketed(_source(spark, sf_dir, kind), root, "repotrend_" + root.rpartition("/")[2], S.KIND_TO_SOURCE_TABLE[kind], "event_id")
+    tables.publish(spark, root, tables.Version((load,)))
+    return tables.read_table(spark, root)
+
+
+def q_bucketed(function, kind, spark, sf_dir):
+    """A step over the bucketed source: no event is shuffled after the load."""
+    return function(_bucketed(spark, sf_dir, kind))
+
+
+BUCKETED = {
+    "stg_events_bucketed": staging.stage_events,
+    "duplicate_events_bucketed": lambda rows: staging.duplicate_events(staging.required_keys(rows), split_hot=False),
+    "dq_unique_bucketed": lambda rows: quality.unique_failures(staging.stage_events(rows), "event_id"),
+}
+
+
 # ------------------------------------------------------------------ marts
 
 def q_weekly_watch(spark, sf_dir):
@@ -391,7 +430,7 @@ def q_load_truncate(spark, sf_dir):
     root, target = _curated(spark, sf_dir), work_dir(spark) + "/source_watch_events"
     for _ in range(2):  # a rerun replaces, not doubles
         tables.load_source(spark, root, "watch", *WINDOW, target, tables.WRITE_TRUNCATE)
-    return spark.read.parquet(target)
+    return tables.read_table(spark, target)
 
 
 def q_load_append(spark, sf_dir):
@@ -400,14 +439,25 @@ def q_load_append(spark, sf_dir):
     tables.load_source(spark, root, "watch", WINDOW[0], mid, target, tables.WRITE_TRUNCATE)
     tables.load_source(spark, root, "watch", mid + timedelta(days=1), WINDOW[1], target,
                        tables.WRITE_APPEND)
-    return spark.read.parquet(target)
+    return tables.read_table(spark, target)
+
+
+def q_load_append_retried(spark, sf_dir):
+    """Two loads with ids, each made twice as after a lost driver: their rows are there once."""
+    root, target = _curated(spark, sf_dir), work_dir(spark) + "/source_watch_events"
+    mid = _A - timedelta(days=8)
+    for _ in range(2):
+        tables.load_source(spark, root, "watch", WINDOW[0], mid, target, tables.WRITE_APPEND, load_id="early")
+    for _ in range(2):
+        tables.load_source(spark, root, "watch", mid + timedelta(days=1), WINDOW[1], target, tables.WRITE_APPEND, load_id="late")
+    return tables.read_table(spark, target)
 
 
 def q_load_empty(spark, sf_dir):
     root, target = _curated(spark, sf_dir), work_dir(spark) + "/source_fork_events"
     tables.create_empty(spark, "fork", target)
     tables.load_source(spark, root, "fork", *WINDOW, target, tables.WRITE_EMPTY)
-    return spark.read.parquet(target)
+    return tables.read_table(spark, target)
 
 
 def q_loaded_rows(spark, sf_dir):
@@ -424,6 +474,13 @@ def q_fct_pruned_read(spark, sf_dir):
     return tables.read_fact(spark, target, _A - timedelta(days=7), _A - timedelta(days=1))
 
 
+def q_fct_one_repo(spark, sf_dir):
+    """The rows of one repository from the written fact: files of other ranges of repositories are skipped."""
+    target = work_dir(spark) + "/" + S.FACT_TABLE
+    tables.write_fact(_fact(spark, sf_dir), target)
+    return tables.read_fact(spark, target).where("repo_id = 11")
+
+
 # ------------------------------------------------------------- end to end
 
 def _plain_run(spark, sf_dir, **more):
@@ -464,6 +521,27 @@ def q_gate_stop(spark, sf_dir):
     return spark.createDataFrame(failed, "model string, test string, column_name string, failures long")
 
 
+def _nameless(spark, sf_dir):
+    """The clean feed with the names of one repository lost: extraction, source and staging checks pass, the fact's don't."""
+    events = feeds.with_forkee(feeds.feed(spark, sf_dir, clean=True))
+    return raw.to_raw_lines(events.withColumn("repo_name", F.expr("if(repo_id = 11, null, repo_name)")))
+
+
+def q_gate_keeps_fact(spark, sf_dir):
+    """A run whose fact checks fail leaves the fact of the run before: read by name."""
+    out = work_dir(spark)
+    database = "repotrend_" + out.rpartition("/")[2]
+    run(spark, _landed(spark, sf_dir, clean=True), out, ANCHOR, database=database)
+    raw.land_raw(_nameless(spark, sf_dir), f"{out}/nameless")
+    try:
+        run(spark, f"{out}/nameless", out, ANCHOR, database=database)
+        raise AssertionError("the fact checks have passed")
+    except quality.DataQualityError as stop:
+        if {r["layer"] for r in stop.failed} != {"fact"}:
+            raise
+    return spark.table(f"{database}.{S.FACT_TABLE}").select(*S.FACT_COLUMNS)
+
+
 def q_run_tables_sql(spark, sf_dir):
     """Plain SQL on the marts of a run, by name."""
     database = "repotrend_" + work_dir(spark).rpartition("/")[2]
@@ -487,8 +565,10 @@ QUERIES: dict[str, Query] = {
     "curated_range_scan": q_curated_range_scan,
     "load_truncate": q_load_truncate,
     "load_append": q_load_append,
+    "load_append_retried": q_load_append_retried,
     "load_empty": q_load_empty,
     "fct_pruned_read": q_fct_pruned_read,
+    "fct_one_repo": q_fct_one_repo,
     "run_pipeline": q_run_pipeline,
     "run_pipeline_rising": q_run_pipeline_rising,
     "relevant_events": q_relevant_events,
@@ -498,6 +578,9 @@ QUERIES: dict[str, Query] = {
     "daily_fork_counts": q_daily_fork_counts,
     "fct_repo_daily": q_fct_repo_daily,
     "fct_repo_daily_join": q_fct_repo_daily_join,
+    "fct_skewed": q_fct_skewed,
+    "weekly_watch_skewed": q_weekly_watch_skewed,
+    "duplicate_events_skewed": q_duplicate_events_skewed,
     "weekly_watch": q_weekly_watch,
     "weekly_fork": q_weekly_fork,
     "prev_week_watch": q_prev_week_watch,
@@ -526,10 +609,12 @@ QUERIES: dict[str, Query] = {
     "run_gated": q_run_gated,
     "run_plain_report": q_run_plain_report,
     "gate_stop": q_gate_stop,
+    "gate_keeps_fact": q_gate_keeps_fact,
     "run_tables_sql": q_run_tables_sql,
 }
 for _kind in S.KIND_TO_EVENT_TYPE:
     QUERIES |= {f"{name}_{_kind}": partial(_step, step, _kind) for name, step in STEPS.items()}
+    QUERIES |= {f"{name}_{_kind}": partial(q_bucketed, step, _kind) for name, step in BUCKETED.items()}
     QUERIES |= {f"stg_{_kind}_events_stepwise": partial(q_stg_stepwise, _kind), f"dq_unique_{_kind}": partial(q_dq_unique, _kind)}
 # The names under which steps were first registered, each for one kind.
 QUERIES |= {name: QUERIES[f"{name}_watch"] for name in ("stg_required_keys", "event_id_counts", "non_duplicate_events")}

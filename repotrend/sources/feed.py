@@ -50,6 +50,26 @@ CLEAN_FILTER_SQL = (
     "event_id is not null and repo_name is not null and coalesce(action, '') <> 'other'"
 )
 
+# Fixed text: a feed of the same columns with about as many repositories and event ids
+# as rows, but for one repository and one id that a third of the rows have each.
+SKEWED_FEED_SQL = """with base as (
+  select event_id, ts, user_id,
+    case event_type when 'view' then 'WatchEvent' when 'purchase' then 'ForkEvent' else 'PushEvent' end as etype,
+    case when event_id % 3 = 1 then 0 else event_id end as repo
+  from events),
+shaped as (
+  select case when event_id % 3 = 2 then 'hot' else cast(event_id as string) end as event_id,
+    etype as event_type, ts as event_ts, cast(extract(hour from ts) as int) as event_hour, repo as repo_id,
+    concat('owner/repo', cast(repo as string)) as repo_name, user_id as actor_id, concat('user', cast(user_id as string)) as actor_login,
+    user_id % 7 as org_id, concat('org', cast(user_id % 7 as string)) as org_login,
+    case when etype = 'WatchEvent' then 'started' end as action, true as is_public, event_id as k
+  from base)
+select event_id, event_type, event_ts, event_hour, repo_id, repo_name, actor_id, actor_login,
+       org_id, org_login, action, is_public from shaped
+union all
+select event_id, event_type, event_ts, event_hour, repo_id, repo_name, actor_id, actor_login,
+       org_id, org_login, action, is_public from shaped where k % 10 = 0"""
+
 # Fixed text: fork-only columns derived from the feed.
 FORKEE_ID_SQL = "1000000 + repo_id"
 FORKEE_NAME_SQL = "concat(actor_login, '/fork')"
@@ -73,7 +93,7 @@ _FEED_COLUMNS = [
 ]
 
 
-def feed(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
+def feed(spark: SparkSession, sf_dir: str, clean: bool = False, text: str = FEED_SQL) -> DataFrame:
     """All feed rows (every kind).  ``event_ts`` is an instant (UTC).
 
     The fixture's ts is a naive timestamp; the pipeline works on instants,
@@ -85,7 +105,7 @@ def feed(spark: SparkSession, sf_dir: str, clean: bool = False) -> DataFrame:
     )
     where = f" where {CLEAN_FILTER_SQL}" if clean else ""
     # The table is passed in, so no view of the caller's is replaced.
-    text = FEED_SQL.replace("from events)", "from {events})")
+    text = text.replace("from events)", "from {events})")
     return spark.sql(f"select {cols} from (\n{text}\n) feed{where}", events=read_table(spark, sf_dir, "events"))
 
 

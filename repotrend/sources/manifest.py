@@ -3,9 +3,9 @@
 The manifest names, for every UTC hour of a window (both ends inclusive),
 the archive file ``YYYY-MM-DD-H.json.gz`` (hour not padded), its URL and its
 landing path ``<prefix>/year=YYYY/month=MM/day=DD/hour=HH/<file>`` (padded).
-Missing hours are the manifest rows whose path isn't among the landed, non-empty
-files: an anti-join with a listing of the window's days, which works as well
-before anything has landed.
+Missing hours are the manifest rows whose path isn't among those of the landed
+hours: an anti-join with the window's days, which works as well before anything has
+landed.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repotrend.params import PUBLISH_LAG_HOURS, RUN_DAYS, Window
-from repotrend.sources import layout
+from repotrend.sources import layout, raw
 
 
 def _ts(value: datetime | str | Column) -> Column:
@@ -89,14 +89,13 @@ def transform_dates(events: DataFrame, ts_column: str = "event_ts", lag_hours: i
 
 
 def landed_objects(spark: SparkSession, raw_root: str, window: Window, prefix: str) -> DataFrame:
-    """(object_path, bytes) of the non-empty files landed for the window's days."""
-    root = raw_root.rstrip("/")
-    folders = layout.raw_days(spark, root, window.dates())
-    if not folders:
-        return spark.createDataFrame([], "object_path string, bytes long")
-    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").option("recursiveFileLookup", "true").load(folders)
-    path = F.concat(F.lit(prefix.rstrip("/") + "/"), F.regexp_extract("path", "(year=[^/]*/month=[^/]*/day=[^/]*/hour=[^/]*/[^/]*)$", 1))
-    return listing.where("length > 0").select(path.alias("object_path"), F.col("length").alias("bytes"))
+    """(object_path, bytes) of the hours landed for the window's days, under the manifest's names."""
+    found = raw.signatures(raw.landed(spark, raw_root, window.dates()))  # 24 a day at most
+    rows = [
+        (f"{layout.raw_day(prefix, day)}/hour={hour:02d}/{day:%Y-%m-%d}-{hour}.json.gz", size)
+        for day, hours in found.items() for hour, (_, size, _) in hours.items()
+    ]
+    return spark.createDataFrame(rows, "object_path string, bytes long")
 
 
 def missing_hours(manifest: DataFrame, landed: DataFrame) -> DataFrame:

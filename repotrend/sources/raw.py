@@ -2,7 +2,14 @@
 
 Layout: ``<root>/year=YYYY/month=MM/day=DD/hour=HH/<file>.json.gz`` (folders
 zero-padded), gzip JSON lines, files named ``YYYY-MM-DD-H.json.gz`` as in the
-manifest (a large hour also has ``YYYY-MM-DD-H.1.json.gz`` and so on).
+manifest (a large hour also has ``YYYY-MM-DD-H.1.json.gz`` and so on; an hour that
+lands again has the landing's id in its names).
+
+A landing is committed day by day, by a record in the day's ``_commits`` folder
+that names the valid files of each of its hours.  Readers take those alone, so an
+hour is what it was until its record is there, whenever a landing breaks off; what
+the hour had before is deleted last.  A day without records is one that other
+tools fill: all its files count, and the first landing into it records them.
 
 Reading uses a declared schema: no inference pass over the files, and a line
 that is no JSON object becomes a row of NULLs but for its text, which
@@ -13,8 +20,8 @@ hour file, all hours of all requested days in one job.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterable
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,43 +75,123 @@ def to_raw_lines(events: DataFrame) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Hour:
+    """The valid files of a landed hour: their names with their bytes, and the last modification."""
+
+    files: dict[str, int]
+    modified: int
+
+    def signature(self) -> tuple[int, int, int]:
+        return len(self.files), sum(self.files.values()), self.modified
+
+
+Landed = dict[date, dict[int, Hour]]
+
+
+def _commits(root: str, day: date) -> str:
+    return f"{layout.raw_day(root, day)}/_commits"
+
+
+def _found(spark: SparkSession, root: str, days: list[date]) -> Landed:
+    """The non-empty files in the days' folders, whoever put them there."""
+    out: Landed = {}
+    for path, size, modified in layout.listed(spark, [layout.raw_day(root, d) for d in days], "*.gz"):
+        year, month, day, hour, name = (x.partition("=")[2] or x for x in layout.under(path, "year=").split("/"))
+        if size and hour.isdigit():
+            hours = out.setdefault(date(int(year), int(month), int(day)), {})
+            before = hours.get(int(hour), Hour({}, 0))
+            hours[int(hour)] = Hour(before.files | {name: size}, max(before.modified, modified))
+    return out
+
+
+def landed(spark: SparkSession, root: str, days: Iterable[date] | None = None) -> Landed:
+    """day -> hour -> its valid files, of the given days or of all; days and hours without any are left out."""
+    days = layout.all_raw_days(spark, root) if days is None else layout.raw_days(spark, root, days)
+    last = dict(zip(days, layout.each(spark, lambda d: layout.last_record(spark, _commits(root, d)), days), strict=True))
+    out = _found(spark, root, [d for d in days if last[d] is None])
+    for day, record in last.items():
+        if record:
+            out[day] = {int(h): Hour(x["files"], x["modified"]) for h, x in record.items()}
+    return {d: out[d] for d in sorted(out) if out[d]}
+
+
+def landed_hours(spark: SparkSession, root: str, days: Iterable[date]) -> dict[date, dict[int, tuple[int, int, int]]]:
+    """day -> hour -> (files, bytes, last modification) of landed hours."""
+    return signatures(landed(spark, root, days))
+
+
+def signatures(found: Landed) -> dict[date, dict[int, tuple[int, int, int]]]:
+    return {day: {h: hour.signature() for h, hour in hours.items()} for day, hours in found.items()}
+
+
+def _record(hours: dict[int, Hour]) -> dict:
+    return {str(h): {"files": x.files, "modified": x.modified} for h, x in hours.items()}
+
+
 def land_raw(lines: DataFrame, root: str) -> list[str]:
     """Write raw lines as gzip files under the hourly layout; returns the files.
 
     Rows are clustered by hour and AQE sizes the write tasks: a small hour stays
     one file, a large one is split over several tasks.  All hours are written
-    beside the layout first; each is then put in place of what its folder had
-    under the manifest's name, so a failed write replaces nothing, and hours
-    without rows stay as they are.
+    beside the layout first and then moved to names that nothing has yet, several
+    at a time; a record for each day then makes them the valid ones.  Whatever
+    fails before that leaves each hour of the day as it was, and hours without
+    rows stay as they are.
     """
     spark = lines.sparkSession
-    root = root.rstrip("/")
-    beside = f"{root}/_landing-{layout.fresh('/x', 'n').rpartition('-')[2]}"
+    root, mark = root.rstrip("/"), layout.fresh_id()
+    beside = f"{root}/_landing-{mark}"
     (
         lines.hint("rebalance", *S.RAW_PARTITION_COLUMNS)
         .write.option("compression", "gzip")
         .partitionBy(*S.RAW_PARTITION_COLUMNS)
         .text(beside)
     )
-    landed = []
-    for folder in _hour_folders(spark, beside):
-        parts = folder[len(beside) :] if folder.startswith(beside) else folder[folder.index("/year=") :]
-        year, month, day, hour = (x.partition("=")[2] for x in parts.strip("/").split("/"))
-        files = [p for p, size, _ in layout.children(spark, folder) if size and "/part-" in p]
-        layout.delete_path(spark, root + parts)
-        for k, file in enumerate(files):
-            name = f"{year}-{month}-{day}-{int(hour)}{f'.{k}' if k else ''}.json.gz"
-            landed.append(f"{root}{parts}/{name}")
-            layout.move(spark, file, landed[-1])
-    layout.delete_path(spark, beside)
-    return landed
+    new: dict[date, dict[int, list[tuple[str, int, int]]]] = {}
+    for path, size, modified in layout.listed(spark, [beside], "part-*"):
+        year, month, day, hour = (int(x.partition("=")[2]) for x in layout.under(path, "year=").split("/")[:4])
+        if size:
+            new.setdefault(date(year, month, day), {}).setdefault(hour, []).append((path, size, modified))
+    before = landed(spark, root, new)
 
+    def commit(day: date) -> list[str]:
+        return _land_day(spark, root, day, new[day], before.get(day, {}), mark)
 
-def _hour_folders(spark: SparkSession, root: str) -> list[str]:
-    folders = [root]
-    for column in S.RAW_PARTITION_COLUMNS:
-        folders = [p for f in folders for p, _, _ in layout.children(spark, f) if f"/{column}=" in p]
-    return folders
+    files = [f for own in layout.each(spark, commit, sorted(new)) for f in own]
+    layout.delete_path(spark, beside)
+    return files
+
+
+def _land_day(spark: SparkSession, root: str, day: date, new: dict[int, list[tuple[str, int, int]]], before: dict[int, Hour], mark: str) -> list[str]:
+    """Move one day's new files in, commit them, and delete what they replace."""
+    folder, commits = layout.raw_day(root, day), _commits(root, day)
+    if not layout.records(spark, commits):
+        layout.put_record(spark, commits, _record(before))  # from now on only recorded files count
+    there = {p.rpartition("/")[2] for p, _, _ in layout.children(spark, folder)}
+    hours, files = dict(before), []
+    for hour, own in sorted(new.items()):
+        at = f"{folder}/hour={hour:02d}"
+        held = layout.children(spark, at) if f"hour={hour:02d}" in there else []
+        for path, size, _ in held:
+            if not size:  # an empty file isn't a landed one, and would have its name
+                layout.delete_path(spark, path)
+        again = f".{mark}" if any(size for _, size, _ in held) else ""
+        names = {}
+        for k, (path, size, _) in enumerate(own):
+            name = f"{day:%Y-%m-%d}-{hour}{f'.{k}' if k else ''}{again}.json.gz"
+            layout.move(spark, path, f"{at}/{name}")
+            names[name] = size
+            files.append(f"{at}/{name}")
+        hours[hour] = Hour(names, max(x[2] for x in own))
+    layout.put_record(spark, commits, _record(hours))
+    layout.drop_old_records(spark, commits)
+    for hour in new:
+        if f"hour={hour:02d}" in there:
+            for path, _, _ in layout.children(spark, f"{folder}/hour={hour:02d}"):
+                if path.rpartition("/")[2] not in hours[hour].files:
+                    layout.delete_path(spark, path)
+    return files
 
 
 def land_missing(lines: DataFrame, root: str, window: Window) -> list[str]:
@@ -116,18 +203,6 @@ def land_missing(lines: DataFrame, root: str, window: Window) -> list[str]:
     return land_raw(lines.where(inside & ~key.isin(hours) if hours else inside), root)
 
 
-def landed_hours(spark: SparkSession, root: str, days: Iterable[date]) -> dict[date, dict[int, tuple[int, int, int]]]:
-    """day -> hour -> (files, bytes, last modification) of non-empty landed files, listing those days only."""
-    found: dict[date, dict[int, tuple[int, int, int]]] = defaultdict(dict)
-    for day in days:
-        for folder, _, _ in layout.children(spark, layout.raw_day(root, day)):
-            hour = folder.rpartition("/hour=")[2]
-            own = [x for x in layout.children(spark, folder) if x[1] and x[0].endswith(".gz")] if hour.isdigit() else []
-            if own:
-                found[day][int(hour)] = (len(own), sum(x[1] for x in own), max(x[2] for x in own))
-    return dict(found)
-
-
 def file_date() -> Column:
     """The date of the raw file, from its path."""
     return F.make_date("year", "month", "day")
@@ -140,23 +215,32 @@ def read_raw(
     end: date | str | None = None,
     dates: list[date] | None = None,
     with_corrupt: bool = False,
+    found: Landed | None = None,
 ) -> DataFrame:
     """Raw events (declared schema) with ``file_date``, of a window of days, of given days, or of all.
 
-    ``with_corrupt`` adds the text of lines that are no JSON object.
+    Only landed hours' valid files are read: those of ``found``, if it is given
+    (by :func:`landed`), else those of now.  ``with_corrupt`` adds the text of lines
+    that are no JSON object.
     """
     schema = S.RAW_SCHEMA_WITH_PARTITIONS
     if with_corrupt:
         schema = T.StructType([*schema.fields, T.StructField(S.CORRUPT_COLUMN, T.StringType())])
     days = dates if dates is not None else Window.of(start, end).dates() if start is not None and end is not None else None
-    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", S.CORRUPT_COLUMN)
-    if days is None:
-        df = reader.json(root).where(in_dates(file_date(), start, end))
-    elif folders := layout.raw_days(spark, root, days):
-        df = reader.option("basePath", root).json(folders)
-    else:
-        df = spark.createDataFrame([], schema)
-    return df.withColumn("file_date", file_date())
+    if found is None:
+        found = landed(spark, root, days)
+    found = {d: hours for d, hours in found.items() if days is None or d in days}
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", S.CORRUPT_COLUMN).option("basePath", root)
+    if not found:
+        return spark.createDataFrame([], schema).withColumn("file_date", file_date())
+    df = reader.option("pathGlobFilter", "*.gz").json([layout.raw_day(root, d) for d in found])
+    valid = {f"{layout.raw_day('', d)}/hour={h:02d}/{n}"[1:] for d, hours in found.items() for h, x in hours.items() for n in x.files}
+    there = {layout.under(p, "year=") for p in df.inputFiles()}
+    if there - valid:  # replaced files not deleted yet, or empty ones
+        df = reader.json([f"{root.rstrip('/')}/{p}" for p in sorted(valid)])
+    if gone := valid - there:
+        raise FileNotFoundError(f"{len(gone)} landed file(s) are missing below {root}, the first is {min(gone)}")
+    return df.where(in_dates(file_date(), start, end)).withColumn("file_date", file_date())
 
 
 def malformed(raw: DataFrame) -> DataFrame:

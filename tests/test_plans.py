@@ -167,8 +167,8 @@ def test_failed_rebuilds_keep_the_old_table(spark, tmp_root):
     tables.write_table(spark.range(3), tmp_root + "/t")
     with pytest.raises(Exception, match="boom"):
         tables.write_table(spark.range(3).selectExpr("if(id = 2, raise_error('boom'), id) AS id"), tmp_root + "/t")
-    assert spark.read.parquet(tmp_root + "/t").count() == 3
-    assert tables.replace_table(spark.range(0), tmp_root + "/t", least=1) == 0 and spark.read.parquet(tmp_root + "/t").count() == 3
+    assert tables.read_table(spark, tmp_root + "/t").count() == 3
+    assert tables.replace_table(spark.range(0), tmp_root + "/t", least=1) == 0 and tables.read_table(spark, tmp_root + "/t").count() == 3
     spark.range(1).selectExpr("id", "1 AS p").write.partitionBy("p").parquet(tmp_root + "/own")
     spark.range(1).selectExpr("id", "2 AS p").write.mode("overwrite").partitionBy("p").parquet(tmp_root + "/own")
     assert spark.read.parquet(tmp_root + "/own").count() == 1  # the session's overwrite mode is the caller's
