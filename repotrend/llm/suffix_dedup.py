@@ -331,5 +331,5 @@ def without_repeats(documents: DataFrame, length: int = LENGTH, id_col: str = "d
 
 
 def digests(cut: DataFrame) -> DataFrame:
-    """``kept`` as its SHA-256."""
-    return cut.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+    """``kept`` as its SHA-256, and last as text (a character of which only some bytes stay becomes U+FFFD)."""
+    return cut.withColumns({"kept_sha256": F.sha2("kept", 256), "text": F.make_valid_utf8(F.col("kept").cast("string"))}).drop("kept")
