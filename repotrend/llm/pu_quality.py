@@ -7,13 +7,15 @@ bad less the share that good ones have in it; that difference can't be negative,
 so where the sample makes it so the step goes the other way (the non-negative
 estimator).  The loss is logistic, so the score estimates a probability.
 
-The prior is the share of label 1 among labelled training rows.  The classifier
+The prior is the share of label 1 among labelled training rows; it stands for that
+among unlabelled texts, so labels are taken to be drawn like the texts.  The classifier
 is a network of one hidden layer over style features of the whole text: shares
 of character classes and of each ASCII mark, repetition of words and lines, and
 lengths.  Labels, language, source and ids are never inputs.
 
-Bounds (parameters): the fit takes at most ``POSITIVES`` trusted and
-``UNLABELLED`` other texts, chosen by a hash of the id.  Scoring covers all rows.
+Bounds (arguments): the fit takes at most ``positives`` trusted and ``unlabelled``
+other texts, chosen by a hash of the id; the second bound can be switched off.
+Scoring covers all rows.
 
 Defined results: a null or empty text is scored as an empty one; a null id is not
 held out and is passed through; repeated rows give repeated results; with no
@@ -31,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from repotrend.llm.scratch import Scratch
 from repotrend.llm.tokens import chunks, text_buffer, word_hashes
 
 POSITIVES, UNLABELLED = 8_000, 12_000
@@ -101,30 +104,65 @@ class Classifier:
         return 1 / (1 + np.exp(-np.clip(self.margins(x), -40, 40)))
 
 
+def risk(params: list[np.ndarray], x: np.ndarray, n: int, prior: float) -> tuple[float, float]:
+    """The risk of ``x``, whose first ``n`` rows are trusted and the others unlabelled: (as good, as bad).
+
+    As good: ``prior`` times the mean loss of trusted texts scored as bad.  As bad:
+    the mean loss of unlabelled texts scored as good, less ``prior`` times that of
+    the trusted ones, which estimates the loss of the bad texts among them.
+    """
+    g = np.tanh(x @ params[0] + params[1]) @ params[2] + params[3]
+    return prior * np.logaddexp(0, -g[:n]).mean(), np.logaddexp(0, g[n:]).mean() - prior * np.logaddexp(0, g[:n]).mean()
+
+
+def slopes(params: list[np.ndarray], x: np.ndarray, n: int, prior: float) -> list[np.ndarray]:
+    """The gradient of the non-negative risk: of both parts, or, where the second is below 0, that which brings it back up."""
+    h = np.tanh(x @ params[0] + params[1])
+    g = h @ params[2] + params[3]
+    sigmoid = 1 / (1 + np.exp(-np.clip(g, -40, 40)))
+    p, u = sigmoid[:n], sigmoid[n:]
+    bad = np.logaddexp(0, g[n:]).mean() - prior * np.logaddexp(0, g[:n]).mean()
+    grad = np.concatenate((-prior * (1 - p) - prior * p, u) if bad >= 0 else (prior * p, -u))
+    grad /= np.concatenate((np.full(n, n), np.full(len(u), len(u))))
+    back = grad[:, None] * params[2] * (1 - h * h)
+    return [x.T @ back, back.sum(axis=0), h.T @ grad, np.array([grad.sum()])]
+
+
+def _drawn(rows: np.ndarray, rng: np.random.Generator) -> Iterator[np.ndarray]:
+    while True:
+        yield rows[rng.integers(len(rows), size=BATCH)]
+
+
 def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float, seed: int = 0) -> Classifier:
-    """Minimise the non-negative risk with Adam."""
+    """Minimise the non-negative risk with Adam over batches drawn from both."""
+    rng = np.random.default_rng(seed)
+    mean, scale = unlabelled.mean(axis=0), np.maximum(np.concatenate((positive, unlabelled)).std(axis=0), 1e-3)
+    return _fitted(positive, mean, scale, _drawn(unlabelled, rng), STEPS, prior, rng)
+
+
+def fit_stream(positive: np.ndarray, unlabelled: Iterator[np.ndarray], blocks: int, moments: tuple[np.ndarray, np.ndarray], prior: float, seed: int = 0) -> Classifier:
+    """As :func:`fit`, over all unlabelled rows in one pass: equally many batches are drawn from each of their ``blocks``.
+
+    ``moments`` are the rows' means and deviations.
+    """
     rng = np.random.default_rng(seed)
-    both = np.concatenate((positive, unlabelled))
-    mean, scale = unlabelled.mean(axis=0), np.maximum(both.std(axis=0), 1e-3)
-    p, u = (np.clip((x - mean) / scale, -8, 8) for x in (positive, unlabelled))
+    draws = max(-(-STEPS // blocks), UNLABELLED // BATCH)
+    batches = (rows[rng.integers(len(rows), size=BATCH)] for rows in unlabelled for _ in range(draws))
+    return _fitted(positive, moments[0], np.maximum(moments[1], 1e-3), batches, draws * blocks, prior, rng)
+
+
+def _fitted(positive: np.ndarray, mean: np.ndarray, scale: np.ndarray, unlabelled: Iterator[np.ndarray], steps: int, prior: float, rng: np.random.Generator) -> Classifier:
+    p = np.clip((positive - mean) / scale, -8, 8)
+    batches = (np.clip((x - mean) / scale, -8, 8) for x in unlabelled)
     d = p.shape[1]
     params = [rng.normal(0, 1 / np.sqrt(d), (d, HIDDEN)), np.zeros(HIDDEN), rng.normal(0, 0.1, HIDDEN), np.array([np.log(prior / (1 - prior))])]
     first, second = [np.zeros_like(x) for x in params], [np.zeros_like(x) for x in params]
-    sigmoid = lambda g: 1 / (1 + np.exp(-np.clip(g, -40, 40)))
-    for step in range(1, STEPS + 1):
-        x = np.concatenate((p[rng.integers(len(p), size=BATCH)], u[rng.integers(len(u), size=BATCH)]))
-        h = np.tanh(x @ params[0] + params[1])
-        g = h @ params[2] + params[3]
-        gp, gu = g[:BATCH], g[BATCH:]
-        # Risk as bad: of unlabelled texts, less the good ones among them.
-        bad = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
-        dp, du = -prior * sigmoid(-gp) - prior * sigmoid(gp), sigmoid(gu)
-        if bad < 0:
-            dp, du = prior * sigmoid(gp), -du
-        grad = np.concatenate((dp, du)) / BATCH
-        back = grad[:, None] * params[2] * (1 - h * h)
-        grads = [x.T @ back + DECAY * params[0], back.sum(axis=0), h.T @ grad + DECAY * params[2], np.array([grad.sum()])]
-        rate = RATE * (1 - step / (STEPS + 1))
+    for step in range(1, steps + 1):
+        x = np.concatenate((p[rng.integers(len(p), size=BATCH)], next(batches)))
+        grads = slopes(params, x, BATCH, prior)
+        grads[0] += DECAY * params[0]
+        grads[2] += DECAY * params[2]
+        rate = RATE * (1 - step / (steps + 1))
         for k, slope in enumerate(grads):
             first[k] += 0.1 * (slope - first[k])
             second[k] += 0.001 * (slope * slope - second[k])
@@ -145,8 +183,42 @@ def _features_of(docs: DataFrame, ids: DataFrame) -> np.ndarray:
     return np.stack(rows) if rows else np.zeros((0, len(MARKS) + OWN))
 
 
-def trained(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Classifier | float:
-    """A classifier fitted to trusted and unlabelled texts outside the held-out fold, or the prior alone."""
+def _streamed(docs: DataFrame) -> tuple[Iterator[np.ndarray], tuple[np.ndarray, np.ndarray], int]:
+    """(the features of all texts in a hashed order, ``UNLABELLED`` at a time; their means and deviations; their number)."""
+    width = len(MARKS) + OWN
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([x.tolist() for x in features(batch.column("text"))], pa.list_(pa.float64()))], ["x"])
+
+    scratch = Scratch(docs.sparkSession)
+    rows = scratch.save(docs.orderBy(F.xxhash64("id"), "id").select("text").mapInArrow(run, "x array<double>"), "features")
+    parts = [F.struct(F.count("*").alias("n"), F.avg(F.col("x")[k]).alias("m"), F.stddev_pop(F.col("x")[k]).alias("s")).alias(f"c{k}") for k in range(width)]
+    found = rows.agg(*parts).first()
+    mean, deviation = (np.array([c[k] or 0.0 for c in found]) for k in ("m", "s"))
+
+    def blocks() -> Iterator[np.ndarray]:
+        held = []
+        for r in rows.toLocalIterator():
+            held.append(r.x)
+            if len(held) == UNLABELLED:
+                yield np.array(held)
+                held = []
+        if held:
+            yield np.array(held)
+
+    return blocks(), (mean, deviation), found[0]["n"]
+
+
+def trained(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
+            positives: int = POSITIVES, unlabelled: int | None = UNLABELLED) -> Classifier | float:
+    """A classifier fitted to trusted and unlabelled texts outside the held-out fold, or the prior alone.
+
+    It is fitted to at most ``positives`` trusted texts and ``unlabelled`` others,
+    those of the least hashes of their ids, which the driver holds; with
+    ``unlabelled=None`` to every unlabelled text, whose features are written and
+    read through the driver block by block.
+    """
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     docs = docs.where(F.col("id").isNotNull() & ~held_out(F.col("id")))
     marked = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y"))
@@ -157,12 +229,14 @@ def trained(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     if prior is None:
         return 0.5
     order = F.xxhash64("id"), F.col("id")
-    good = marked.where("y = 1").select("id").orderBy(*order).limit(POSITIVES)
-    other = docs.select("id").distinct().orderBy(*order).limit(UNLABELLED)
-    positive, unlabelled = _features_of(docs, good), _features_of(docs, other)
-    if not len(positive) or not len(unlabelled):
-        return float(prior)
-    return fit(positive, unlabelled, float(np.clip(prior, 0.01, 0.99)))
+    good = marked.where("y = 1").select("id").orderBy(*order).limit(positives)
+    positive, prior = _features_of(docs, good), float(np.clip(prior, 0, 1))
+    if unlabelled is None:
+        blocks, moments, n = _streamed(docs)
+        return fit_stream(positive, blocks, -(-n // UNLABELLED), moments, float(np.clip(prior, 0.01, 0.99))) if len(positive) and n else prior
+    other = docs.select("id").distinct().orderBy(*order).limit(unlabelled)
+    rest = _features_of(docs, other)
+    return fit(positive, rest, float(np.clip(prior, 0.01, 0.99))) if len(positive) and len(rest) else prior
 
 
 def with_scores(documents: DataFrame, model: Classifier | float, text_col: str = "text", score_col: str = "score") -> DataFrame:
@@ -177,9 +251,10 @@ def with_scores(documents: DataFrame, model: Classifier | float, text_col: str =
     return documents.withColumn(score_col, scored(F.col(text_col).cast("string")))
 
 
-def quality(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of each row of ``documents``."""
-    model = trained(documents, labels, id_col, text_col)
+def quality(documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
+            positives: int = POSITIVES, unlabelled: int | None = UNLABELLED) -> DataFrame:
+    """(doc_id, held_out, score, predicted) of each row of ``documents``; see :func:`trained` for the bounds."""
+    model = trained(documents, labels, id_col, text_col, positives=positives, unlabelled=unlabelled)
     docs = documents.select(F.col(id_col), F.col(text_col))
     out = with_scores(docs, model, text_col)
     return out.select(F.col(id_col), held_out(F.col(id_col)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
