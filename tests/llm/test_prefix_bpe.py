@@ -46,6 +46,32 @@ def test_every_prefix(vocabulary, library):
         assert b"".join(vocabulary.bytes_of[t] for t in table.tokens(end)) == data[:end]
 
 
+def test_tables_side_by_side(vocabulary, library):
+    rng = random.Random(9)
+    letters = ["a", "e", "i", "n", "t", " ", "é", "漢", "и", "'", "1", "\n", "Q", "zz"]
+    pieces = [b"".join(rng.choice(letters).encode() for _ in range(rng.randrange(1, 11)))[: pb.SHORT] for _ in range(3000)] + [b"\xff\x00", b"a", b"a" * 32]
+    for piece, last in zip(pieces, vocabulary.tables(pieces), strict=True):
+        plain = []
+        vocabulary.extend(piece, plain, len(piece))
+        assert last == plain
+    assert vocabulary.tables([]) == []
+
+
+def test_pieces_are_known_until_the_next_call(vocabulary, monkeypatch):
+    monkeypatch.setattr(pb, "CACHED_PIECES", 10)
+    known = pb._Pieces(vocabulary)
+    rng = random.Random(3)
+    for _ in range(20):
+        own = {"".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(1, 50))) for _ in range(12)}
+        known.learn(own)
+        for piece in own:
+            last = []
+            vocabulary.extend(piece.encode(), last, len(piece))
+            token = vocabulary.ranks.get(piece.encode())
+            assert known[piece] == ((token,) if token is not None else tuple(vocabulary.path(last, len(piece))))
+    assert len(known) <= 5 + 12
+
+
 def test_appends_and_edits(vocabulary):
     rng = random.Random(2)
     data = bytes(rng.choice(b"etaoinshr ") for _ in range(3000))
