@@ -33,7 +33,7 @@ from repotrend.operators import marts
 from repotrend.params import LAG_DAYS, RUN_DAYS, anchor_date, run_window
 from repotrend.plans import pipeline, quality
 from repotrend.plans.extraction import extract_days
-from repotrend.session import configure, get_session
+from repotrend.session import configure, get_session, ship
 from repotrend.sources import tables
 
 LAYERS = ("extract", "source", "staging", "fact", "marts")
@@ -168,7 +168,9 @@ def main(argv: list[str] | None = None) -> RunResult:
     p.add_argument("--missing-raw", choices=("raise", "keep"), default="raise")
     p.add_argument("--database")
     a = p.parse_args(argv)
-    return run(get_session(), a.raw_root, a.out_root, a.anchor, a.days, a.lag_days, skip_extracted=a.skip_extracted,
+    spark = get_session()
+    ship(spark)
+    return run(spark, a.raw_root, a.out_root, a.anchor, a.days, a.lag_days, skip_extracted=a.skip_extracted,
                missing_raw=a.missing_raw, layers=a.layers.split(","), database=a.database)
 
 

@@ -7,6 +7,8 @@ operators use ``try_*`` functions where malformed input must become NULL.
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -54,6 +56,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, for the functions that run there; they need no copy of their own."""
+    here = os.path.dirname(os.path.abspath(__file__))
+    made = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="repotrend-ship-"), "repotrend"), "zip", os.path.dirname(here), os.path.basename(here))
+    spark.sparkContext.addPyFile(made)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 

@@ -23,6 +23,8 @@ from pyspark.sql import SparkSession
 
 THREADS = 16  # calls to the file system at a time
 KEPT_RECORDS = 2
+# Of writes that a record commits afterwards: tasks move their files themselves, the driver needn't, file by file.
+BESIDE = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
 
 
 _HADOOP: WeakKeyDictionary = WeakKeyDictionary()  # by session: the class of paths, and the configuration

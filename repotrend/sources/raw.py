@@ -145,6 +145,7 @@ def land_raw(lines: DataFrame, root: str) -> list[str]:
     (
         lines.hint("rebalance", *S.RAW_PARTITION_COLUMNS)
         .write.option("compression", "gzip")
+        .options(**layout.BESIDE)
         .partitionBy(*S.RAW_PARTITION_COLUMNS)
         .text(beside)
     )

@@ -102,6 +102,7 @@ def write_curated(extracted: DataFrame, root: str, landed: Landed) -> set[tuple[
     (
         extracted.observe(obs, F.collect_set(key).alias("parts"))  # two a day at most
         .write.mode("append")
+        .options(**layout.BESIDE)
         .partitionBy(*S.CURATED_PARTITION_COLUMNS)
         .parquet(root)
     )
@@ -228,7 +229,7 @@ def current(spark: SparkSession, root: str) -> Version | None:
 def stage(df: DataFrame, root: str, partition_by: tuple[str, ...] = (), load_id: str | None = None) -> Load:
     """Write ``df`` into a folder of the table that no reader looks at yet."""
     folder, obs = f"v-{layout.fresh_id()}", Observation("rows")
-    df.observe(obs, F.count(F.lit(1)).alias("n")).write.partitionBy(*partition_by).parquet(f"{root.rstrip('/')}/{folder}")
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.options(**layout.BESIDE).partitionBy(*partition_by).parquet(f"{root.rstrip('/')}/{folder}")
     return Load(folder, int(obs.get["n"]), load_id)
 
 

@@ -67,3 +67,24 @@ def test_load_guards_and_dispositions(spark, tmp_root):
         tables.load_source(spark, cur, "watch", "2024-01-16", "2024-01-29", target, tables.WRITE_EMPTY)
     assert tables.load_source(spark, cur, "watch", "2024-01-16", "2024-01-29", target, tables.WRITE_APPEND) == 2 * n
     assert tables.load_source(spark, cur, "watch", "2024-01-16", "2024-01-29", target) == n
+
+
+def test_the_package_is_shipped(spark):
+    import os
+
+    from pyspark import SparkFiles
+
+    from repotrend.session import ship
+
+    def package_paths(batches):
+        import sys
+
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([str(any(p.endswith("repotrend.zip") for p in sys.path))] * batch.num_rows)], ["p"])
+
+    ship(spark)
+    assert os.path.exists(SparkFiles.get("repotrend.zip"))
+    paths = spark.range(4).repartition(2).mapInArrow(package_paths, "p string").collect()
+    assert {r.p for r in paths} == {"True"}
