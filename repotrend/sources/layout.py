@@ -126,6 +126,12 @@ def under(path: str, first: str) -> str:
     return path[path.index(f"/{first}") + 1 :]
 
 
+def globbed(spark: SparkSession, pattern: str) -> list[tuple[str, int, int]]:
+    """(path, length, modification time in ms) of the files that a pattern matches, listed by the driver."""
+    at, fs = _at(spark, pattern)
+    return sorted((s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in fs.globStatus(at) or [])
+
+
 def listed(spark: SparkSession, folders: list[str], names: str) -> list[tuple[str, int, int]]:
     """(path, length, modification time in ms) of the files below the folders, listed as a Spark job."""
     if not folders:

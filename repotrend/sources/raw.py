@@ -34,6 +34,7 @@ from repotrend.sources import layout
 
 # Fixed value: the raw ``created_at`` text format (UTC, whole seconds).
 CREATED_AT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
+LINES = 2_000_000  # of a landed file
 
 
 def _opt(df: DataFrame, name: str) -> Column:
@@ -132,36 +133,45 @@ def _record(hours: dict[int, Hour]) -> dict:
 def land_raw(lines: DataFrame, root: str) -> list[str]:
     """Write raw lines as gzip files under the hourly layout; returns the files.
 
-    Rows are clustered by hour and AQE sizes the write tasks: a small hour stays
-    one file, a large one is split over several tasks.  All hours are written
-    beside the layout first and then moved to names that nothing has yet, several
-    at a time; a record for each day then makes them the valid ones.  Whatever
-    fails before that leaves each hour of the day as it was, and hours without
-    rows stay as they are.
+    Lines are dealt by hour, those of an hour with more than ``LINES`` to several
+    tasks, so an hour is one file of at most about so many lines or more than one.
+    All hours are written beside the layout first and then moved to names that
+    nothing has yet, several at a time; a record for each day then makes them the
+    valid ones.  Whatever fails before that leaves each hour of the day as it was,
+    and hours without rows stay as they are.  A line without an hour is an error.
     """
     spark = lines.sparkSession
     root, mark = root.rstrip("/"), layout.fresh_id()
     beside = f"{root}/_landing-{mark}"
+    keyed = lines.select("value", F.concat(*S.RAW_PARTITION_COLUMNS).alias("landing_hour"))
+    sizes = {r.landing_hour: r["count"] for r in keyed.groupBy("landing_hour").count().collect()}  # 24 a day at most
+    if None in sizes:
+        raise ValueError(f"{sizes[None]} line(s) have no hour to be landed under")
+    files = spark.createDataFrame([(h, -(-n // LINES)) for h, n in sizes.items() if n > LINES], "landing_hour string, files long")
+    part = F.pmod(F.xxhash64("value"), F.coalesce("files", F.lit(1)))
+    tasks = min(sum(-(-n // LINES) for n in sizes.values()), int(spark.conf.get("spark.sql.shuffle.partitions")))
     (
-        lines.hint("rebalance", *S.RAW_PARTITION_COLUMNS)
+        keyed.join(F.broadcast(files), "landing_hour", "left")
+        .repartition(max(tasks, 1), "landing_hour", part)
+        .select("value", "landing_hour")
         .write.option("compression", "gzip")
         .options(**layout.BESIDE)
-        .partitionBy(*S.RAW_PARTITION_COLUMNS)
+        .partitionBy("landing_hour")
         .text(beside)
     )
     new: dict[date, dict[int, list[tuple[str, int, int]]]] = {}
-    for path, size, modified in layout.listed(spark, [beside], "part-*"):
-        year, month, day, hour = (int(x.partition("=")[2]) for x in layout.under(path, "year=").split("/")[:4])
+    for path, size, modified in layout.globbed(spark, f"{beside}/landing_hour=*/part-*"):
+        hour = layout.under(path, "landing_hour=").partition("=")[2][:10]
         if size:
-            new.setdefault(date(year, month, day), {}).setdefault(hour, []).append((path, size, modified))
+            new.setdefault(date(int(hour[:4]), int(hour[4:6]), int(hour[6:8])), {}).setdefault(int(hour[8:]), []).append((path, size, modified))
     before = landed(spark, root, new)
 
     def commit(day: date) -> list[str]:
         return _land_day(spark, root, day, new[day], before.get(day, {}), mark)
 
-    files = [f for own in layout.each(spark, commit, sorted(new)) for f in own]
+    done = [f for own in layout.each(spark, commit, sorted(new)) for f in own]
     layout.delete_path(spark, beside)
-    return files
+    return done
 
 
 def _land_day(spark: SparkSession, root: str, day: date, new: dict[int, list[tuple[str, int, int]]], before: dict[int, Hour], mark: str) -> list[str]:

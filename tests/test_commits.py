@@ -79,6 +79,16 @@ def test_a_landing_that_breaks_off_keeps_the_old_hours(spark, tmp_root, monkeypa
     assert len(files) == 3
 
 
+def test_a_large_hour_is_several_files(spark, tmp_root, monkeypatch):
+    monkeypatch.setattr(raw, "LINES", 20)
+    files = raw.land_raw(lines(spark, range(100), (5,)).union(lines(spark, range(7), (6,))), tmp_root)
+    names = sorted(os.path.basename(f) for f in files)
+    assert 3 <= len(names) - 1 <= 5 and "2024-01-10-5.json.gz" in names and "2024-01-10-5.1.json.gz" in names and "2024-01-10-6.json.gz" in names
+    assert len(raw_ids(spark, tmp_root)) == 107
+    with pytest.raises(ValueError, match="no hour"):
+        raw.land_raw(lines(spark, [1]).withColumn("hour", F.lit(None).cast("string")), tmp_root)
+
+
 def test_a_first_landing_that_breaks_off_shows_nothing(spark, tmp_root, monkeypatch):
     with monkeypatch.context() as m:
         m.setattr(layout, "move", failing(layout.move, 2))  # the day's first record and one file
