@@ -240,7 +240,7 @@ def scores(documents: DataFrame, path: str, id_col: str = "doc_id", text_col: st
     rows = documents.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / block_bytes))
-    place = F.pmod(F.xxhash64("id", F.substring("text", 1, 64)), F.lit(blocks)).cast("int")
+    place = F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("int")
     docs = rows.select("id", (~held_out(F.col("id"))).alias("train"), place.alias("block"), "text")
 
     own = scratch.save(_block_words(docs).groupBy("block", "word").agg(F.sum("c").alias("c")), "block-words")

@@ -25,9 +25,10 @@ pairs:
 
 Defined results: a null or empty text, or one without words, has an empty set
 and links with nothing; a text of fewer than ``n`` words is one shingle.  A
-null id is returned with a null component and kept.  Repeated rows of one id
-count as one document.  An empty table gives an empty result.  Columns other
-than the id and the text are not looked at.
+null id is returned with a null component and kept.  Equal rows count as one
+document; an id whose rows differ is one document with the links of all of them.
+An empty table gives an empty result.  Columns other than the id and the text are
+not looked at.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from repotrend.llm.components import components
@@ -54,7 +55,7 @@ def _multipliers(k: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(docs: DataFrame, n: int, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
-    """(id, n_shingles, digest, bands) of (id, text); digest and bands are null for an empty set."""
+    """(id, t, n_shingles, digest, bands) of (id, text, t); digest and bands are null for an empty set."""
     k = 2 * bands * rows
     times, plus = _multipliers(k)
     salt = np.arange(2 * bands, dtype=np.uint64) + np.uint64(1)
@@ -75,10 +76,10 @@ def signatures(docs: DataFrame, n: int, rows: int = ROWS, bands: int = BANDS) ->
                     band = mix(band * np.uint64(0x9E3779B97F4A7C15) + least[r :: rows])
                 hashes.append(band.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()),
-                 pa.array(hashes, pa.list_(pa.int64()))], ["id", "n_shingles", "digest", "bands"])
+                [batch.column("id"), batch.column("t"), pa.array(counts, pa.int64()), pa.array(digests, pa.binary()),
+                 pa.array(hashes, pa.list_(pa.int64()))], ["id", "t", "n_shingles", "digest", "bands"])
 
-    return docs.mapInArrow(run, "id long, n_shingles long, digest binary, bands array<long>")
+    return docs.mapInArrow(run, "id long, t binary, n_shingles long, digest binary, bands array<long>")
 
 
 def shingle_sets(docs: DataFrame, n: int) -> DataFrame:
@@ -165,34 +166,47 @@ def _rarest_own_shingles(pairs: DataFrame, sets: DataFrame, threshold: float, sc
     crowded = scratch.save(crowded, "crowded")
     again = pairs.join(crowded, "b")
     counts = _own_shingles(again, sets, 0.0).groupBy("b", "h").agg(F.count("*").alias("n")).where(F.col("n") > OFTEN)
-    often = counts.groupBy("b").agg(F.sort_array(F.collect_list(F.struct("n", "h")), asc=False).alias("f"))
-    often = often.select("b", F.slice("f", 1, MOST_OFTEN).h.alias("often"))
+    top = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("n"), F.desc("h")))
+    often = counts.withColumn("top", top).where(F.col("top") <= MOST_OFTEN).groupBy("b").agg(F.collect_list("h").alias("often"))
     rest = own.join(crowded, "b", "left_anti")
     return rest.union(_own_shingles(again.join(often, "b"), sets, threshold))
 
 
 def _cells(sig: DataFrame, bands: int) -> DataFrame:
-    """(key, id, n, pop): the table keys of each class, of hashes that another class shares."""
-    flat = sig.select("id", "n_shingles", F.posexplode("bands").alias("pos", "band"))
+    """(key, id, n, pop, rep): the table keys of each class, of hashes that another class shares."""
+    flat = sig.select("id", "n_shingles", "rep", F.posexplode("bands").alias("pos", "band"))
     shared = flat.groupBy("band").count().where("count > 1")
     own = flat.join(shared, "band").groupBy("id").agg(
         F.first("n_shingles").alias("n"),
+        F.first("rep").alias("rep"),
         F.collect_list(F.struct("pos", "band")).alias("h"),
         F.sum(F.log2("count")).alias("pop"),
     )
     own = own.withColumns({"l": F.filter("h", lambda x: x.pos < bands), "r": F.filter("h", lambda x: x.pos >= bands)})
-    left = own.select("id", "n", "pop", "r", F.explode("l.band").alias("x"))
-    return left.select("id", "n", "pop", "x", F.explode("r.band").alias("y")).select(
-        F.xxhash64("x", "y").alias("key"), "id", "n", "pop")
+    left = own.select("id", "n", "pop", "rep", "r", F.explode("l.band").alias("x"))
+    return left.select("id", "n", "pop", "rep", "x", F.explode("r.band").alias("y")).select(
+        F.xxhash64("x", "y").alias("key"), "id", "n", "pop", "rep")
 
 
-def links(docs: DataFrame, sig: DataFrame, n: int, threshold: float, bands: int, scratch: Scratch) -> DataFrame:
-    """Verified links (a, b) that connect all near-duplicate classes of ``sig`` (one row per class)."""
+def _texts(docs: DataFrame, ids: DataFrame, speaks: DataFrame | None) -> DataFrame:
+    """(id, text) of those ids; with ``speaks`` (class, id, t) they are classes, each with the text of its row."""
+    if speaks is None:
+        return docs.join(ids, "id", "left_semi")
+    wanted = speaks.join(ids.withColumnRenamed("id", "class"), "class", "left_semi")
+    return docs.dropDuplicates(["id", "t"]).join(wanted, ["id", "t"]).select(F.col("class").alias("id"), "text")
+
+
+def links(docs: DataFrame, sig: DataFrame, n: int, threshold: float, bands: int, scratch: Scratch, speaks: DataFrame | None = None) -> DataFrame:
+    """Verified links (a, b) that connect all near-duplicate classes of ``sig`` (one row per class).
+
+    ``docs`` has the text of each class by its id, or by the row that ``speaks`` for it.
+    """
     need = threshold / (1 + threshold)  # a linked pair has at least need * (sum of sizes) in common
     found = scratch.save(_cells(sig, bands), "cells")
-    sets = scratch.save(shingle_sets(docs.join(found.select("id").distinct(), "id", "left_semi"), n), "sets")
+    sets = scratch.save(shingle_sets(_texts(docs, found.select("id").distinct(), speaks), n), "sets")
 
-    best = F.max(F.struct("pop", (-F.col("id")).alias("minus"))).alias("p")
+    # Of equally shared members that of the least document: the others are rather its copies than it is one of theirs.
+    best = F.max(F.struct("pop", (-F.col("rep")).alias("first"), (-F.col("id")).alias("minus"))).alias("p")
     pivots = found.groupBy("key").agg(best, F.count("*").alias("size")).where("size > 1").select("key", (-F.col("p.minus")).alias("p"))
     found = scratch.save(found.join(pivots, "key").select("key", "p", "id", "n"), "placed")
     star = found.where("id <> p").select(F.col("id").alias("a"), F.col("p").alias("b")).distinct()
@@ -246,12 +260,19 @@ def near_duplicates(
     """(doc_id, n_shingles, component_id, kept) of each row of ``documents``."""
     scratch = Scratch(documents.sparkSession)
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    docs = docs.withColumn("t", F.unhex(F.md5(F.col("text").cast("binary"))))
     sig = scratch.save(signatures(docs, n, rows, bands), "sig")
     full = sig.where("id IS NOT NULL AND digest IS NOT NULL")
-    classes = scratch.save(full.groupBy("digest").agg(F.min("id").alias("rep")), "classes")
-    # One row per class; where rows of one id differ, its first digest by order speaks for it.
-    reps = full.join(classes, (full.digest == classes.digest) & (full.id == classes.rep), "left_semi").dropDuplicates(["id"])
-    edges = links(docs.where("id IS NOT NULL"), reps, n, threshold, bands, scratch)
+    # A class goes by a number of its own: an id whose rows differ is in several, and may be the least id of each.
+    made = full.groupBy("digest").agg(F.min(F.struct("id", "t")).alias("m"))
+    classes = scratch.save(made.select("digest", F.col("m.id").alias("rep"), F.col("m.t").alias("t"), F.monotonically_increasing_id().alias("class")), "classes")
+    speaks = classes.select("class", F.col("rep").alias("id"), "t")
+    reps = full.dropDuplicates(["id", "t"]).join(speaks, ["id", "t"]).select(F.col("class").alias("id"), F.col("id").alias("rep"), "n_shingles", "digest", "bands")
+    edges = links(docs.where("id IS NOT NULL"), reps, n, threshold, bands, scratch, speaks)
+    known = classes.select("class", "rep")
+    for end in ("a", "b"):
+        edges = edges.join(known.select(F.col("class").alias(end), F.col("rep").alias(f"{end}_rep")), end)
+    edges = edges.select(F.col("a_rep").alias("a"), F.col("b_rep").alias("b"))
     same = full.join(classes, "digest").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     twice = same.groupBy("a").agg(F.min("b").alias("b"), F.max("b").alias("top"))
     edges = edges.union(twice.where("b < top").select(F.col("b").alias("a"), F.col("top").alias("b")))

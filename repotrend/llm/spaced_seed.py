@@ -36,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from repotrend.llm.tokens import chunks, mix, text_buffer, word_hashes
 
@@ -127,12 +128,14 @@ def _word_lists(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.nda
         yield row, end, *word_hashes(data, offsets[row : end + 1])
 
 
-_FOUND = "id long, item_id long, n_words long, n_matches long, doc_start long, item_start long"
+_FOUND = "item_id long, n_words long, n_matches long, doc_start long, item_start long"
 
 
 def _scan(docs: DataFrame, table: SeedTable) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(table)
-    names = [x.split()[0] for x in _FOUND.split(", ")]
+    binary = isinstance(docs.schema["id"].dataType, T.BinaryType)
+    names = ["id", *(x.split()[0] for x in _FOUND.split(", "))]
+    types = [pa.binary() if binary else pa.int64(), *[pa.int64()] * (len(names) - 1)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
@@ -154,9 +157,9 @@ def _scan(docs: DataFrame, table: SeedTable) -> DataFrame:
                     name, own = table.items[item]
                     out.append((ids[row + k].as_py(), name, len(own), len(own), start, 0))
             columns = list(zip(*out, strict=True)) or [()] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
 
-    return docs.mapInArrow(run, _FOUND)
+    return docs.mapInArrow(run, f"id {'binary' if binary else 'long'}, {_FOUND}")
 
 
 def contaminated(
@@ -165,10 +168,11 @@ def contaminated(
 ) -> DataFrame:
     """(doc_id, item_id, n_words, n_matches, doc_start, item_start): the best stretch of each item in each document, in words.
 
-    Items of fewer than ``least_words`` words are left out.
+    Items of fewer than ``least_words`` words are left out.  Ids are whole numbers, or binary.
     """
     items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(item_text_col).cast("string").alias("text")).where("item IS NOT NULL AND text IS NOT NULL")
-    docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    key = "binary" if isinstance(documents.schema[id_col].dataType, T.BinaryType) else "long"
+    docs = documents.select(F.col(id_col).cast(key).alias("id"), F.col(text_col).cast("string").alias("text"))
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / 2 * len(MASKS) / block_seeds))  # a word takes two bytes at least
     found = None

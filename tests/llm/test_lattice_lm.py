@@ -99,6 +99,16 @@ def test_fitting_raises_the_likelihood(spark, small_docs):
     assert scores[0] < scores[1] < scores[2]
 
 
+def test_rows_of_one_heading_are_dealt_to_all_blocks(spark, monkeypatch):
+    seen = {}
+    real = lm._block_words
+    monkeypatch.setattr(lm, "_block_words", lambda docs: seen.update({r.block: r["count"] for r in docs.groupBy("block").count().collect()}) or real(docs))
+    heading = "the same heading of more than sixty-four characters, as many files of one project have, and "
+    rows = [(None, f"{heading}{k}") for k in range(4000)]
+    got = lm.scores(spark.createDataFrame(rows, "doc_id long, text string"), PATH, block_bytes=10_000, rounds=0)
+    assert got.count() == 4000 and len(seen) > 30 and max(seen.values()) < 3 * 4000 / len(seen)
+
+
 def test_edge_rows(edge_docs, no_docs):
     rows = [(r.doc_id, r.text) for r in edge_docs.collect()]
     got = scored(edge_docs)

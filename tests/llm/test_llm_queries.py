@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from llm_fixtures import no_docs  # noqa: F401
 
@@ -69,6 +70,23 @@ def test_decontamination_is_by_row(spark):
     assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, (rows[k] for k in (1, 2, 4, 5))))
 
 
+def test_columns_named_like_those_used_within_stay(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    names = ["score", "key", "number", "row", "k", "n", "i", "__score", "__key", "__row", "component_id"]
+    more = docs.limit(60).withColumns({c: F.concat(F.lit(f"{c} "), "doc_id") for c in names}).cache()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, more, SF_SMALL)
+        assert out.columns == more.columns, name
+        assert all(r[c] == f"{c} {r.doc_id}" for r in out.collect() for c in names), name
+
+
+def test_short_items_remove_nothing(spark, tmp_path):
+    spark.createDataFrame([(1, "the word"), (2, "a b c d e")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(1, "here is the word"), (2, "now a b c d e"), (3, None), (4, "")], "doc_id long, text string")
+    out = corpus_pipeline.decontamination_stage(spark, docs, str(tmp_path))
+    assert sorted(r.doc_id for r in out.collect()) == [1, 3, 4]
+
+
 def test_near_duplicates_are_by_row(spark):
     a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
     rows = [(7, a, "de"), (3, a + " end", "en"), (3, b, "fr"), (3, b, "en"), (None, b, "en"), (None, c, "en"), (None, c, "en"), (None, c + " end", "en"), (8, "", "en"), (9, None, "en")]

@@ -108,7 +108,7 @@ def test_unequal_own_parts_around_one_pivot(spark, monkeypatch):
         n = 15 if k < 40 else rng.randrange(10, 26)
         rows += [(2 * k + 1, " ".join(some[:75] + own)), (2 * k + 2, " ".join(some + own[:n]))]
     docs = spark.createDataFrame(rows, "id long, text string")
-    cells = spark.createDataFrame([(0, i, len(t.split()), float(i == 0)) for i, t in rows], "key long, id long, n long, pop double")
+    cells = spark.createDataFrame([(0, i, len(t.split()), float(i == 0), i) for i, t in rows], "key long, id long, n long, pop double, rep long")
     monkeypatch.setattr(minhash, "_cells", lambda sig, bands: cells)
     scratch = Scratch(spark)
     label = {r.id: r.component for r in components.components(minhash.links(docs, None, 1, 0.8, 1, scratch), scratch).collect()}
@@ -117,7 +117,16 @@ def test_unequal_own_parts_around_one_pivot(spark, monkeypatch):
     shared = [f"many{k}" for k in range(6)]
     rows = [(i, t if i == 0 else t + " " + " ".join(shared)) for i, t in rows]
     docs = spark.createDataFrame(rows, "id long, text string")
-    cells = spark.createDataFrame([(0, i, len(t.split()), float(i == 0)) for i, t in rows], "key long, id long, n long, pop double")
+    cells = spark.createDataFrame([(0, i, len(t.split()), float(i == 0), i) for i, t in rows], "key long, id long, n long, pop double, rep long")
     scratch = Scratch(spark)
     label = {r.id: r.component for r in components.components(minhash.links(docs, None, 1, 0.8, 1, scratch), scratch).collect()}
     assert {i: label.get(i, i) for i, _ in rows} == {i: c for i, (_, c) in brute(rows, 1).items()}
+
+
+def test_an_id_of_two_texts_keeps_the_links_of_both(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(1, a), (1, b), (2, a + " z"), (3, b + " z"), (5, c), (4, c), (5, a + " y"), (6, c + " z"), (1, a), (9, "alone here")]
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        found = minhash.near_duplicates(spark.createDataFrame(order, "doc_id long, text string").repartition(3), n=4).collect()
+        assert {r.doc_id: r.component_id for r in found} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 6: 1, 9: 9}
+        assert len(found) == len(rows) and all(r.kept == (r.doc_id == r.component_id) for r in found)
