@@ -60,31 +60,40 @@ def _with_hot(staged_input: DataFrame, counts: DataFrame) -> tuple[DataFrame, Da
     return staged_input.join(hot, "event_id", "left_semi"), staged_input.join(hot, "event_id", "left_anti")
 
 
+def _of_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of the ids, each of which is there once.
+
+    Not a left-semi join: that is pushed below a union that ``rows`` come from, and
+    makes a join of each branch, all in one task, with two sorts and a count each.
+    """
+    return rows.join(ids, "event_id")
+
+
 def non_duplicate_events(staged_input: DataFrame, split_hot: bool = True) -> DataFrame:
     """Rows whose event_id occurs once.
 
     Ids alone are counted (a hash aggregate, partial, so a hot id is one row a
-    task); whole rows are shuffled once, for the left-semi join, those of hot ids
+    task); whole rows are shuffled once, for the join, those of hot ids
     not even that, and no row passes through a sort-based aggregate.  Without
     ``split_hot`` (rows in buckets by id have no such ids) all rows are joined.
     """
     counts = event_id_counts(staged_input)
     rows = _with_hot(staged_input, counts)[1] if split_hot else staged_input
-    return rows.join(counts.where("row_count = 1").select("event_id"), "event_id", "left_semi").select(*staged_input.columns)
+    return _of_ids(rows, counts.where("row_count = 1").select("event_id")).select(*staged_input.columns)
 
 
 def duplicate_events(staged_input: DataFrame, split_hot: bool = True) -> DataFrame:
     """Rows whose event_id occurs more than once (all of their copies).
 
     Rows of hot ids are found by a broadcast of those few ids, the others by a
-    left-semi join with the ids that occur more than once.
+    join with the ids that occur more than once.
     """
     counts = event_id_counts(staged_input)
     ids = counts.where("row_count > 1").select("event_id")
     if not split_hot:
-        return staged_input.join(ids, "event_id", "left_semi").select(*staged_input.columns)
+        return _of_ids(staged_input, ids).select(*staged_input.columns)
     hot, rows = _with_hot(staged_input, counts)
-    return rows.join(ids, "event_id", "left_semi").select(*staged_input.columns).unionByName(hot.select(*staged_input.columns))
+    return _of_ids(rows, ids).select(*staged_input.columns).unionByName(hot.select(*staged_input.columns))
 
 
 def dedup_duplicates(staged_input: DataFrame, split_hot: bool = True) -> DataFrame:

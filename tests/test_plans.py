@@ -48,6 +48,25 @@ def test_fused_fact_needs_fewer_exchanges_than_join_form(spark):
     assert fused == 3 and joined == 4
 
 
+def test_stepwise_staging_joins_once_for_each_side_of_a_union(spark):
+    from repotrend.operators import staging
+
+    kinds = [spark.createDataFrame(
+        [(str(i), 1, i % 3, f"o/r{k}") for i in (*range(k, k + 6), k)], "event_id string, kind int, repo_id int, repo_name string") for k in range(3)]
+    src = kinds[0].unionByName(kinds[1]).unionByName(kinds[2])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for step in (staging.non_duplicate_events, staging.duplicate_events):
+            p = _plan(step(src))
+            assert p.count("SortMergeJoin") == 1, p
+        rows = [r for k in range(3) for i in (*range(k, k + 6), k) for r in [(str(i), 1, i % 3, f"o/r{k}")]]
+        times = {i: sum(r[0] == i for r in rows) for i in {r[0] for r in rows}}
+        assert sorted(map(tuple, staging.non_duplicate_events(src).collect())) == sorted(r for r in rows if times[r[0]] == 1)
+        assert sorted(map(tuple, staging.duplicate_events(src).collect())) == sorted(r for r in rows if times[r[0]] > 1)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_fused_rising_reads_the_fact_once(spark):
     fc = Q._fact(spark, SF_SMALL)
     assert marts.rising_repos(fc, Q.ANCHOR).count() == marts.rising_repos_join(fc, Q.ANCHOR).count()
