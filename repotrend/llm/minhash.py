@@ -37,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,6 +48,7 @@ from repotrend.llm.tokens import mix, text_shingles
 
 ROWS, BANDS = 2, 14
 OFTEN, MOST_OFTEN = 32, 4096  # members of a pivot that make a shingle frequent; how many such are put last
+SET_BYTES = 1 << 22  # of sets whose shingles are in a task's memory, and one batch, at a time
 
 
 def _multipliers(k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -93,14 +95,24 @@ def shingle_sets(docs: DataFrame, n: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, s binary")
 
 
-def _met(pairs: DataFrame, sets: DataFrame, run, schema: str) -> DataFrame:
-    """``run`` over the sets sa and sb of each pair (a, b, often)."""
-    often = F.col("often") if "often" in pairs.columns else F.lit(None).cast("array<long>").alias("often")
-    both = pairs.select("a", "b", often).join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(
-        sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
+def _met(pairs: DataFrame, sets: DataFrame, run, schema: str, often: DataFrame | None = None) -> DataFrame:
+    """``run`` over the sets sa and sb of each pair (a, b), with ``often`` (b, often) only of those b, whose list goes with its set and not with each pair."""
+    right = sets.select(F.col("id").alias("b"), F.col("s").alias("sb"))
+    right = right.withColumn("often", F.lit(None).cast("array<long>")) if often is None else right.join(often, "b")
+    both = pairs.select("a", "b").join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(right, "b")
     return both.select("a", "b", "often", "sa", "sb").mapInArrow(run, schema)
 
 
+def _slices(batch: pa.RecordBatch, most: int = SET_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in runs of about ``most`` bytes of sets; a larger pair is a run of its own."""
+    ends = np.cumsum(pc.add(pc.binary_length(batch.column("sa")), pc.binary_length(batch.column("sb"))).to_numpy(zero_copy_only=False), dtype=np.int64)
+    row = 0
+    while row < batch.num_rows:
+        end = max(row + 1, int(np.searchsorted(ends, (ends[row - 1] if row else 0) + most, side="right")))
+        yield batch.slice(row, end - row)
+        row = end
+
+
 def _pairs_of(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
         yield np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
@@ -127,16 +139,15 @@ def compared(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return _met(pairs, sets, run, "a long, b long, na long, nb long, common long, linked boolean")
 
 
-def _own_shingles(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+def _own_shingles(pairs: DataFrame, sets: DataFrame, threshold: float, often: DataFrame | None = None) -> DataFrame:
     """(b, h, a, more, last): shingles h of a that b hasn't, how many there are besides, and the place of the last of them in the order.
 
-    They are the least ones, with those in ``often`` (the same for all of one b)
-    counted as larger than any other: so many that every partner in reach of a
+    They are the least ones, with those in ``often`` (b, often) counted as larger than any other: so many that every partner in reach of a
     has one among its own.  With a threshold of 0, all of them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _slices(whole)):
             parts, more, ends = [], [], []
             for (x, y), often in zip(_pairs_of(batch), batch.column("often"), strict=True):
                 own = np.sort(np.setdiff1d(x, y, assume_unique=True))
@@ -156,7 +167,7 @@ def _own_shingles(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFr
                  *(pa.array(np.repeat(np.array(c, np.int64), times)) for c in (more, ends))],
                 ["b", "h", "a", "more", "last"])
 
-    return _met(pairs, sets, run, "b long, h long, a long, more long, last long")
+    return _met(pairs, sets, run, "b long, h long, a long, more long, last long", often)
 
 
 def _rarest_own_shingles(pairs: DataFrame, sets: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
@@ -169,7 +180,7 @@ def _rarest_own_shingles(pairs: DataFrame, sets: DataFrame, threshold: float, sc
     top = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("n"), F.desc("h")))
     often = counts.withColumn("top", top).where(F.col("top") <= MOST_OFTEN).groupBy("b").agg(F.collect_list("h").alias("often"))
     rest = own.join(crowded, "b", "left_anti")
-    return rest.union(_own_shingles(again.join(often, "b"), sets, threshold))
+    return rest.union(_own_shingles(again, sets, threshold, often))
 
 
 def _cells(sig: DataFrame, bands: int) -> DataFrame:

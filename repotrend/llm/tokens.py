@@ -19,7 +19,7 @@ _VALUE = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64
 _VALUE[ord("A") : ord("Z") + 1] = _VALUE[ord("a") : ord("z") + 1]
 _BASE = 0x9E3779B97F4A7C15
 _UNBASE = pow(_BASE, -1, 2**64)
-CHUNK_BYTES = 1 << 21  # of text hashed at a time; a longer text is a chunk of its own
+CHUNK_BYTES = 1 << 18  # of text hashed at a time; a longer text is a chunk of its own
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -130,3 +131,38 @@ def test_an_id_of_two_texts_keeps_the_links_of_both(spark):
         found = minhash.near_duplicates(spark.createDataFrame(order, "doc_id long, text string").repartition(3), n=4).collect()
         assert {r.doc_id: r.component_id for r in found} == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 6: 1, 9: 9}
         assert len(found) == len(rows) and all(r.kept == (r.doc_id == r.component_id) for r in found)
+
+
+def test_memory_of_hashed_texts_follows_the_chunk():
+    rng = random.Random(3)
+    column = pa.array([" ".join(str(rng.randrange(10**6)) for _ in range(300)) for _ in range(2_000)])
+    assert column.nbytes > 4_000_000
+    tokens._tables(tokens.CHUNK_BYTES)
+    tracemalloc.start()
+    try:
+        n = sum(len(s) for s in tokens.text_shingles(column, 5))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == 2_000 * 296
+    assert most < 24 << 20
+
+
+def test_pairs_are_taken_in_slices():
+    sizes = [3, 0, 5, 40, 1, 2, 2]
+    batch = pa.RecordBatch.from_pydict({"a": list(range(7)), "sa": [b"x" * k for k in sizes], "sb": [b"y" * 2] * 7})
+    parts = list(minhash._slices(batch, 10))
+    assert [p.column("a").to_pylist() for p in parts] == [[0, 1], [2], [3], [4, 5], [6]]
+    assert list(minhash._slices(batch.slice(0, 0), 10)) == []
+
+
+def test_frequent_shingles_of_a_pivot_are_put_last(spark):
+    def packed(values):
+        return np.array(values, np.uint64).tobytes()
+
+    sets = spark.createDataFrame([(0, packed(range(100, 110))), (1, packed([1, 2, 3, *range(100, 107)])), (2, packed([1, 5, *range(100, 108)])),
+                                  (3, packed([7, *range(100, 109)]))], "id long, s binary")
+    pairs = spark.createDataFrame([(1, 0), (2, 0), (1, 3)], "a long, b long")
+    often = spark.createDataFrame([(0, [1])], "b long, often array<long>")
+    rows = minhash._own_shingles(pairs, sets, 0.95, often).select("b", "a", "h", "more").collect()
+    assert sorted(map(tuple, rows)) == [(0, 1, 2, 2), (0, 2, 5, 1)]
