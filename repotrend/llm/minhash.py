@@ -20,8 +20,14 @@ pairs:
    hashes are most shared (n - 1 pairs), and components are formed;
 4. what is left are pairs in one bucket but in different components.  What each
    of them shares with the pivot bounds the similarity of the pair from above,
-   and most pairs need a common shingle that the pivot hasn't, on which they are
-   joined; the pairs that the bounds allow are compared one by one.
+   and most pairs need a common shingle that the pivot hasn't;
+5. such shingles that most members of a pivot share count as the pivot's, and
+   these members are compared with the one that has the most of them; many members
+   that share another get a pivot of their own, the one with the most of these
+   shingles, and are treated as in 3 to 5 again, a few times, unless the pairs of
+   all such members are few beside the rows;
+6. the others are joined on these shingles, as far as they are in different
+   components by then; the pairs that the bounds allow are compared one by one.
 
 Defined results: a null or empty text, or one without words, has an empty set
 and links with nothing; a text of fewer than ``n`` words is one shingle.  A
@@ -34,12 +40,13 @@ not looked at.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from repotrend.llm.components import components
@@ -48,6 +55,7 @@ from repotrend.llm.tokens import mix, text_shingles
 
 ROWS, BANDS = 2, 14
 OFTEN, MOST_OFTEN = 32, 4096  # members of a pivot that make a shingle frequent; how many such are put last
+CROWD, TURNS = 32, 4  # members of a pivot that share a shingle and get a pivot of their own; how often at most
 SET_BYTES = 1 << 22  # of sets whose shingles are in a task's memory, and one batch, at a time
 
 
@@ -96,11 +104,12 @@ def shingle_sets(docs: DataFrame, n: int) -> DataFrame:
 
 
 def _met(pairs: DataFrame, sets: DataFrame, run, schema: str, often: DataFrame | None = None) -> DataFrame:
-    """``run`` over the sets sa and sb of each pair (a, b), with ``often`` (b, often) only of those b, whose list goes with its set and not with each pair."""
+    """``run`` over the sets sa and sb of each pair (a, b), with ``often`` (b, often, joint) only of those b, whose lists go with its set and not with each pair."""
     right = sets.select(F.col("id").alias("b"), F.col("s").alias("sb"))
-    right = right.withColumn("often", F.lit(None).cast("array<long>")) if often is None else right.join(often, "b")
+    right = right if often is None else right.join(often, "b")
+    right = right.withColumns({c: F.lit(None).cast("array<long>") for c in ("often", "joint") if c not in right.columns})
     both = pairs.select("a", "b").join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a").join(right, "b")
-    return both.select("a", "b", "often", "sa", "sb").mapInArrow(run, schema)
+    return both.select("a", "b", "often", "joint", "sa", "sb").mapInArrow(run, schema)
 
 
 def _slices(batch: pa.RecordBatch, most: int = SET_BYTES) -> Iterator[pa.RecordBatch]:
@@ -142,15 +151,17 @@ def compared(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 def _own_shingles(pairs: DataFrame, sets: DataFrame, threshold: float, often: DataFrame | None = None) -> DataFrame:
     """(b, h, a, more, last): shingles h of a that b hasn't, how many there are besides, and the place of the last of them in the order.
 
-    They are the least ones, with those in ``often`` (b, often) counted as larger than any other: so many that every partner in reach of a
-    has one among its own.  With a threshold of 0, all of them.
+    They are the least ones, with those in ``often`` (b, often, joint) counted as larger than any other: so many that every partner in reach
+    of a has one among its own.  With a threshold of 0, all of them.  Those in joint count as b's.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (part for whole in batches for part in _slices(whole)):
             parts, more, ends = [], [], []
-            for (x, y), often in zip(_pairs_of(batch), batch.column("often"), strict=True):
+            for (x, y), often, joint in zip(_pairs_of(batch), batch.column("often"), batch.column("joint"), strict=True):
                 own = np.sort(np.setdiff1d(x, y, assume_unique=True))
+                if joint.is_valid:
+                    own = own[~np.isin(own, joint.values.to_numpy().view(np.uint64))]
                 late = np.zeros(len(own), bool)
                 if often.is_valid:
                     late = np.isin(own, often.values.to_numpy().view(np.uint64))
@@ -170,17 +181,40 @@ def _own_shingles(pairs: DataFrame, sets: DataFrame, threshold: float, often: Da
     return _met(pairs, sets, run, "b long, h long, a long, more long, last long", often)
 
 
-def _rarest_own_shingles(pairs: DataFrame, sets: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
-    """``_own_shingles`` with those that many members of a pivot share last, where there are such."""
-    own = scratch.save(_own_shingles(pairs, sets, threshold), "own-plain")
+def _joint_shingles(pairs: DataFrame, sets: DataFrame, joint: DataFrame) -> DataFrame:
+    """(b, a, extra): how many shingles of a are in ``joint`` (b, joint)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            extra = [int(np.isin(x, joint.values.to_numpy().view(np.uint64)).sum()) for (x, _), joint in zip(_pairs_of(batch), batch.column("joint"), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("b"), batch.column("a"), pa.array(extra, pa.int64())], ["b", "a", "extra"])
+
+    return _met(pairs, sets, run, "b long, a long, extra long", joint)
+
+
+def _rarest_own_shingles(pairs: DataFrame, sets: DataFrame, threshold: float, scratch: Scratch, turn: int) -> tuple[DataFrame, DataFrame]:
+    """``_own_shingles``, with those that many members of a pivot share last, where there are such, and ``_joint_shingles``.
+
+    Those that most members of a pivot share are joint ones: they count as the pivot's.
+    """
+    own = scratch.save(_own_shingles(pairs, sets, threshold), f"own-plain-{turn}")
     crowded = own.groupBy("b", "h").agg(F.count("*").alias("n")).where(F.col("n") > OFTEN).select("b").distinct()
-    crowded = scratch.save(crowded, "crowded")
+    crowded = scratch.save(crowded, f"crowded-{turn}")
     again = pairs.join(crowded, "b")
     counts = _own_shingles(again, sets, 0.0).groupBy("b", "h").agg(F.count("*").alias("n")).where(F.col("n") > OFTEN)
-    top = F.row_number().over(Window.partitionBy("b").orderBy(F.desc("n"), F.desc("h")))
-    often = counts.withColumn("top", top).where(F.col("top") <= MOST_OFTEN).groupBy("b").agg(F.collect_list("h").alias("often"))
+    counts = counts.join(again.groupBy("b").agg(F.count("*").alias("size")), "b").withColumn("most", F.expr("2 * n > size"))
+    top = F.row_number().over(Window.partitionBy("b", "most").orderBy(F.desc("n"), F.desc("h")))
+    lists = counts.withColumn("top", top).where((F.col("top") <= MOST_OFTEN) | F.col("most")).groupBy("b").agg(
+        F.collect_list(F.when(~F.col("most"), F.col("h"))).alias("often"), F.collect_list(F.when(F.col("most"), F.col("h"))).alias("joint"))  # joint: at most as many as two sets of members
+    lists = scratch.save(lists, f"often-{turn}")
+    extra = scratch.save(_joint_shingles(again, sets, lists.where(F.size("joint") > 0).drop("often")), f"joint-{turn}")
     rest = own.join(crowded, "b", "left_anti")
-    return rest.union(_own_shingles(again, sets, threshold, often))
+    return scratch.save(rest.union(_own_shingles(again, sets, threshold, lists)), f"own-{turn}"), extra
+
+
+def _weight(count: str) -> Column:
+    """The logarithm of a count as a whole number, so that sums are the same in any order."""
+    return F.round(F.log2(count) * 4096).cast("long")
 
 
 def _cells(sig: DataFrame, bands: int) -> DataFrame:
@@ -191,7 +225,7 @@ def _cells(sig: DataFrame, bands: int) -> DataFrame:
         F.first("n_shingles").alias("n"),
         F.first("rep").alias("rep"),
         F.collect_list(F.struct("pos", "band")).alias("h"),
-        F.sum(F.log2("count")).alias("pop"),
+        F.sum(_weight("count")).alias("pop"),
     )
     own = own.withColumns({"l": F.filter("h", lambda x: x.pos < bands), "r": F.filter("h", lambda x: x.pos >= bands)})
     left = own.select("id", "n", "pop", "rep", "r", F.explode("l.band").alias("x"))
@@ -207,6 +241,87 @@ def _texts(docs: DataFrame, ids: DataFrame, speaks: DataFrame | None) -> DataFra
     return docs.dropDuplicates(["id", "t"]).join(wanted, ["id", "t"]).select(F.col("class").alias("id"), "text")
 
 
+def _still_apart(member: DataFrame, threshold: float) -> DataFrame:
+    """``member`` with least and main, of those pivots whose members are in several components."""
+    least = F.min(F.when(F.expr(f"i >= {threshold} * n - 1e-6"), F.col("n"))).alias("least")
+    main = F.max(F.when(F.col("id") == F.col("p"), F.col("c"))).alias("main")
+    still = member.groupBy("p").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), least, main).where("lo < hi").drop("lo", "hi")
+    return member.join(still, "p")
+
+
+def _members(star: DataFrame, label: DataFrame, threshold: float, scratch: Scratch, turn: int) -> DataFrame:
+    """(p, id, n, i, c, least, main, top): members of each pivot, size n, shingles i in common with the pivot, component c so far."""
+    member = star.select(F.col("b").alias("p"), F.col("a").alias("id"), F.col("na").alias("n"), F.col("common").alias("i")).union(
+        star.select(F.col("b").alias("p"), F.col("b").alias("id"), F.col("nb").alias("n"), F.col("nb").alias("i")).distinct())
+    member = member.join(label, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
+    member = scratch.save(member, f"members-{turn}")
+    # A pair is looked at with one pivot: that of the most members if it is the same for both.
+    size = member.groupBy("p").agg(F.count("*").alias("size"))
+    top = member.join(size, "p").groupBy("id").agg(F.max(F.struct("size", "p")).alias("top")).select("id", F.col("top.p").alias("top"))
+    return scratch.save(_still_apart(member, threshold).join(top, "id"), f"member-{turn}")
+
+
+def _crowds(own: DataFrame, member: DataFrame) -> DataFrame:
+    """(p, h, id, leader): members of a pivot that share a shingle which it lacks, where they are many and not in one component.
+
+    The leader is the member with the most such shingles, counted by how many share them.
+    """
+    cell = own.select("p", "h", "id").join(member.select("p", "id", "c"), ["p", "id"])
+    many = cell.groupBy("p", "h").agg(F.count("*").alias("k"), F.min("c").alias("lo"), F.max("c").alias("hi")).where((F.col("k") > CROWD) & (F.col("lo") < F.col("hi")))
+    held = own.join(many.select("p", "h", _weight("k").alias("weight")), ["p", "h"]).select("p", "h", "id", "weight")
+    pop = held.groupBy("p", "id").agg(F.sum("weight").alias("pop"))
+    leader = held.join(pop, ["p", "id"]).groupBy("p", "h").agg(F.max(F.struct("pop", (-F.col("id")).alias("minus"))).alias("l"))
+    return held.join(leader.select("p", "h", (-F.col("l.minus")).alias("leader")), ["p", "h"]).select("p", "h", "id", "leader")
+
+
+def _pairs_within(rows: DataFrame, *by: str) -> float:
+    """About how many pairs of rows are equal in those columns."""
+    return rows.groupBy(*by).count().agg(F.sum(F.col("count") * F.col("count") / 2)).first()[0] or 0
+
+
+def _around_leaders(crowds: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each member of a crowd and its leader."""
+    return crowds.where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct()
+
+
+def _around_hubs(extra: DataFrame) -> DataFrame:
+    """Pairs (a, b) of each member that has joint shingles and the one of its pivot that has the most."""
+    hub = extra.groupBy("p").agg(F.max(F.struct("extra", (-F.col("id")).alias("minus"))).alias("h")).select("p", (-F.col("h.minus")).alias("b"))
+    return extra.where("extra > 0").join(hub, "p").where("id <> b").select(F.col("id").alias("a"), "b").distinct()
+
+
+def _enough(need: float) -> str:
+    return f"{need} * (x.n + y.n) - 1e-6"
+
+
+def _apart(need: float) -> Column:
+    """What the sizes and the pivot allow: the part of the pivot that only one of them has counts against the pair."""
+    enough = _enough(need)
+    return F.expr("x.c <> y.c AND x.id <> y.id AND (x.top <> y.top OR x.top = x.p)") & F.expr(f"x.i + {enough} <= y.i + x.n AND y.i + {enough} <= x.i + y.n")
+
+
+def _inside(member: DataFrame, need: float) -> DataFrame:
+    """Pairs (a, b) that can be linked without a common shingle outside the pivot's."""
+    odd = member.where(f"c <> main AND i >= {need} * (n + least) - 1e-6").alias("x")
+    met = odd.join(member.alias("y"), F.expr("x.p = y.p") & _apart(need) & F.expr(f"least(x.i, y.i) >= {_enough(need)}"))
+    return met.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+
+
+def _sharing(own: DataFrame, member: DataFrame, need: float) -> DataFrame:
+    """Pairs of members in different components, as x and y, once for each shingle they share that the pivot lacks."""
+    own = own.join(member, ["p", "id"])
+    return own.alias("x").join(own.alias("y"), F.expr("x.p = y.p AND x.h = y.h AND x.id < y.id") & _apart(need))
+
+
+def _beside(own: DataFrame, member: DataFrame, need: float) -> DataFrame:
+    """Pairs (a, b) that can be linked with some common shingles outside the pivot's."""
+    # Common shingles not counted come after the listed ones that end first, so they are among what that member has more.
+    uncounted = "CASE WHEN x.last < y.last THEN x.more WHEN x.last > y.last THEN y.more ELSE greatest(x.more, y.more) END"
+    met = _sharing(own, member, need).groupBy("x.p", "x.id", "y.id").agg(
+        F.count("*").alias("shared"), F.expr(f"max(least(x.i, y.i) + {uncounted})").alias("i"), F.expr(f"max({_enough(need)})").alias("enough"))
+    return met.where("i + shared >= enough").select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+
+
 def links(docs: DataFrame, sig: DataFrame, n: int, threshold: float, bands: int, scratch: Scratch, speaks: DataFrame | None = None) -> DataFrame:
     """Verified links (a, b) that connect all near-duplicate classes of ``sig`` (one row per class).
 
@@ -220,48 +335,41 @@ def links(docs: DataFrame, sig: DataFrame, n: int, threshold: float, bands: int,
     best = F.max(F.struct("pop", (-F.col("rep")).alias("first"), (-F.col("id")).alias("minus"))).alias("p")
     pivots = found.groupBy("key").agg(best, F.count("*").alias("size")).where("size > 1").select("key", (-F.col("p.minus")).alias("p"))
     found = scratch.save(found.join(pivots, "key").select("key", "p", "id", "n"), "placed")
-    star = found.where("id <> p").select(F.col("id").alias("a"), F.col("p").alias("b")).distinct()
-    star = scratch.save(compared(star, sets, threshold), "star")
-    first = star.where("linked").select("a", "b")
-
-    # Members of each pivot: id, size n, shingles i in common with the pivot, component c so far.
-    member = star.select(F.col("b").alias("p"), F.col("a").alias("id"), F.col("na").alias("n"), F.col("common").alias("i")).union(
-        star.select(F.col("b").alias("p"), F.col("b").alias("id"), F.col("nb").alias("n"), F.col("nb").alias("i")).distinct())
-    label = components(first, scratch, "cc-star")
-    member = member.join(label, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
-    member = scratch.save(member, "members")
-    least = F.min(F.when(F.expr(f"i >= {threshold} * n - 1e-6"), F.col("n"))).alias("least")
-    main = F.max(F.when(F.col("id") == F.col("p"), F.col("c"))).alias("main")
-    still = member.groupBy("p").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), least, main, F.count("*").alias("size"))
-    # A pair is looked at with one pivot: that of the most members if it is the same for both.
-    top = member.join(still.select("p", "size"), "p").groupBy("id").agg(F.max(F.struct("size", "p")).alias("top")).select("id", F.col("top.p").alias("top"))
-    still = still.where("lo < hi").drop("lo", "hi", "size")
-    member = scratch.save(member.join(still, "p").join(top, "id"), "member")
-
-    x, y = member.alias("x"), member.alias("y")
-    enough = f"{need} * (x.n + y.n) - 1e-6"
-    # What the sizes and the pivot allow: the part of the pivot that only one of them has counts against the pair.
-    apart = F.expr("x.c <> y.c AND x.id <> y.id AND (x.top <> y.top OR x.top = x.p)") & F.expr(f"x.i + {enough} <= y.i + x.n AND y.i + {enough} <= x.i + y.n")
-    pair = [F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")]
-    # Without a common shingle outside the pivot's.
-    odd = member.where(f"c <> main AND i >= {need} * (n + least) - 1e-6").alias("x")
-    inside = odd.join(y, F.expr("x.p = y.p") & apart & F.expr(f"least(x.i, y.i) >= {enough}")).select(*pair)
-    # With some.
-    own = member.where("id <> p").select(F.col("id").alias("a"), F.col("p").alias("b"))
-    own = scratch.save(_rarest_own_shingles(own, sets, threshold, scratch), "own").select(F.col("b").alias("p"), "h", F.col("a").alias("id"), "more", "last")
-    own = own.join(member, ["p", "id"])
-    u, v = own.alias("x"), own.alias("y")
-    # Common shingles not counted come after the listed ones that end first, so they are among what that member has more.
-    uncounted = "CASE WHEN x.last < y.last THEN x.more WHEN x.last > y.last THEN y.more ELSE greatest(x.more, y.more) END"
-    beside = u.join(v, F.expr("x.p = y.p AND x.h = y.h AND x.id < y.id") & apart).groupBy("x.p", "x.id", "y.id").agg(
-        F.count("*").alias("shared"), F.expr(f"max(least(x.i, y.i) + {uncounted})").alias("i"), F.expr(f"max({enough})").alias("enough"))
-    beside = beside.where("i + shared >= enough").select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-
-    rest = inside.union(beside).distinct()
-    done = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = scratch.save(rest.join(done, ["a", "b"], "left_anti"), "rest")
+    pairs = found.where("id <> p").select(F.col("id").alias("a"), F.col("p").alias("b")).distinct()
+
+    stars, first, around, groups = [], [], [], pairs
+    while pairs is not None:
+        turn = len(stars)
+        stars.append(scratch.save(compared(pairs, sets, threshold), f"star-{turn}"))
+        first.append(stars[-1].where("linked").select("a", "b"))
+        label = components(reduce(DataFrame.union, first), scratch, f"cc-star-{turn}")
+        if groups is None:
+            break
+        member = _members(stars[-1].join(groups, ["a", "b"], "left_semi") if turn else stars[-1], label, threshold, scratch, turn)
+        own = member.where("id <> p").select(F.col("id").alias("a"), F.col("p").alias("b"))
+        own, extra = (t.withColumnsRenamed({"b": "p", "a": "id"}) for t in _rarest_own_shingles(own, sets, threshold, scratch, turn))
+        most = own.count() / 4
+        crowds = scratch.save(_crowds(own, member), f"crowds-{turn}")
+        crowds = crowds if turn + 1 < TURNS and _pairs_within(crowds, "p", "h") > most else None
+        groups = None if crowds is None else scratch.save(_around_leaders(crowds), f"groups-{turn}")
+        hubs = _around_hubs(extra) if _pairs_within(extra.where("extra > 0"), "p") > most else None
+        around.append((member, own, extra, crowds))
+        pairs = [t for t in (groups, hubs) if t is not None]
+        pairs = reduce(DataFrame.union, pairs).distinct() if pairs else None
+
+    rest = []
+    for turn, (member, own, extra, crowds) in enumerate(around):
+        # The components are those of the last turn, the pivot that with the joint shingles.
+        member = member.drop("c", "least", "main").join(label, "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
+        member = member.join(extra, ["p", "id"], "left").withColumn("i", F.col("i") + F.coalesce("extra", F.lit(0))).drop("extra")
+        member = scratch.save(_still_apart(member, threshold), f"member-again-{turn}")
+        if crowds is not None:
+            own = own.join(crowds.select("p", "h").distinct(), ["p", "h"], "left_anti")
+        rest += [_inside(member, need), _beside(own, member, need)]
+    done = reduce(DataFrame.union, stars).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = scratch.save(reduce(DataFrame.union, rest).distinct().join(done, ["a", "b"], "left_anti"), "rest")
     rest = compared(rest, sets, threshold).where("linked").select("a", "b")
-    return scratch.save(first.union(rest), "links")
+    return scratch.save(reduce(DataFrame.union, [*first, rest]), "links")
 
 
 def near_duplicates(

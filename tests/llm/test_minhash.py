@@ -166,3 +166,55 @@ def test_frequent_shingles_of_a_pivot_are_put_last(spark):
     often = spark.createDataFrame([(0, [1])], "b long, often array<long>")
     rows = minhash._own_shingles(pairs, sets, 0.95, often).select("b", "a", "h", "more").collect()
     assert sorted(map(tuple, rows)) == [(0, 1, 2, 2), (0, 2, 5, 1)]
+
+
+def test_joins_of_a_large_group_grow_with_its_members(spark, monkeypatch):
+    made = []
+    sharing, inside = minhash._sharing, minhash._inside
+
+    def counted(f):
+        def run(*args):
+            made.append(f(*args).count())
+            return f(*args)
+        return run
+
+    monkeypatch.setattr(minhash, "_sharing", counted(sharing))
+    monkeypatch.setattr(minhash, "_inside", counted(inside))
+    base = [f"p{k}" for k in range(100)]
+
+    def links_of(rows, pivot=0):
+        docs = spark.createDataFrame(rows, "id long, text string")
+        cells = spark.createDataFrame([(0, i, len(t.split()), float(i == pivot), i) for i, t in rows], "key long, id long, n long, pop double, rep long")
+        monkeypatch.setattr(minhash, "_cells", lambda sig, bands: cells)
+        made.clear()
+        scratch = Scratch(spark)
+        label = {r.id: r.component for r in components.components(minhash.links(docs, None, 1, 0.8, 1, scratch), scratch).collect()}
+        assert {i: label.get(i, i) for i, _ in rows} == {i: c for i, (_, c) in brute(rows, 1).items()}
+        return sum(made)
+
+    # The pivot lacks words that the other members share: 17 words of their own each, so they are linked with none.
+    def with_own(k, words):
+        return " ".join([*words[:-17], *(f"own{k}-{j}" for j in range(17))])
+
+    rows = [(0, " ".join(base[:60]))] + [(k, with_own(k, base)) for k in range(1, 241)]
+    assert links_of(rows) < 20 * len(rows)
+    # Copies that are linked with each other, but not with the pivot.
+    rng = random.Random(8)
+    rows = [(0, " ".join(base[:60]))]
+    for k in range(1, 241):
+        w = list(base)
+        w[rng.randrange(100)] = f"x{k}"
+        rows.append((k, " ".join(w)))
+    assert links_of(rows) < 20 * len(rows)
+    # Four such groups, none of them most of the members, around a pivot that they share some words with.
+    rows = [(0, " ".join(base[:40]))]
+    for k in range(1, 321):
+        rows.append((k, with_own(k, base[:40] + [f"g{k % 4}-{j}" for j in range(60)])))
+    assert links_of(rows) < 20 * len(rows)
+
+
+def test_the_pivot_does_not_depend_on_the_order_of_rows(spark):
+    sig = [(i, 9, i, [k if i % 3 else k + i for k in range(28)]) for i in range(12)]
+    tables = [minhash._cells(spark.createDataFrame(order, "id long, n_shingles long, rep long, bands array<long>").repartition(n), 14) for order, n in ((sig, 1), (sig[::-1], 5))]
+    pops = [{r.id: r["pop"] for r in t.select("id", "pop").distinct().collect()} for t in tables]
+    assert pops[0] == pops[1] and all(isinstance(v, int) for v in pops[0].values())
