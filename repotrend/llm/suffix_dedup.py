@@ -25,6 +25,11 @@ Spans are then collected per distinct text, and texts are cut once.  Anchors and
 segments are 64-bit hashes; two segments are taken for equal only if anchor,
 digest and length agree (128 bits).
 
+Asked for ``words``, it also counts the words of strings of that many words which stand in
+another row as well.  Such a passage can be shorter than ``length`` bytes; its bytes stay.  Steps
+1 and 2 are taken over word hashes (see ``tokens``; A-Z count as a-z, white space doesn't count)
+and rows instead of places; the windows of what is left are dealt out by their own digests, as in 5.
+
 Defined results: a null text counts as empty; a null id is passed through;
 repeated rows and equal texts are copies of each other; texts shorter than
 ``length`` lose nothing; an empty table gives none.
@@ -38,24 +43,24 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from repotrend.llm.induced_sort import Sorter
 from repotrend.llm.scratch import Scratch
-from repotrend.llm.tokens import chunks, mix, text_buffer
+from repotrend.llm.tokens import chunks, mix, text_buffer, word_hashes
 
 LENGTH = 400
 STRIP = 32
-SHARD = 4 << 20
+SHARD = 2 << 20  # sorting takes about 75 bytes of memory for each
 WIDE = 256
 _BASE = 0x9E3779B97F4A7C15
 _VALUE = np.random.default_rng(5).integers(1, 2**63, 256, dtype=np.uint64)
 
 
 def _grams(data: np.ndarray, gram: int) -> np.ndarray:
-    """The hash of the ``gram`` (a power of two) bytes from each place on."""
-    out, size = _VALUE[data], 1
+    """The hash of the ``gram`` (a power of two) bytes, or hashes of words, from each place on."""
+    out, size = _VALUE[data] if data.dtype == np.uint8 else data, 1
     while size < gram:
         out = out[:-size] * np.uint64(pow(_BASE, size, 2**64)) + out[size:]
         size *= 2
@@ -95,20 +100,24 @@ def gram_size(length: int) -> int:
     return 1 << max(0, (length // 3).bit_length() - 1)
 
 
-def segments(rows: DataFrame, length: int) -> DataFrame:
-    """(id, doc, start, windows, place, anchor, seg) of (id, doc, text); place: of the anchor, from the start."""
+def segments(rows: DataFrame, length: int, words: bool = False) -> DataFrame:
+    """(start, windows, place, anchor, seg) after the columns of (id, doc, ..., text) but the text; place: of the anchor, from the start.
+
+    Counted in bytes or in words.
+    """
+    keys = [c for c in rows.columns if c != "text"]
     kinds = {"start": pa.int64(), "windows": pa.int32(), "place": pa.int32(), "anchor": pa.int64(), "seg": pa.int64()}
-    gram = gram_size(length)
+    gram = gram_size(length // 2 if words else length)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_buffer(batch.column("text"))
             for row, end in chunks(offsets):
-                lo, hi = int(offsets[row]), int(offsets[end])
-                if hi - lo < length:
+                bounds = offsets[row : end + 1]
+                part, bounds = word_hashes(data, bounds) if words else (data[bounds[0] : bounds[-1]], bounds - bounds[0])
+                if len(part) < length:
                     continue
-                bounds, rows_of, columns = offsets[row : end + 1] - lo, [], [[] for _ in kinds]
-                part = data[lo:hi]
+                rows_of, columns, unit = [], [[] for _ in kinds], part.itemsize
                 for starts, sizes, places, anchors in _runs(part, length, gram):
                     # Windows that reach into the next text are none; a run may be of several texts.
                     cut = np.unique(np.concatenate((starts, bounds[(bounds > starts[0]) & (bounds < starts[-1] + sizes[-1])])))
@@ -118,7 +127,7 @@ def segments(rows: DataFrame, length: int) -> DataFrame:
                     stop = np.minimum(stop, bounds[text + 1] - length + 1)
                     ok = np.flatnonzero(stop > cut)
                     raw = part.tobytes() if len(ok) else b""
-                    digest = [xxhash.xxh3_64_intdigest(raw[i : j + length - 1]) for i, j in zip(cut[ok].tolist(), stop[ok].tolist(), strict=True)]
+                    digest = [xxhash.xxh3_64_intdigest(raw[unit * i : unit * (j + length - 1)]) for i, j in zip(cut[ok].tolist(), stop[ok].tolist(), strict=True)]
                     rows_of.append(row + text[ok])
                     found = (cut[ok] - bounds[text[ok]], (stop - cut)[ok], places[own[ok]] - cut[ok],
                              anchors[own[ok]].view(np.int64), np.array(digest, np.uint64).view(np.int64))
@@ -127,10 +136,11 @@ def segments(rows: DataFrame, length: int) -> DataFrame:
                 if rows_of:
                     which = pa.array(np.concatenate(rows_of))
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column("id").take(which), batch.column("doc").take(which),
-                         *(pa.array(np.concatenate(c), k) for c, k in zip(columns, kinds.values(), strict=True))], ["id", "doc", *kinds])
+                        [*(batch.column(c).take(which) for c in keys),
+                         *(pa.array(np.concatenate(c), k) for c, k in zip(columns, kinds.values(), strict=True))], [*keys, *kinds])
 
-    return rows.mapInArrow(run, "id long, doc binary, start long, windows int, place int, anchor long, seg long")
+    kept = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in keys)
+    return rows.mapInArrow(run, f"{kept}, start long, windows int, place int, anchor long, seg long")
 
 
 def _contents(wanted: DataFrame, rows: DataFrame, length: int) -> DataFrame:
@@ -294,42 +304,98 @@ def repeated_spans(rows: DataFrame, length: int, scratch: Scratch, shard: int =
     return equal.union(equal2).union(scratch.save(narrow, "narrow")).union(scratch.save(broad, "broad"))
 
 
+def _word_windows(wanted: DataFrame, rows: DataFrame, words: int) -> DataFrame:
+    """(digest, row, at, single) of each window of the wanted segments of words."""
+    parts = F.collect_list(F.struct("start", "windows", "single")).alias("parts")  # at most a segment a word of one text
+    asked = wanted.groupBy("row", "id", "doc").agg(parts)
+    met = asked.join(rows, asked.id.eqNullSafe(rows.id) & (asked.doc == rows.doc)).select("row", "parts", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_buffer(batch.column("text"))
+            for k, (row, cuts) in enumerate(zip(batch.column("row").to_pylist(), batch.column("parts"), strict=True)):
+                raw, cuts = word_hashes(data, offsets[k : k + 2])[0].tobytes(), cuts.as_py()
+                at = np.concatenate([np.arange(c["start"], c["start"] + c["windows"]) for c in cuts])
+                digest = [xxhash.xxh3_64_intdigest(raw[8 * i : 8 * (i + words)]) - 2**63 for i in at.tolist()]
+                single = np.repeat([c["single"] for c in cuts], [c["windows"] for c in cuts])
+                yield pa.RecordBatch.from_arrays([pa.array(digest, pa.int64()), pa.array(np.full(len(at), row)), pa.array(at), pa.array(single)], ["digest", "row", "at", "single"])
+
+    return met.mapInArrow(run, "digest long, row long, at long, single boolean")
+
+
+def repeated_passages(rows: DataFrame, words: int, scratch: Scratch) -> DataFrame:
+    """(doc, lo, hi): places of words, which may overlap, of the strings of ``words`` words that stand in two or more rows of (id, doc, text)."""
+    numbered = rows.select("id", "doc", F.monotonically_increasing_id().alias("row"), "text")  # tells rows apart, equal ones as well
+    own = scratch.save(segments(numbered, words, words=True), "word-segments")
+    texts = scratch.save(own.select("row", "id", "doc").distinct(), "word-texts")
+
+    kind, anchor = Window.partitionBy("anchor", "seg", "windows"), Window.partitionBy("anchor")
+    met = own.select("row", "start", "windows", "anchor", "seg").repartition("anchor")
+    met = met.withColumns({"least": F.min("row").over(kind), "most": F.max("row").over(kind)})
+    met = met.withColumns({"low": F.min("least").over(anchor), "high": F.max("most").over(anchor), "open": F.max(F.expr("least = most")).over(anchor)}).where("low < high")
+    met = scratch.save(met.select("row", "start", "windows", F.expr("least = most").alias("single"), F.expr("open AND row = least").alias("wanted")), "word-met")
+    scratch.drop("word-segments")
+    equal = met.where("NOT single").join(texts, "row").select("doc", F.col("start").alias("lo"), (F.col("start") + F.col("windows") + (words - 1)).alias("hi"))
+
+    windows = _word_windows(met.where("wanted").join(texts, "row"), rows, words).repartition("digest")
+    same = Window.partitionBy("digest")
+    windows = windows.withColumns({"met": ~F.min("single").over(same), "apart": F.min("row").over(same) < F.max("row").over(same)}).where("single AND (met OR apart)")
+    part = windows.join(texts, "row").select("doc", F.col("at").alias("lo"), (F.col("at") + words).alias("hi"))
+    return equal.union(scratch.save(part, "word-part"))
+
+
 def _doc_key(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
+def _unions(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(los, his) of each row's spans in order, those that meet as one."""
+    ends = np.concatenate(([0], np.cumsum(column.value_lengths().fill_null(0).to_numpy())))
+    lo, hi = (column.flatten().field(k).to_numpy() for k in range(2))
+    for a, b in zip(ends, ends[1:], strict=False):
+        order = np.argsort(lo[a:b], kind="stable")
+        first, reach = lo[a:b][order], np.maximum.accumulate(hi[a:b][order])
+        new = np.flatnonzero(first[1:] > reach[:-1]) + 1
+        yield (first[np.concatenate(([0], new))], reach[np.append(new, b - a) - 1]) if b > a else (first, reach)
+
+
 def _cut(docs: DataFrame) -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept) of (id, text, spans)."""
+    """(id, n_bytes, n_removed, n_spans, kept, n_passages, n_passage_words) of (id, text, spans, passages)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for id_, text, spans in zip(*(batch.column(c) for c in ("id", "text", "spans")), strict=True):
-                raw, kept, done, removed, runs = text.as_py().encode(), [], 0, 0, 0
-                for lo, hi in sorted((s["lo"], s["hi"]) for s in spans.as_py() or ()):
-                    if lo > done or not runs:
-                        kept.append(raw[done:lo])
-                        runs, removed, done = runs + 1, removed + hi - lo, hi
-                    elif hi > done:
-                        removed, done = removed + hi - done, hi
-                kept.append(raw[done:])
-                out.append((id_.as_py(), len(raw), removed, runs, b"".join(kept)))
-            columns = list(zip(*out, strict=True)) or [()] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if k == 4 else pa.int64()) for k, c in enumerate(columns)], ["id", "n_bytes", "n_removed", "n_spans", "kept"])
-
-    return docs.select("id", "text", "spans").mapInArrow(run, "id long, n_bytes long, n_removed long, n_spans long, kept binary")
-
-
-def without_repeats(documents: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept): the bytes that stay of each row's text."""
+            for id_, text, gone, met in zip(batch.column("id"), batch.column("text"), _unions(batch.column("spans")), _unions(batch.column("passages")), strict=True):
+                raw = text.as_py().encode()
+                kept = b"".join(raw[lo:hi] for lo, hi in zip([0, *gone[1].tolist()], [*gone[0].tolist(), len(raw)], strict=True))
+                out.append((id_.as_py(), len(raw), len(raw) - len(kept), len(gone[0]), kept, len(met[0]), int((met[1] - met[0]).sum())))
+            columns = list(zip(*out, strict=True)) or [()] * 7
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary() if k == 4 else pa.int64()) for k, c in enumerate(columns)],
+                                             ["id", "n_bytes", "n_removed", "n_spans", "kept", "n_passages", "n_passage_words"])
+
+    return docs.select("id", "text", "spans", "passages").mapInArrow(
+        run, "id long, n_bytes long, n_removed long, n_spans long, kept binary, n_passages long, n_passage_words long")
+
+
+def without_repeats(documents: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", words: int | None = None) -> DataFrame:
+    """(doc_id, n_bytes, n_removed, n_spans, kept): the bytes that stay of each row's text.
+
+    With ``words`` also (n_passages, n_passage_words): the maximal runs of words, kept or not, that are
+    covered by strings of so many words that stand in another row as well, and the words in them.
+    """
     scratch = Scratch(documents.sparkSession)
     rows = documents.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.select("id", _doc_key(F.col("text")).alias("doc"), "text")
-    spans = repeated_spans(rows, length, scratch)
-    by_doc = scratch.save(spans.groupBy("doc").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")), "by-doc")
-    return _cut(rows.join(by_doc, "doc", "left")).withColumnRenamed("id", id_col)
+    spans = repeated_spans(rows, length, scratch).withColumn("passage", F.lit(False))
+    if words:
+        spans = spans.union(repeated_passages(rows, words, scratch).withColumn("passage", F.lit(True)))
+    span = F.struct("lo", "hi")
+    by_doc = spans.groupBy("doc").agg(F.collect_set(F.when(~F.col("passage"), span)).alias("spans"), F.collect_set(F.when(F.col("passage"), span)).alias("passages"))
+    cut = _cut(rows.join(scratch.save(by_doc, "by-doc"), "doc", "left")).withColumnRenamed("id", id_col)
+    return cut if words else cut.drop("n_passages", "n_passage_words")
 
 
 def digests(cut: DataFrame) -> DataFrame:
     """``kept`` as its SHA-256, and last as text (a character of which only some bytes stay becomes U+FFFD)."""
-    return cut.withColumns({"kept_sha256": F.sha2("kept", 256), "text": F.make_valid_utf8(F.col("kept").cast("string"))}).drop("kept")
+    texts = cut.withColumn("text", F.make_valid_utf8(F.col("kept").cast("string")))
+    return texts.withColumn("kept", F.sha2("kept", 256)).withColumnRenamed("kept", "kept_sha256")
